@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from . import constants as K
-from .scalars import first_match, lookup, strip, text
+from .scalars import first_match, let, lookup, strip, text
 
 DASHES = "�–—"
 
@@ -17,26 +17,33 @@ def _plain_dashes(c: Column) -> Column:
 def normalize_label_v1(c: Column) -> Column:
     """Profiling variant: every dash gets a blank on both sides."""
     spaced = F.regexp_replace(_plain_dashes(strip(c.cast("string"))), r"\s*-\s*", " - ")
-    return F.when(spaced == "Web Attack - Sql Injection", "Web Attack - SQL Injection").otherwise(spaced)
+    return let(spaced, lambda v: lookup(v, {"Web Attack - Sql Injection": "Web Attack - SQL Injection"}, v))
 
 
 def normalize_label(c: Column) -> Column:
     """Default variant: missing labels are named, blanks collapse, web attacks get one spelling."""
     value = F.regexp_replace(_plain_dashes(strip(text(c, K.MISSING_LABEL))), r"\s+", " ")
-    lowered = F.lower(value)
-    # a later pattern outranks an earlier one
-    branches = F
-    for pattern, label in reversed(K.WEB_LABEL_PATTERNS.items()):
-        branches = branches.when(lowered.rlike(pattern), label)
-    return branches.otherwise(value)
+
+    def named(v: Column) -> Column:
+        # a later pattern outranks an earlier one
+        branches = F
+        for pattern, label in reversed(K.WEB_LABEL_PATTERNS.items()):
+            branches = branches.when(v.rlike(f"(?i){pattern}"), label)
+        return branches.otherwise(v)
+
+    return let(value, named)
 
 
 def canonical_attack(c: Column) -> Column:
     """Scoring variant: known spellings first, then keywords, else the text itself."""
     value = strip(F.regexp_replace(F.translate(_plain_dashes(text(c)), "_", " "), r"\s+", " "))
-    lowered = F.lower(value)
-    known = lookup(lowered, {name.lower(): name for name in K.CLASSES})
-    return F.coalesce(known, first_match(lowered, K.LABEL_KEYWORDS, value))
+    known = {name.lower(): name for name in K.CLASSES}
+
+    def named(v: Column) -> Column:
+        by_words = let(F.lower(v), lambda low: F.coalesce(lookup(low, known), first_match(low, K.LABEL_KEYWORDS, F.lit(None))))
+        return F.coalesce(by_words, v)
+
+    return let(value, named)
 
 
 def is_attack(c: Column) -> Column:
@@ -45,13 +52,13 @@ def is_attack(c: Column) -> Column:
 
 def is_benign(c: Column) -> Column:
     key = F.translate(F.upper(strip(text(c))), K.ACCENTED, K.PLAIN)
-    return key.isin(K.BENIGN_KEYS) | key.contains("BENIGN")
+    return let(key, lambda k: k.isin(K.BENIGN_KEYS) | k.contains("BENIGN"))
 
 
 def short_name(c: Column, rules: list[tuple[str, str]] = K.SHORT_NAMES) -> Column:
     """Short name of a capture file, the file stem when no rule applies."""
-    lowered = F.lower(c)
-    return first_match(lowered, [((part,), name) for part, name in rules], F.regexp_replace(c, r"\.[^.]*$", ""))
+    words = [((part,), name) for part, name in rules]
+    return let(F.lower(c), lambda low: first_match(low, words, F.regexp_replace(c, r"\.[^.]*$", "")))
 
 
 def slug(c: Column) -> Column:
@@ -60,9 +67,8 @@ def slug(c: Column) -> Column:
 
 
 def severity_of(c: Column) -> Column:
-    label = canonical_attack(c)
-    fallback = F.when(label == "", K.LOWEST_SEVERITY).otherwise(K.DEFAULT_SEVERITY)
-    return lookup(label, K.CLASS_SEVERITY, fallback)
+    known = K.CLASS_SEVERITY | {"": K.LOWEST_SEVERITY}
+    return lookup(canonical_attack(c), known, F.lit(K.DEFAULT_SEVERITY))
 
 
 def action_of(c: Column) -> Column:

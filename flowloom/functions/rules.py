@@ -4,36 +4,55 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from . import constants as K
 from .labels import canonical_attack
-from .scalars import col, first_match, first_present, lenient_double, lookup, strip, text
+from .scalars import col, first_match, first_present, lenient_double, let, lookup, strip, text
+
+
+def _number(df: DataFrame, names: list[str]) -> Column:
+    """First present field as a finite double; numeric columns are used as they are."""
+    known = {c.strip().lower(): c for c in df.columns}
+    hits = [known[n.lower()] for n in names if n.lower() in known]
+    if len(hits) == 1 and isinstance(df.schema[hits[0]].dataType, T.NumericType):
+        value = col(hits[0]).cast("double")
+        return F.when(F.abs(value) < float("inf"), value).otherwise(0.0)
+    return lenient_double(first_present(df, names))
 
 
 def rule_class(df: DataFrame) -> Column:
     """Class of a flow from its rates, port, packet count and duration."""
-    value = {name: first_present(df, fields) for name, fields in K.RULE_FIELDS.items()}
-    port = F.regexp_replace(strip(value["port"]), r"\.0+$", "")
-    packets, rate, fwd, duration = (lenient_double(value[n]) for n in ("packets", "bytes", "fwd", "duration"))
-    many = fwd > K.BRUTE_FORCE_PACKETS
-    return (
-        F.when((packets > K.DDOS_PACKETS_PER_S) | (rate > K.DDOS_BYTES_PER_S), "DDoS")
-        .when(port.isin(K.SSH_PORTS) & many, "SSH-Patator")
-        .when(port.isin(K.FTP_PORTS) & many, "FTP-Patator")
-        .when((duration < K.SCAN_DURATION) & (fwd > 0) & (fwd <= K.SCAN_PACKETS), "PortScan")
-        .when(port.isin(K.WEB_PORTS) & (packets > K.HULK_PACKETS_PER_S), "DoS Hulk")
-        .otherwise("BENIGN")
-    )
+    inputs = F.struct(*[_number(df, fields).alias(name) for name, fields in K.RULE_FIELDS.items()])
+
+    def decide(v: Column) -> Column:
+        port_in = lambda ports: v["port"].isin([float(p) for p in ports])
+        many = v["fwd"] > K.BRUTE_FORCE_PACKETS
+        return (
+            F.when((v["packets"] > K.DDOS_PACKETS_PER_S) | (v["bytes"] > K.DDOS_BYTES_PER_S), "DDoS")
+            .when(port_in(K.SSH_PORTS) & many, "SSH-Patator")
+            .when(port_in(K.FTP_PORTS) & many, "FTP-Patator")
+            .when((v["duration"] < K.SCAN_DURATION) & (v["fwd"] > 0) & (v["fwd"] <= K.SCAN_PACKETS), "PortScan")
+            .when(port_in(K.WEB_PORTS) & (v["packets"] > K.HULK_PACKETS_PER_S), "DoS Hulk")
+            .otherwise("BENIGN")
+        )
+
+    return let(inputs, decide)
 
 
 def resolve_class(df: DataFrame, prediction: Column | None = None) -> DataFrame:
     """Add ``classe`` and ``mode``: given label first, then model, then rules."""
-    given = [F.nullif(canonical_attack(col(n)), F.lit("")) for n in K.LABEL_FIELDS if n in df.columns]
-    label = F.coalesce(*given, F.lit(None).cast("string"))
-    model = F.nullif(canonical_attack(prediction), F.lit("")) if prediction is not None else F.lit(None).cast("string")
-    mode = F.when(label.isNotNull(), "label").when(model.isNotNull(), "model").otherwise("rules")
-    return df.withColumns({"classe": F.coalesce(label, model, rule_class(df)), "mode": mode})
+    given = [canonical_attack(col(n)) for n in K.LABEL_FIELDS if n in df.columns]
+    none = F.lit(None).cast("string")
+    staged = df.withColumns(
+        {
+            "_label": F.coalesce(*[F.nullif(g, F.lit("")) for g in given], none),
+            "_model": F.nullif(canonical_attack(prediction), F.lit("")) if prediction is not None else none,
+        }
+    )
+    mode = F.when(F.col("_label").isNotNull(), "label").when(F.col("_model").isNotNull(), "model").otherwise("rules")
+    chosen = F.coalesce("_label", "_model", rule_class(df))
+    return staged.withColumns({"classe": chosen, "mode": mode}).drop("_label", "_model")
 
 
 def in_scaled_range(cols: list[str]) -> Column:
@@ -43,13 +62,15 @@ def in_scaled_range(cols: list[str]) -> Column:
 
 
 def ids_class(signature: Column, category: Column) -> Column:
-    name = canonical_attack(signature)
-    combined = F.lower(F.concat_ws(" ", name, canonical_attack(category)))
-    unnamed = F.when(name == "", K.UNNAMED_ALERT).otherwise(name)
-    return first_match(combined, K.IDS_KEYWORDS, unnamed)
+    def named(v: Column) -> Column:
+        unnamed = F.when(v["name"] == "", K.UNNAMED_ALERT).otherwise(v["name"])
+        text_of = F.lower(F.concat_ws(" ", v["name"], v["category"]))
+        return let(text_of, lambda low: first_match(low, K.IDS_KEYWORDS, unnamed))
+
+    names = F.struct(canonical_attack(signature).alias("name"), canonical_attack(category).alias("category"))
+    return let(names, named)
 
 
 def ids_severity(c: Column) -> Column:
-    raw = strip(text(c))
-    level = F.when(raw.rlike(r"^[+-]?[0-9]+$"), raw.try_cast("int"))
+    level = let(strip(text(c)), lambda raw: F.when(raw.rlike(r"^[+-]?[0-9]+$"), raw.try_cast("int")))
     return lookup(level, K.IDS_LEVELS, F.lit(K.LOWEST_SEVERITY))

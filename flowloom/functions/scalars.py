@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from itertools import chain
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -17,6 +18,15 @@ def col(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` evaluated once per row, however often the body uses it.
+
+    Repeating a long expression in every branch of a rule would evaluate it again each time and
+    blow the generated code past the compiler's limit.
+    """
+    return F.transform(F.array(value), body)[0]
+
+
 def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(BLANKS))
 
@@ -45,9 +55,12 @@ def first_match(c: Column, keywords: list[tuple[tuple[str, ...], str]], default:
 
 def parse_number(c: Column) -> Column:
     """Plain decimal text as double; anything else (also nan and inf) is null."""
-    trimmed = strip(c.cast("string"))
+    return let(strip(c.cast("string")), _finite)
+
+
+def _finite(trimmed: Column) -> Column:
     value = F.when(trimmed.rlike(NUMBER), trimmed.try_cast("double"))
-    return F.when(F.abs(value) < float("inf"), value)
+    return F.nullif(F.nullif(value, F.lit(float("inf"))), F.lit(float("-inf")))
 
 
 def lenient_double(c: Column, default: float = 0.0) -> Column:
@@ -73,15 +86,17 @@ def parse_time(c: Column) -> Column:
 
 
 def mask_recipient(c: Column) -> Column:
-    value = strip(text(c))
-    at = F.instr(value, "@")
-    shown = F.least(at - 1, F.lit(2))
-    return (
-        F.when(value == "", "")
-        .when(at > 0, F.concat(F.substring(value, F.lit(1), shown), F.lit("***"), F.substring(value, at, F.length(value))))
-        .when(F.length(value) <= 4, "****")
-        .otherwise(F.concat(F.lit("***"), F.right(value, F.lit(4))))
-    )
+    def masked(value: Column) -> Column:
+        at = F.instr(value, "@")
+        start = F.substring(value, F.lit(1), F.least(at - 1, F.lit(2)))
+        return (
+            F.when(value == "", "")
+            .when(at > 0, F.concat(start, F.lit("***"), F.substring(value, at, F.length(value))))
+            .when(F.length(value) <= 4, "****")
+            .otherwise(F.concat(F.lit("***"), F.right(value, F.lit(4))))
+        )
+
+    return let(strip(text(c)), masked)
 
 
 def pseudonym(c: Column) -> Column:
@@ -95,19 +110,17 @@ def event_id(fields: dict[str, Column]) -> Column:
 
 def risk_score(score: Column, level: Column) -> Column:
     """Score between 0 and 100; a missing one falls back to the level, fractions become percent."""
-    value = parse_number(score)
     key = F.translate(F.upper(strip(text(level))), K.ACCENTED, K.PLAIN)
-    filled = (
-        F.when(value.isNull(), lookup(key, K.RISK_LEVEL_SCORES, F.lit(0)).cast("double"))
-        .when(value <= 1, value * 100)
-        .otherwise(value)
-    )
+    given = let(parse_number(score), lambda value: F.when(value <= 1, value * 100).otherwise(value))
+    filled = F.coalesce(given, lookup(key, K.RISK_LEVEL_SCORES, F.lit(0)).cast("double"))
     return F.greatest(F.least(filled, F.lit(100.0)), F.lit(0.0))
 
 
 def normalize_severity(c: Column) -> Column:
-    value = strip(text(c))
-    return F.when(value == "", K.DEFAULT_SEVERITY).otherwise(lookup(value, K.SEVERITY_VARIANTS, value))
+    return let(
+        strip(text(c)),
+        lambda v: F.when(v == "", K.DEFAULT_SEVERITY).otherwise(lookup(v, K.SEVERITY_VARIANTS, v)),
+    )
 
 
 def normalize_status(c: Column) -> Column:

@@ -47,10 +47,10 @@ def prepare(
     """
     named = flows.withColumn(label, normalize_label(col(label))).select(*[col(c) for c in (*features, label, source)])
     clean = dedup(inf_to_null(named, features))
-    coded = label_index(clean, label).withColumnRenamed("code", "label")
+    coded = label_index(clean, label)
     keyed = coded.withColumn("_key", F.sha2(F.to_json(F.struct(*[col(c) for c in (*features, label, source)])), 256))
     data = durable(stratified_split(keyed, label, test_share, seed, ["_key"], (), window_rows).drop("_key"))
-    dictionary = durable(data.select(F.col("label").alias("code"), col(label).alias("classe")).distinct())
+    dictionary = durable(data.select("code", col(label).alias("classe")).distinct())
     fit_on = data.filter("split = 'train'")
     medians = fit_median(fit_on, features)
     usable = usable_columns(fit_on, features, most=len(features))
@@ -61,9 +61,9 @@ def prepare(
     filled = durable(apply_median(data, medians))
     kept = kept_columns(filled.filter("split = 'train'"), features)
     bounds = fit_minmax(filled.filter("split = 'train'"), kept)
-    scaled = apply_minmax(filled, bounds).select(*[col(c) for c in kept], label, "label", source, "split")
-    weights = class_weights(scaled.filter("split = 'train'"), "label")
-    weighted = with_weight(scaled, "label", weights)
+    scaled = apply_minmax(filled, bounds).select(*[col(c) for c in kept], label, "code", source, "split")
+    weights = class_weights(scaled.filter("split = 'train'"), "code")
+    weighted = with_weight(scaled, "code", weights)
     return Prepared(weighted, kept, dictionary, medians, bounds, weights)
 
 
@@ -77,14 +77,14 @@ def evaluate_models(prepared: Prepared, kinds: dict[str, dict]) -> tuple[DataFra
     fit_on, test = (prepared.data.filter(F.col("split") == s) for s in ("train", "test"))
     models, lines, predictions = {}, None, {}
     for kind, params in kinds.items():
-        models[kind] = train(fit_on, kind, "label", prepared.features, classes, "weight", params)
-        predictions[kind] = models[kind].transform(test).select("label", "prediction").persist()
-        matrix = confusion(predictions[kind], "label", "prediction", codes)
+        models[kind] = train(fit_on, kind, "code", prepared.features, classes, "weight", params)
+        predictions[kind] = models[kind].transform(test).select("code", "prediction").persist()
+        matrix = confusion(predictions[kind], "code", "prediction", codes)
         line = model_metrics(class_report(matrix, codes), kind)
         lines = line if lines is None else lines.unionByName(line)
     ranking = rank_models(durable(lines))
     best = ranking.first()["model"]
-    errors = durable(errors_by_class(predictions[best], "label", "prediction"))
+    errors = durable(errors_by_class(predictions[best], "code", "prediction"))
     for kept in predictions.values():
         kept.unpersist()
     return ranking, models, errors
