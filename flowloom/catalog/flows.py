@@ -214,12 +214,12 @@ def d13(spark, sf):
     return profiling.variable_profile(flows(spark, sf), FEATURES, "source_file")
 
 
-@query("D14_describe", f"WITH {FLOWS}\n" + union_sql(FEATURES, """SELECT '{c}' AS variable, count({c}) AS n, round(avg({c}), 6) AS mean,
- round(stddev_samp({c}), 6) AS std, min({c}) AS min, round(quantile_cont({c}, 0.25), 6) AS q1, round(quantile_cont({c}, 0.5), 6) AS median,
+@query("D14_describe", f"WITH {FLOWS}\n" + union_sql(FEATURES, """SELECT '{c}' AS variable, count({c}) AS n, round(avg({c}), 5) AS mean,
+ round(stddev_samp({c}), 5) AS std, min({c}) AS min, round(quantile_cont({c}, 0.25), 6) AS q1, round(quantile_cont({c}, 0.5), 6) AS median,
  round(quantile_cont({c}, 0.75), 6) AS q3, max({c}) AS max, count(*) FILTER ({c} = 0) AS zeros,
  round(100.0 * count(*) FILTER ({c} = 0) / count(*), 4) AS zeros_pct, count(*) FILTER ({c} IS NULL) AS missing FROM clean"""))
 def d14(spark, sf):
-    return profiling.describe(flows(spark, sf), FEATURES)
+    return profiling.describe(flows(spark, sf), FEATURES, digits=5)
 
 
 TARGET = FLOWS.rstrip() + ",\ntgt AS (SELECT *, CASE WHEN label <> 'BENIGN' THEN 1 ELSE 0 END AS attack FROM clean)\n"

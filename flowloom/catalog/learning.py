@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import cleaning, evaluation, features, imputation, models
 from ..plans import batch
+from ..plans.checkpoints import durable
 from .flows import SPLIT, split, union_sql
 from .inputs import CLASSES, FEATURES, FLOWS, KEY, flows
 from .registry import query, table
@@ -69,14 +70,14 @@ MEDIAN = f"""{SPLIT}, tr AS (SELECT * REPLACE (CASE WHEN isinf(rate) THEN NULL E
 @query("I3_median_imputer", f"""WITH {MEDIAN}, m AS (SELECT quantile_cont(rate, 0.5) AS m FROM tr WHERE split = 'train')
 SELECT split, count(*) AS n, round(sum(coalesce(rate, (SELECT m FROM m))), 4) AS total FROM tr GROUP BY 1""")
 def i3(spark, sf):
-    df = cleaning.inf_to_null(split(spark, sf), FEATURES)
+    df = durable(cleaning.inf_to_null(split(spark, sf), FEATURES))
     medians = features.fit_median(df.filter("split = 'train'"), FEATURES)
     filled = features.apply_median(df, medians)
     return filled.groupBy("split").agg(F.count("*").alias("n"), F.round(F.sum("rate"), 4).alias("total"))
 
 
 def _parts(spark, sf):
-    df = cleaning.inf_to_null(split(spark, sf), FEATURES)
+    df = durable(cleaning.inf_to_null(split(spark, sf), FEATURES))
     return df.filter("split = 'train'"), df.filter("split = 'test'")
 
 
@@ -155,7 +156,7 @@ def i9(spark, sf):
 @query("I10_minmax", f"""WITH {MEDIAN}, b AS (SELECT min(l_extendedprice) AS lo, max(l_extendedprice) AS hi, min(rate) AS rlo, max(rate) AS rhi FROM tr WHERE split = 'train')
 SELECT l_orderkey, l_linenumber, l_partkey, split, round((l_extendedprice - lo) / (hi - lo), 6) AS price, round((rate - rlo) / (rhi - rlo), 6) AS rate FROM tr, b""")
 def i10(spark, sf):
-    df = cleaning.inf_to_null(split(spark, sf), FEATURES)
+    df = durable(cleaning.inf_to_null(split(spark, sf), FEATURES))
     bounds = features.fit_minmax(df.filter("split = 'train'"), FEATURES)
     scaled = features.apply_minmax(df, bounds)
     return scaled.select(
@@ -165,7 +166,7 @@ def i10(spark, sf):
 # ---- models: every kind trains and predicts on the whole split
 
 def _prepared(spark, sf):
-    df = features.label_index(cleaning.inf_to_null(split(spark, sf), FEATURES), "label")
+    df = durable(features.label_index(cleaning.inf_to_null(split(spark, sf), FEATURES), "label"))
     fit_on = df.filter("split = 'train'")
     filled = features.apply_median(df, features.fit_median(fit_on, FEATURES))
     bounds = features.fit_minmax(filled.filter("split = 'train'"), FEATURES)
@@ -227,7 +228,7 @@ s AS (SELECT t.l_orderkey, t.l_partkey, t.l_suppkey, t.l_linenumber, t.label AS
 b AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_partkey, l_suppkey, l_linenumber ORDER BY score DESC, guess) AS r FROM s)
 SELECT truth AS label, guess AS prediction, count(*) AS n FROM b WHERE r = 1 GROUP BY 1, 2""")
 def i15c(spark, sf):
-    df = split(spark, sf)
+    df = durable(split(spark, sf))
     out = models.gaussian_nb(df.filter("split = 'train'"), df.filter("split = 'test'"), "label", NB)
     return out.groupBy("label", "prediction").agg(F.count("*").alias("n"))
 
@@ -315,7 +316,7 @@ def i22(spark, sf):
 @query("I23_preprocessing_summary", f"""WITH {MEDIAN} SELECT split, count(*) AS rows, CAST(4 AS BIGINT) AS features, count(DISTINCT label) AS classes,
  count(*) FILTER (rate IS NULL) AS missing, CAST(0 AS BIGINT) AS infinite FROM tr GROUP BY 1""")
 def i23(spark, sf):
-    df = cleaning.inf_to_null(split(spark, sf), FEATURES)
+    df = durable(cleaning.inf_to_null(split(spark, sf), FEATURES))
     return models.preprocessing_summary(df, FEATURES, "label")
 
 

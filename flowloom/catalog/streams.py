@@ -80,7 +80,8 @@ def j5(spark, sf):
 @query("J6_monitor_status", f"""WITH {REGISTERED}, lines AS (SELECT count(*) AS c, max(date) AS m FROM normal)
 SELECT (SELECT count(*) FROM one) AS alerts_imported_total, 2 * c - (SELECT count(*) FROM one) AS duplicates_ignored_total, CAST(0 AS BIGINT) AS new_alerts_last_cycle, m AS last_event_at FROM lines""")
 def j6(spark, sf):
-    return live.monitor_status(spark, f"{_follow(spark, sf)}/metrics").drop("last_scan_at", "stream")
+    root = _follow(spark, sf)
+    return live.monitor_status(spark, f"{root}/metrics", f"{root}/register").drop("last_scan_at", "stream")
 
 
 def _event_files(spark, sf, n=4):

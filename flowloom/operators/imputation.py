@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.scalars import col
 from ..plans.bounded import lookup_join
+from ..plans.checkpoints import durable, spread
 from ..plans.quantiles import BUFFER_CELLS, exact_quantiles
 from ..plans.ranking import WINDOW_ROWS
 from .features import fit_median
@@ -52,7 +53,10 @@ def _regression(train: DataFrame, test: list[DataFrame], target: str, cols: list
     names = [f"_x{i}" for i in range(len(cols))]
     assembler = VectorAssembler(inputCols=names, outputCol="_features")
     model = model.copy().setLabelCol("_y").setFeaturesCol("_features").setPredictionCol("prediction")
-    fitted = Pipeline(stages=[assembler, model]).fit(fill(known).withColumn("_y", col(target).cast("double")))
+    matrix = fill(known).select(*names, col(target).cast("double").alias("_y"))
+    ready = spread(durable(matrix)).persist()
+    fitted = Pipeline(stages=[assembler, model]).fit(ready)
+    ready.unpersist()
     return [fitted.transform(fill(df)).drop("_features", *names) for df in test]
 
 

@@ -16,6 +16,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.scalars import col
+from ..plans.checkpoints import durable, spread
 from .features import apply_minmax
 
 SEED = 42
@@ -113,10 +114,12 @@ def train(
 ) -> Classifier:
     """Fit one classifier on integer codes in ``label`` and the given features."""
     names = [f"_f{i}" for i in range(len(cols))]
-    ready = df.select(
+    matrix = df.select(
         *[col(c).cast("double").alias(n) for c, n in zip(cols, names)],
         col(label).cast("double").alias("_label"), *([col(weight)] if weight else []),
-    ).persist()
+    )
+    # frozen once, so a lost executor does not bring back the whole preparation in the middle of a fit
+    ready = spread(durable(matrix)).persist()
     try:
         if kind == "extra_trees":
             members = _extra_trees(ready, names, weight, params or {})

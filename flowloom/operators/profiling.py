@@ -196,7 +196,7 @@ def variable_profile(
     )
 
 
-def describe(df: DataFrame, cols: list[str], buffer_cells: int = BUFFER_CELLS) -> DataFrame:
+def describe(df: DataFrame, cols: list[str], buffer_cells: int = BUFFER_CELLS, digits: int = 6) -> DataFrame:
     """Count, mean, deviation, extremes, exact quartiles, zeros and missing cells per column."""
     clean = inf_to_null(df, cols)
     value = {c: col(c).cast("double") for c in cols}
@@ -207,8 +207,8 @@ def describe(df: DataFrame, cols: list[str], buffer_cells: int = BUFFER_CELLS) -
         v = value[c]
         stats.append(
             F.struct(
-                F.lit(c).alias("variable"), F.count(v).alias("n"), F.round(F.avg(v), 6).alias("mean"),
-                F.round(F.stddev_samp(v), 6).alias("std"), F.min(v).alias("min"),
+                F.lit(c).alias("variable"), F.count(v).alias("n"), F.round(F.avg(v), digits).alias("mean"),
+                F.round(F.stddev_samp(v), digits).alias("std"), F.min(v).alias("min"),
                 F.round(q[0], 6).alias("q1"), F.round(q[1], 6).alias("median"), F.round(q[2], 6).alias("q3"),
                 F.max(v).alias("max"), F.count_if(v == 0).alias("zeros"),
                 percent(F.count_if(v == 0), F.count("*"), 4).alias("zeros_pct"),

@@ -31,3 +31,9 @@ def durable(df: DataFrame) -> DataFrame:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder for tables written between two jobs."""
     return f"{shared_dir(spark).rstrip('/')}/scratch-{uuid.uuid4().hex}/{name}"
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give a frozen table one partition per core when it has fewer, for work that is CPU bound."""
+    width = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= width else df.repartition(width)

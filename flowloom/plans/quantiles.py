@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 # Cells a single aggregate buffer may hold before the narrowing path is used.
 BUFFER_CELLS = 8_000_000
 # Distinct values one window task may sort in the last step.
-FINAL_VALUES = 200_000
+FINAL_VALUES = 50_000
 BATCH = 60
 SKETCH = 10_000
 
@@ -28,17 +28,15 @@ def exact_quantiles(
     ranked exactly. Only bounds and ranks reach the driver.
     """
     names = list(values)
+    if df.count() * len(names) <= buffer_cells:
+        row = df.agg(
+            *[F.percentile(values[n], F.array(*map(F.lit, probs))).alias(f"p{i}") for i, n in enumerate(names)]
+        ).first()
+        return {n: list(row[i]) if row[i] is not None else [None] * len(probs) for i, n in enumerate(names)}
     sized = df.agg(*[F.count(values[n]).alias(f"c{i}") for i, n in enumerate(names)]).first()
     sizes = {n: sized[i] for i, n in enumerate(names)}
     out: dict[str, list[float | None]] = {n: [None] * len(probs) for n in names if sizes[n] == 0}
     names = [n for n in names if sizes[n]]
-    if sum(sizes[n] for n in names) <= buffer_cells:
-        if names:
-            row = df.agg(
-                *[F.percentile(values[n], F.array(*map(F.lit, probs))).alias(f"p{i}") for i, n in enumerate(names)]
-            ).first()
-            out |= {n: list(row[i]) for i, n in enumerate(names)}
-        return out
     ranks = {
         (n, k)
         for n in names
@@ -85,38 +83,51 @@ def _inside(values, target, bracket):
 
 
 def _narrow(df, values, brackets):
-    """One sketch scan proposes tighter brackets, one counting scan proves them."""
-    keys = list(brackets)
-    wanted = []
-    for t in keys:
-        low, high, below, inside = brackets[t]
-        p = (t[1] - below) / max(inside - 1, 1)
-        ask = [max(0.0, p - 2 / SKETCH), min(1.0, p + 2 / SKETCH)]
-        wanted.append(F.percentile_approx(_inside(values, t, brackets[t]), ask, SKETCH))
-    guesses = df.agg(*[w.alias(f"g{i}") for i, w in enumerate(wanted)]).first()
-    counts = []
-    for i, t in enumerate(keys):
-        column, (a, b) = _inside(values, t, brackets[t]), guesses[i]
-        counts += [F.count_if(column < a), F.count_if(column <= b), F.count_if(column == a), F.count_if(column == b)]
+    """One sketch scan proposes tighter brackets, one counting scan proves them.
+
+    Targets that share a bracket share a sketch.
+    """
+    shared: dict[tuple, list] = {}
+    for t, bracket in brackets.items():
+        shared.setdefault((t[0], *bracket), []).append(t)
+    sketches = []
+    for (_, low, high, below, inside), targets in shared.items():
+        asked = []
+        for t in targets:
+            p = (t[1] - below) / max(inside - 1, 1)
+            asked += [max(0.0, p - 2 / SKETCH), min(1.0, p + 2 / SKETCH)]
+        sketches.append(F.percentile_approx(_inside(values, targets[0], (low, high)), asked, SKETCH))
+    answers = df.agg(*[k.alias(f"g{i}") for i, k in enumerate(sketches)]).first()
+    guesses = {}
+    for found, targets in zip(answers, shared.values()):
+        for i, t in enumerate(targets):
+            guesses[t] = (found[2 * i], found[2 * i + 1])
+    counts, cuts = [], {}
+    for t in brackets:
+        column, low = values[t[0]].cast("double"), brackets[t][0]
+        for cut in guesses[t]:
+            if (t[0], low, cut) not in cuts:
+                cuts[t[0], low, cut] = len(counts)
+                counts += [F.count_if((column >= low) & (column < cut)), F.count_if(column == cut)]
     proof = df.agg(*[c.alias(f"n{i}") for i, c in enumerate(counts)]).first()
     tighter = {}
-    for i, t in enumerate(keys):
-        low, high, below, inside = brackets[t]
-        (a, b), (lt, le, at_a, at_b) = guesses[i], proof[4 * i : 4 * i + 4]
+    for t, (low, high, below, inside) in brackets.items():
+        a, b = guesses[t]
+        i, j = cuts[t[0], low, a], cuts[t[0], low, b]
+        lt, at_a, lt_b, at_b = proof[i], proof[i + 1], proof[j], proof[j + 1]
+        le = lt_b + at_b
         rank = t[1] - below
         if lt <= rank < lt + at_a:
             tighter[t] = (a, a, below + lt, at_a)
-        elif le - at_b <= rank < le:
-            tighter[t] = (b, b, below + le - at_b, at_b)
+        elif lt_b <= rank < le:
+            tighter[t] = (b, b, below + lt_b, at_b)
         elif rank < lt:
             tighter[t] = (low, math.nextafter(a, -math.inf), below, lt)
         elif rank >= le:
             tighter[t] = (math.nextafter(b, math.inf), high, below + le, inside - le)
         else:
-            shift = lt + at_a
-            tighter[t] = (
-                math.nextafter(a, math.inf), math.nextafter(b, -math.inf), below + shift, le - at_b - shift,
-            )
+            start = lt + at_a
+            tighter[t] = (math.nextafter(a, math.inf), math.nextafter(b, -math.inf), below + start, lt_b - start)
     return tighter
 
 

@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 import hashlib
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.utils import AnalysisException
 
 from ..operators.history import dedup_batch, new_only, normalize_alerts, to_history
+from ..plans.bounded import lookup_join
 from ..sources.eve import parse_eve
 
 KEYS = ["user_id", "event_id"]
 # A batch that spans more days than this is compared with the whole register.
 PRUNED_DAYS = 366
+UNDATED = "1970-01-01"
 # Default and allowed poll interval (seconds) and read size per poll (bytes).
 POLL_SECONDS = (2.0, 0.5, 60.0)
 READ_BYTES = (4 * 1024 * 1024, 64 * 1024, 64 * 1024 * 1024)
@@ -48,47 +51,57 @@ def log_lines(
     return lines.select("value")
 
 
-def read_register(spark: SparkSession, path: str) -> DataFrame | None:
+def read_register(spark: SparkSession, path: str, days: list[str] | None = None) -> DataFrame | None:
+    """The stored register, or only the folders of some days; None when nothing is stored there."""
+    reader = spark.read.option("basePath", path)
     try:
-        return spark.read.parquet(path)
+        if days is None:
+            return reader.parquet(path)
+        return reader.parquet(f"{path}/source=*/event_date={{{','.join(days)}}}")
     except AnalysisException:
         return None
 
 
 def _event_date() -> Column:
-    day = F.to_date(F.substring("date", 1, 10).try_cast("date"))
-    return F.coalesce(day, F.lit("1970-01-01").cast("date"))
+    return F.coalesce(F.substring("date", 1, 10).try_cast("date"), F.lit(UNDATED).cast("date"))
+
+
+def _days(first, last, undated: int) -> list[str] | None:
+    """Register days a batch can meet, None when it spans too many to list."""
+    if first is None:
+        return [UNDATED]
+    span = (last - first).days + 1
+    if span > PRUNED_DAYS:
+        return None
+    return [(first + timedelta(days=d)).isoformat() for d in range(span)] + ([UNDATED] if undated else [])
 
 
 def import_batch(batch: DataFrame, batch_id: int, history: str, metrics: str, user: str, name: str) -> None:
-    """Append the unseen alerts of one micro-batch and record its counters.
+    """Append the unseen alerts of one micro-batch and record how many alerts it held.
 
     The id contains the event time, so copies share a date and only the register days of the batch
-    are read. A repeated batch finds its own rows stored and adds nothing; its counters are read
-    back from the stored rows, so they repeat as well.
+    are read. A repeated batch finds its own rows stored and adds nothing.
     """
     spark = batch.sparkSession
     rows = to_history(normalize_alerts(parse_eve(batch)), "Suricata", "eve.json (automatique)", user)
     rows = rows.withColumn("event_date", _event_date()).persist()
     try:
-        seen, newest = rows.agg(F.count("*"), F.max("date")).first()
-        imported = 0
+        dated = F.when(F.col("event_date") != UNDATED, F.col("event_date"))
+        seen, newest, first, last, known = rows.agg(
+            F.count("*"), F.max("date"), F.min(dated), F.max(dated), F.count(dated)
+        ).first()
         if seen:
-            key = f"{name}-{batch_id}"
-            days = [r[0] for r in rows.select("event_date").distinct().limit(PRUNED_DAYS + 1).collect()]
-            pruned = lambda df: df.filter(F.col("event_date").isin(days)) if len(days) <= PRUNED_DAYS else df
             fresh = dedup_batch(rows, KEYS, ["date"])
-            stored = read_register(spark, history)
+            stored = read_register(spark, history, _days(first, last, seen - known))
             if stored is not None:
-                fresh = new_only(fresh, pruned(stored), KEYS)
-            fresh = fresh.withColumn("batch", F.lit(key)).hint("rebalance", "event_date")
+                fresh = new_only(fresh, stored, KEYS)
+            fresh = fresh.withColumn("batch", F.lit(f"{name}-{batch_id}")).hint("rebalance", "event_date")
             fresh.write.mode("append").partitionBy("source", "event_date").parquet(history)
-            imported = pruned(read_register(spark, history)).filter(F.col("batch") == key).count()
-        line = spark.range(1).select(
-            F.lit(int(imported)).alias("imported"), F.lit(int(seen - imported)).alias("duplicates"),
-            F.lit(newest).cast("string").alias("last_event_at"), F.current_timestamp().alias("last_scan_at"),
+        line = spark.range(1, numPartitions=1).select(
+            F.lit(seen).cast("long").alias("seen"), F.lit(newest).cast("string").alias("last_event_at"),
+            F.current_timestamp().alias("last_scan_at"),
         )
-        line.coalesce(1).write.mode("overwrite").parquet(f"{metrics}/stream={name}/batch_id={batch_id}")
+        line.write.mode("overwrite").parquet(f"{metrics}/stream={name}/batch_id={batch_id}")
     finally:
         rows.unpersist()
 
@@ -154,12 +167,28 @@ def write_stream(df: DataFrame, path: str, checkpoint: str, once: bool = True, f
     return writer.trigger(availableNow=True).start() if once else writer.start()
 
 
-def monitor_status(spark: SparkSession, metrics: str) -> DataFrame:
-    """Totals over all batches of the monitor, one line per stream."""
-    lines = spark.read.parquet(metrics)
-    return lines.groupBy("stream").agg(
-        F.sum("imported").cast("long").alias("alerts_imported_total"),
-        F.sum("duplicates").cast("long").alias("duplicates_ignored_total"),
-        F.max_by("imported", "batch_id").cast("long").alias("new_alerts_last_cycle"),
+def monitor_status(spark: SparkSession, metrics: str, history: str) -> DataFrame:
+    """One line per stream: imported and ignored alerts, last cycle, last event, last scan.
+
+    Imported rows are counted in the register itself, so a repeated batch changes nothing.
+    """
+    lines = spark.read.parquet(metrics).withColumn("stream", F.col("stream").cast("string")).groupBy("stream").agg(
+        F.sum("seen").alias("seen"), F.max("batch_id").alias("batch_id"),
         F.max("last_event_at").alias("last_event_at"), F.max("last_scan_at").alias("last_scan_at"),
     )
+    stored = read_register(spark, history)
+    if stored is None:
+        stored = spark.createDataFrame([], "batch string")
+    counts = stored.groupBy("batch").count().select(
+        F.substring_index("batch", "-", 1).alias("stream"),
+        F.substring_index("batch", "-", -1).cast("long").alias("batch_id"), F.col("count").alias("imported"),
+    )
+    totals = counts.groupBy("stream").agg(F.sum("imported").alias("imported"))
+    latest = counts.select("stream", "batch_id", F.col("imported").alias("latest"))
+    joined = lookup_join(lookup_join(lines, totals, ["stream"]), latest, ["stream", "batch_id"])
+    imported = F.coalesce("imported", F.lit(0))
+    return joined.select(
+        "stream", imported.alias("alerts_imported_total"),
+        (F.col("seen") - imported).alias("duplicates_ignored_total"),
+        F.coalesce("latest", F.lit(0)).alias("new_alerts_last_cycle"), "last_event_at", "last_scan_at",
+    )
