@@ -75,9 +75,11 @@ def _cutoffs(hashed: DataFrame, by: list[str], quotas: DataFrame) -> DataFrame:
     buckets = (
         hashed.groupBy(*by, prefix.alias("_p")).agg(F.count("*").alias("_n"))
         .withColumn("_end", running("_p"))
+        .withColumn("_size", F.sum("_n").over(Window.partitionBy(*by)))  # one row per prefix
     )
     edge = (
         lookup_join(buckets, quotas, by, "inner", null_safe=True)
+        .withColumn("quota", F.least("quota", "_size"))
         .filter((F.col("_end") >= F.col("quota")) & (F.col("_end") - F.col("_n") < F.col("quota")))
         .select(*by, "_p", (F.col("quota") - F.col("_end") + F.col("_n")).alias("_left"))
     )
