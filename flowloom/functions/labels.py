@@ -52,7 +52,7 @@ def is_attack(c: Column) -> Column:
 
 def is_benign(c: Column) -> Column:
     key = F.translate(F.upper(strip(text(c))), K.ACCENTED, K.PLAIN)
-    return let(key, lambda k: k.isin(K.BENIGN_KEYS) | k.contains("BENIGN"))
+    return key.rlike(f"^({'|'.join(K.BENIGN_KEYS)})$|BENIGN")
 
 
 def short_name(c: Column, rules: list[tuple[str, str]] = K.SHORT_NAMES) -> Column:

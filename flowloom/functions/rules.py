@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from . import constants as K
 from .labels import canonical_attack
-from .scalars import col, first_match, first_present, lenient_double, let, lookup, strip, text
+from .scalars import col, first_match, first_present, lenient_double, let, lookup, parse_integer
 
 
 def _number(df: DataFrame, names: list[str]) -> Column:
@@ -72,5 +72,4 @@ def ids_class(signature: Column, category: Column) -> Column:
 
 
 def ids_severity(c: Column) -> Column:
-    level = let(strip(text(c)), lambda raw: F.when(raw.rlike(r"^[+-]?[0-9]+$"), raw.try_cast("int")))
-    return lookup(level, K.IDS_LEVELS, F.lit(K.LOWEST_SEVERITY))
+    return lookup(parse_integer(c), K.IDS_LEVELS, F.lit(K.LOWEST_SEVERITY))

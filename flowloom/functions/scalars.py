@@ -55,12 +55,12 @@ def first_match(c: Column, keywords: list[tuple[tuple[str, ...], str]], default:
 
 def parse_number(c: Column) -> Column:
     """Plain decimal text as double; anything else (also nan and inf) is null."""
-    return let(strip(c.cast("string")), _finite)
+    value = F.regexp_extract(strip(c.cast("string")), NUMBER, 0).try_cast("double")
+    return F.nullif(F.nullif(value, F.lit(float("inf"))), F.lit(float("-inf")))
 
 
-def _finite(trimmed: Column) -> Column:
-    value = F.when(trimmed.rlike(NUMBER), trimmed.try_cast("double"))
-    return F.nullif(F.nullif(value, F.lit(float("inf"))), F.lit(float("-inf")))
+def parse_integer(c: Column) -> Column:
+    return F.regexp_extract(strip(text(c)), r"^[+-]?[0-9]+$", 0).try_cast("int")
 
 
 def lenient_double(c: Column, default: float = 0.0) -> Column:

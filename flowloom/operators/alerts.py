@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions import constants as K
 from ..functions.labels import action_of, is_attack, is_benign, severity_of
@@ -17,7 +17,12 @@ SEVERITIES = list(K.SEVERITY_PRIORITY)
 
 
 def _units(df: DataFrame) -> Column:
-    return occurrences(F.col("nombre")) if "nombre" in df.columns else F.lit(1.0)
+    """Clipped occurrences of a row; a numeric column needs no parsing."""
+    if "nombre" not in df.columns:
+        return F.lit(1.0)
+    if isinstance(df.schema["nombre"].dataType, T.NumericType):
+        return F.greatest(F.coalesce(F.col("nombre").cast("double"), F.lit(1.0)), F.lit(0.0))
+    return occurrences(F.col("nombre"))
 
 
 def _sum(c: Column) -> Column:

@@ -19,6 +19,8 @@ from .sampling import cap_rows, fold_count, stratified_folds
 
 # Queries that one scoring pass keeps in every task.
 QUERY_BLOCK = 2_000
+# Reference rows compared with a block at a time, which bounds a task's memory.
+CHUNK = 1_000
 SEED = 42
 
 
@@ -116,11 +118,12 @@ def _query_blocks(asked: DataFrame, block: int):
         if len(whole):
             yield whole
         return
-    total = asked.count()
-    n_blocks = -(-2 * total // block)
-    bucket = F.pmod(F.xxhash64("_k"), F.lit(n_blocks))
+    # numbered and frozen first: equal rows then fall into different blocks
+    numbered = durable(asked.withColumn("_row", F.monotonically_increasing_id()))
+    n_blocks = -(-2 * numbered.count() // block)
+    bucket = F.pmod(F.xxhash64("_row"), F.lit(n_blocks))
     for b in range(n_blocks):
-        part = asked.filter(bucket == b).toPandas()
+        part = numbered.filter(bucket == b).drop("_row").toPandas()
         for start in range(0, len(part), block):
             yield part.iloc[start : start + block]
 
@@ -131,28 +134,33 @@ def _nearest_block(donors: DataFrame, part: pd.DataFrame, width: int, k: int) ->
     q_seen = ~np.isnan(q)
     q0 = np.where(q_seen, q, 0.0)
 
+    def distances(x: np.ndarray) -> np.ndarray:
+        seen = ~np.isnan(x)
+        x0 = np.where(seen, x, 0.0)
+        total = np.zeros((len(q), len(x)))
+        for j in range(width):  # differences are formed directly: exact for equal points
+            gap = q0[:, j : j + 1] - x0[None, :, j]
+            total += np.where(q_seen[:, j : j + 1] & seen[None, :, j], gap * gap, 0.0)
+        common = q_seen.astype(float) @ seen.T.astype(float)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            return np.where(common > 0, np.sqrt(total * width / common), np.inf)
+
     def scan(batches):
-        best_d = np.full((len(keys), k), np.inf)
-        best_v = np.full((len(keys), k), np.nan)
+        best = pd.DataFrame({"q": [], "dist": [], "value": []}).astype({"q": int})
+        limit = np.full(len(q), np.inf)
         for pdf in batches:
-            x = pdf[[f"_x{i}" for i in range(width)]].to_numpy(float)
-            seen = ~np.isnan(x)
-            x0 = np.where(seen, x, 0.0)
-            # each coordinate difference is formed directly: exact for equal points
-            d = np.zeros((len(keys), len(x)))
-            for j in range(width):
-                both = q_seen[:, j : j + 1] & seen[None, :, j]
-                d += np.where(both, (q0[:, j : j + 1] - x0[None, :, j]) ** 2, 0.0)
-            common = q_seen.astype(float) @ seen.T.astype(float)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                d = np.where(common > 0, np.sqrt(d * width / common), np.inf)
-            all_d = np.concatenate([best_d, d], axis=1)
-            all_v = np.concatenate([best_v, np.broadcast_to(pdf["_t"].to_numpy(float), d.shape)], axis=1)
-            order = np.lexsort((all_v, all_d), axis=1)[:, :k]
-            best_d = np.take_along_axis(all_d, order, axis=1)
-            best_v = np.take_along_axis(all_v, order, axis=1)
-        row, rank = np.nonzero(np.isfinite(best_d))
-        yield pd.DataFrame({"key": keys[row], "dist": best_d[row, rank], "value": best_v[row, rank]})
+            values = pdf["_t"].to_numpy(float)
+            points = pdf[[f"_x{i}" for i in range(width)]].to_numpy(float)
+            for start in range(0, len(points), CHUNK):
+                d = distances(points[start : start + CHUNK])
+                kth = np.partition(d, k - 1, axis=1)[:, k - 1] if d.shape[1] > k else np.inf
+                row, at = np.nonzero((d <= np.minimum(limit, kth)[:, None]) & np.isfinite(d))
+                near = pd.DataFrame({"q": row, "dist": d[row, at], "value": values[start + at]})
+                best = pd.concat([best, near]).sort_values(["q", "dist", "value"]).groupby("q").head(k)
+                full = best.groupby("q")["dist"].agg(["size", "max"])
+                full = full[full["size"] == k]
+                limit[full.index] = full["max"]
+        yield pd.DataFrame({"key": keys[best["q"]], "dist": best["dist"].to_numpy(), "value": best["value"].to_numpy()})
 
     local = donors.mapInPandas(scan, "key string, dist double, value double")
     window = Window.partitionBy("key").orderBy("dist", "value")
