@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import functions as F
 
 from ..functions.labels import is_benign
@@ -11,7 +13,7 @@ from ..plans.checkpoints import scratch_path
 from ..sources.eve import parse_eve
 from ..streaming import alerts as live
 from .alerts import IDS, NORMAL
-from .inputs import REGISTER, log_lines, logs, register
+from .inputs import ALERTS, REGISTER, log_lines, logs, register
 from .registry import query, table
 
 EVENTS = "event_id LONG, ts TIMESTAMP, user_id LONG, event_type STRING, value DOUBLE, props STRING"
@@ -40,16 +42,18 @@ def j1(spark, sf):
     return spark.read.parquet(f"{root}/out")
 
 
-@query("J2_start_at_end", "SELECT event_id, event_type FROM events WHERE event_type IS NULL")
+@query("J2_start_at_end", f"WITH {ALERTS} SELECT timestamp, proto FROM logs WHERE proto = 'UDP'")
 def j2(spark, sf):
-    """Files that were there before the start are passed over."""
+    """Files that were there before the first start are passed over, later ones are read."""
     root = scratch_path(spark, "start")
-    log_lines(spark, sf).repartition(2).write.text(f"{root}/log")
-    later = spark.range(1).select((F.current_timestamp() + F.expr("INTERVAL 1 HOUR")).cast("string")).first()[0]
-    events = parse_eve(live.log_lines(spark, f"{root}/log", start_at=later))
-    rows = events.select(F.col("flow_id").cast("long").alias("event_id"), "event_type")
-    live.write_stream(rows, f"{root}/out", f"{root}/checkpoint").awaitTermination()
-    return spark.read.schema("event_id LONG, event_type STRING").parquet(f"{root}/out")
+    lines = logs(spark, sf).select("proto", F.to_json(F.struct(*logs(spark, sf).columns)).alias("value"))
+    lines.filter("proto = 'TCP'").select("value").repartition(2).write.text(f"{root}/log")
+    time.sleep(1.5)  # file times of the second write must be later than the marker
+    start = live.start_marker(spark, f"{root}/start")
+    lines.filter("proto = 'UDP'").select("value").repartition(2).write.mode("append").text(f"{root}/log")
+    events = parse_eve(live.log_lines(spark, f"{root}/log", start_at=start)).select("timestamp", "proto")
+    live.write_stream(events, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{root}/out")
 
 
 @query("J3_normalized_stream", f"WITH {NORMAL} SELECT event_id, classe, gravite FROM normal")

@@ -122,11 +122,12 @@ def period_filter(df: DataFrame, ts: str, delta: str | None, now: Column) -> Dat
 
     No period, or a table without any date, keeps every row.
     """
-    if delta is None:
+    newest = df.agg(F.max(ts)).first()[0] if delta is not None else None
+    if newest is None:
         return df
-    newest = df.agg(F.max(ts)).scalar()
-    reference = F.greatest(now, newest)
-    return df.filter((F.col(ts) >= reference - F.expr(f"INTERVAL {delta}")) | newest.isNull())
+    # one value is fetched, so that the bound is a literal the scan can prune with
+    reference = F.greatest(now, F.lit(newest).cast(df.schema[ts].dataType))
+    return df.filter(F.col(ts) >= reference - F.expr(f"INTERVAL {delta}"))
 
 
 def dedup_batch(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql.utils import AnalysisException
 
 from ..operators.history import dedup_batch, new_only, normalize_alerts, to_history
 from ..plans.bounded import lookup_join
+from ..plans.checkpoints import durable
 from ..sources.eve import parse_eve
 
 KEYS = ["user_id", "event_id"]
@@ -127,6 +128,15 @@ def alert_stream(
     return writer.trigger(processingTime=f"{clamp(poll_seconds, POLL_SECONDS)} seconds").start()
 
 
+def compact_register(spark: SparkSession, path: str, days: list[str]) -> None:
+    """Rewrite the small files of closed days; rows are frozen first, then each day is replaced."""
+    stored = read_register(spark, path, days)
+    if stored is not None:
+        whole = durable(stored).hint("rebalance", "event_date")
+        writer = whole.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("source", "event_date").parquet(path)
+
+
 def distinct_alerts(alerts: DataFrame, ts: str, delay: str = "1 day") -> DataFrame:
     """Streaming deduplication with bounded state, for sinks that keep no register."""
     return alerts.withWatermark(ts, delay).dropDuplicatesWithinWatermark(KEYS)

@@ -9,7 +9,7 @@ import __spark_entry__ as entry_point
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 QUERIES, SQL = entry_point.queries(), entry_point.oracle_sql()
-EMPTY_AT_SMALL_SCALE = {"C9_set_difference", "J2_start_at_end"}
+EMPTY_AT_SMALL_SCALE = {"C9_set_difference"}
 
 
 @pytest.fixture(scope="module")

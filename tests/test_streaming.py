@@ -38,6 +38,8 @@ def test_restart_and_duplicates(spark, tmp_path):
     stored = live.read_register(spark, f"{root}/register")
     assert stored.count() == 5 and stored.select("event_id").distinct().count() == 5
     assert status(spark, root) == (5, 2, 3)
+    live.compact_register(spark, f"{root}/register", ["2026-08-09", "1970-01-01"])
+    assert live.read_register(spark, f"{root}/register").count() == 5
     put(root, "c.json", [line(6, stamp="soon"), line(5, stamp="2026-08-10T00:00:00+0100")])
     run(spark, root, from_start=True)
     assert status(spark, root) == (5, 4, 0)
