@@ -122,7 +122,7 @@ messy AS (
 
 def messy(spark: SparkSession, sf: str) -> DataFrame:
     """Labels as badly as they are typed: dashes, blanks, underscores, missing."""
-    k = F.get_json_object("props", "$.k").cast("int") % 12
+    k = F.col("k")
     names = {
         0: "Web Attack – XSS", 1: " web  attack � sql injection ", 2: "FTP-Patator", 4: "DoS_Hulk",
         7: "BENIGN", 8: "Web Attack — Brute Force", 10: "Web Attack – Sql Injection", 11: "dos   slowloris",
@@ -134,7 +134,8 @@ def messy(spark: SparkSession, sf: str) -> DataFrame:
         raw.when(k == 5, F.concat(F.lit("port scan "), "event_type"))
         .when(k == 6, F.concat(F.lit("ssh login "), "event_type")).when(k == 9, F.col("event_type"))
     )
-    return table(spark, sf, "events").select("event_id", raw.alias("raw"))
+    events = table(spark, sf, "events").withColumn("k", F.get_json_object("props", "$.k").cast("int") % 12)
+    return events.select("event_id", raw.alias("raw"))
 
 
 ALERTS = """
@@ -175,11 +176,11 @@ def logs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def log_lines(spark: SparkSession, sf: str) -> DataFrame:
-    """The log as JSON lines with a blank and a broken line after some of them."""
-    line = F.to_json(F.struct(*logs(spark, sf).columns))
-    extra = F.when(F.pmod(F.xxhash64("timestamp"), F.lit(10)) == 0, F.array(F.lit(""), F.lit('{"event_type": "alert", ')))
-    rows = logs(spark, sf).select(F.concat(F.array(line), F.coalesce(extra, F.array().cast("array<string>"))).alias("l"))
-    return rows.select(F.explode("l").alias("value"))
+    """The log as JSON lines, each followed by a blank or a broken line."""
+    rows = logs(spark, sf)
+    line = F.to_json(F.struct(*rows.columns))
+    broken = F.when(F.pmod(F.xxhash64("timestamp"), F.lit(10)) == 0, '{"event_type": "alert", ').otherwise("")
+    return rows.select(F.explode(F.array(line, broken)).alias("value"))
 
 
 def label_names(c, classes: list[str] = CLASSES):

@@ -54,7 +54,7 @@ def a4(spark, sf):
 @query("A6_encoding_fallback", "SELECT c_custkey, c_name || ' é' AS c_name FROM customer")
 def a6(spark, sf):
     df = table(spark, sf, "customer").select("c_custkey", F.concat("c_name", F.lit(" é")).alias("c_name"))
-    return flow_files.read_flows(spark, _csv(df, "latin", encoding="ISO-8859-1"), df.schema).drop("source_file")
+    return flow_files.read_flows(spark, _csv(df, "latin", encoding="ISO-8859-1"), df.schema, None).drop("source_file")
 
 
 @query("A8_write_table", f"""WITH {FLOWS} SELECT label, CAST(count(*) AS VARCHAR) AS n FROM flows GROUP BY 1""")

@@ -26,9 +26,9 @@ def _follow(spark, sf):
     lines = log_lines(spark, sf)
     lines.repartition(4).write.text(f"{root}/log")
     args = (f"{root}/log", f"{root}/register", f"{root}/metrics", f"{root}/checkpoint", "u1")
-    live.alert_stream(spark, *args, from_start=True, once=True).awaitTermination()
+    live.alert_stream(spark, *args, max_bytes=64 << 20, from_start=True, once=True).awaitTermination()
     lines.repartition(2).write.mode("append").text(f"{root}/log")
-    live.alert_stream(spark, *args, from_start=True, once=True).awaitTermination()
+    live.alert_stream(spark, *args, max_bytes=64 << 20, from_start=True, once=True).awaitTermination()
     return root
 
 

@@ -10,42 +10,57 @@ from ..plans.bounded import lookup_join
 from .schemas import FLOW_SCHEMA
 
 
-def file_name(path: Column) -> Column:
-    return F.url_decode(F.regexp_extract(path, r"([^/]+)$", 1))
+def decoded(uri: Column) -> Column:
+    """Readable form of a file URI; a plus sign is a plus sign."""
+    return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+
+
+def file_name(uri: Column) -> Column:
+    return decoded(F.regexp_extract(uri, r"([^/]+)$", 1))
 
 
 def read_flows(
     spark: SparkSession,
     path: str | list[str],
     schema: T.StructType = FLOW_SCHEMA,
-    encoding: str | None = None,
+    encoding: str | None = "UTF-8",
     rules: list[tuple[str, str]] = SHORT_NAMES,
 ) -> DataFrame:
     """Read capture CSVs with provenance. Columns are positional, so a repeated header name is fine.
 
-    Without ``encoding`` the text is read as UTF-8, and as Latin-1 when the bytes are not UTF-8.
+    ``encoding=None`` looks through the files first and reads those that are not UTF-8 as Latin-1.
+    The label clean-up copes with undecodable dashes, so large captures need no such extra scan.
     """
-    if encoding is None:
-        encoding = "ISO-8859-1" if has_broken_utf8(spark, path) else "UTF-8"
-    reader = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("enforceSchema", True)
-        .option("ignoreLeadingWhiteSpace", True)
-        .option("ignoreTrailingWhiteSpace", True)
-        .option("nanValue", "NaN")
-        .option("positiveInf", "Infinity")
-        .option("negativeInf", "-Infinity")
-        .option("encoding", encoding)
-    )
-    raw = reader.csv(path)
-    return raw.withColumn("source_file", short_name(F.col("_metadata.file_name"), rules))
-
 
-def has_broken_utf8(spark: SparkSession, path: str | list[str]) -> bool:
-    """True when some line is not valid UTF-8; stops at the first such line."""
-    lines = spark.read.text(path)
-    return not lines.filter(~F.is_valid_utf8("value")).isEmpty()
+    def read(paths, charset: str) -> DataFrame:
+        reader = (
+            spark.read.schema(schema)
+            .option("header", True)
+            .option("enforceSchema", True)
+            .option("ignoreLeadingWhiteSpace", True)
+            .option("ignoreTrailingWhiteSpace", True)
+            .option("nanValue", "NaN")
+            .option("positiveInf", "Infinity")
+            .option("negativeInf", "-Infinity")
+            .option("encoding", charset)
+        )
+        return reader.csv(paths).withColumn("source_file", short_name(decoded(F.col("_metadata.file_name")), rules))
+
+    if encoding is not None:
+        return read(path, encoding)
+    broken = files_not_utf8(spark, path)
+    whole = read(path, "UTF-8")
+    if not broken:
+        return whole
+    other = F.col("_metadata.file_path").isin([raw for raw, _ in broken])
+    return whole.filter(~other).unionByName(read([name for _, name in broken], "ISO-8859-1"))
+
+
+def files_not_utf8(spark: SparkSession, path: str | list[str]) -> list[tuple[str, str]]:
+    """(URI, readable path) of the files that hold a line which is not valid UTF-8."""
+    uri = F.col("_metadata.file_path")
+    bad = spark.read.text(path).filter(~F.is_valid_utf8("value")).select(uri.alias("uri")).distinct()
+    return [tuple(r) for r in bad.select("uri", decoded(F.col("uri"))).collect()]
 
 
 def header_columns(spark: SparkSession, path: str | list[str]) -> DataFrame:

@@ -36,11 +36,11 @@ def test_flow_files(spark, tmp_path):
 
 
 def test_latin_fallback(spark, tmp_path):
-    write_flows(tmp_path, "a.csv", [row(1, "Web Attack – XSS")], encoding="cp1252")
-    label = flows.read_flows(spark, str(tmp_path)).first()["Label"]
-    assert label.startswith("Web Attack") and "�" not in label
-    write_flows(tmp_path, "a.csv", [row(1, "Web Attack – XSS")])
-    assert flows.read_flows(spark, str(tmp_path)).first()["Label"] == "Web Attack – XSS"
+    write_flows(tmp_path, "a b+1.csv", [row(1, "Attaque détectée")], encoding="latin-1")
+    write_flows(tmp_path, "c.csv", [row(2, "Web Attack – XSS")])
+    got = {r["Destination Port"]: (r["Label"], r["source_file"]) for r in flows.read_flows(spark, str(tmp_path), encoding=None).collect()}
+    assert got == {1.0: ("Attaque détectée", "a b+1"), 2.0: ("Web Attack – XSS", "c")}
+    assert "�" in flows.read_flows(spark, str(tmp_path)).filter("`Destination Port` = 1").first()["Label"]
 
 
 def test_schema_and_inventory(spark, tmp_path):
