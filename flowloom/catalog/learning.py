@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import cleaning, evaluation, features, imputation, models
+from ..operators import cleaning, evaluation, features, imputation, models, sampling
 from ..plans import batch
 from ..plans.checkpoints import durable
-from .flows import SPLIT, split, union_sql
-from .inputs import CLASSES, FEATURES, FLOWS, KEY, flows
+from .flows import ORDER, RANKED, SPLIT, split, union_sql
+from .inputs import CLASSES, FEATURES, FLOWS, KEY, TIES, flows
 from .registry import query, table
 
 TREES = {"numTrees": 5, "maxDepth": 6}
@@ -151,6 +151,33 @@ def i9(spark, sf):
         "family", "method", F.round("nrmse", 6).alias("nrmse"), F.round("nmae", 6).alias("nmae"))
 
 
+_FOLDED = f"""{RANKED}, known AS (SELECT * FROM ranked WHERE rate IS NOT NULL AND NOT isinf(rate)),
+folded AS (SELECT *, (row_number() OVER (PARTITION BY label {ORDER}) - 1) % 2 AS fold FROM known),
+fit AS (SELECT v.fold, quantile_cont(t.l_extendedprice, 0.75) - quantile_cont(t.l_extendedprice, 0.25) AS iqr, avg(t.l_extendedprice) AS mean, quantile_cont(t.l_extendedprice, 0.5) AS median
+ FROM (VALUES (0), (1)) v(fold), folded t WHERE t.fold <> v.fold GROUP BY 1),
+guess AS (SELECT fold, iqr, 'Zero' AS method, 0.0 AS g FROM fit UNION ALL SELECT fold, iqr, 'Moyenne', mean FROM fit UNION ALL SELECT fold, iqr, 'Mediane', median FROM fit)"""
+
+
+@query("I9_constant_scores", f"""WITH {_FOLDED} SELECT CAST(fold + 1 AS INTEGER) AS fold, method,
+ round(sqrt(avg((l_extendedprice - g) ** 2)) / any_value(iqr), 6) AS nrmse, round(avg(abs(l_extendedprice - g)) / any_value(iqr), 6) AS nmae
+ FROM folded JOIN guess USING (fold) GROUP BY 1, 2""")
+def i9b(spark, sf):
+    """The constant methods of the comparison, on all rows."""
+    known = clean(spark, sf).filter("rate is not null")
+    folded = durable(sampling.stratified_folds(known, "label", 2, 42, KEY, TIES))
+    out = None
+    for fold in (0, 1):
+        train, held = folded.filter(F.col("fold") != fold), folded.filter(F.col("fold") == fold)
+        scale = imputation.error_scale(train, "l_extendedprice")
+        for method in ("Zero", "Moyenne", "Mediane"):
+            value = imputation.constant_value(train, "l_extendedprice", imputation.CONSTANTS[method])
+            scored = imputation.nrmse_nmae(held.withColumn("_p", F.lit(value)), "l_extendedprice", "_p", scale)
+            line = scored.select(
+                F.lit(fold + 1).alias("fold"), F.lit(method).alias("method"), F.round("nrmse", 6).alias("nrmse"), F.round("nmae", 6).alias("nmae"))
+            out = line if out is None else out.unionByName(line)
+    return out
+
+
 # ---- scaling
 
 @query("I10_minmax", f"""WITH {MEDIAN}, b AS (SELECT min(l_extendedprice) AS lo, max(l_extendedprice) AS hi, min(rate) AS rlo, max(rate) AS rhi FROM tr WHERE split = 'train')

@@ -48,7 +48,9 @@ def prepare(
     named = flows.withColumn(label, normalize_label(col(label))).select(*[col(c) for c in (*features, label, source)])
     clean = dedup(inf_to_null(named, features))
     coded = label_index(clean, label)
-    keyed = coded.withColumn("_key", F.sha2(F.to_json(F.struct(*[col(c) for c in (*features, label, source)])), 256))
+    # rows are distinct by now; should two hashes meet, the split still counts them exactly
+    whole = [col(c) for c in (*features, label, source)]
+    keyed = coded.withColumn("_key", F.concat_ws("-", F.xxhash64(*whole), F.hash(*whole)))
     data = durable(stratified_split(keyed, label, test_share, seed, ["_key"], (), window_rows).drop("_key"))
     dictionary = durable(data.select("code", col(label).alias("classe")).distinct())
     fit_on = data.filter("split = 'train'")
