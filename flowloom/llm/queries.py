@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .decontaminate import scan
 from .topk import top_k
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,3 +44,29 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 )
 def op1(spark: SparkSession, sf: str) -> DataFrame:
     return top_k(table(spark, sf, "embeddings"), F.col("vec_id") % 100 == 0, k=10, scale=1024.0)
+
+
+WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+
+@query(
+    "op10_suffix_automaton_decontamination",
+    f"""
+    WITH d AS (SELECT doc_id, {WORDS} AS w FROM documents),
+    b AS (SELECT * FROM (SELECT item_id, {WORDS} AS w FROM benchmark) WHERE len(w) > 0),
+    win AS (SELECT item_id, least(10, len(w)) AS n, list_slice(w, i, i + least(10, len(w)) - 1) AS g FROM (SELECT *, unnest(generate_series(1, len(w) - least(10, len(w)) + 1)) AS i FROM b)),
+    dw AS (SELECT doc_id, i, n, list_slice(w, i, i + n - 1) AS g FROM (SELECT d.*, n, unnest(generate_series(1, len(w) - n + 1)) AS i FROM d, (SELECT DISTINCT n FROM win))),
+    hit AS (SELECT DISTINCT doc_id, i, n, item_id FROM dw JOIN win USING (n, g)),
+    words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(generate_series(i, i + n - 1)) AS p FROM hit) GROUP BY doc_id),
+    items AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS s FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item_id FROM hit) GROUP BY doc_id)
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+           sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+    """,
+)
+def op10(spark: SparkSession, sf: str) -> DataFrame:
+    found = scan(table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "benchmark"), window=10)
+    names = F.transform("items", lambda i: i.cast("string"))
+    return found.select(
+        "doc.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join(names, ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated")
+    )
