@@ -82,8 +82,8 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
         SELECT DISTINCT doc_id, list_slice(w, i, i + least(4, len(w)) - 1) AS g
         FROM (SELECT *, unnest(generate_series(1, len(w) - least(4, len(w)) + 1)) AS i FROM d WHERE len(w) > 0)
     ), size AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
-    both AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL),
-    link AS (SELECT a, b FROM both JOIN size p ON a = p.doc_id JOIN size q ON b = q.doc_id WHERE 100 * c >= 80 * (p.n + q.n - c)),
+    common AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL),
+    link AS (SELECT a, b FROM common JOIN size p ON a = p.doc_id JOIN size q ON b = q.doc_id WHERE 100 * c >= 80 * (p.n + q.n - c)),
     reach AS (SELECT doc_id, doc_id AS other FROM d UNION SELECT r.doc_id, b FROM reach r JOIN link ON r.other = a),
     root AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
     SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM root LEFT JOIN size USING (doc_id)
