@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontaminate import scan
 from .neardup import near_duplicates
+from .tokenfiles import token_digest
 from .topk import top_k
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,3 +93,9 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
 )
 def op2(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(table(spark, sf, "documents"), width=4, percent=80)
+
+
+@query("op3_token_id_files")
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    # white space is dropped and separates words in this vocabulary's pre-tokenizer; its ids fit two bytes
+    return token_digest(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"), end=2, vocabulary=49_408, splits=True)
