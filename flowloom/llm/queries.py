@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontaminate import scan
+from .mixing import mix
 from .neardup import near_duplicates
 from .tokenfiles import token_digest
 from .topk import top_k
@@ -99,3 +100,30 @@ def op2(spark: SparkSession, sf: str) -> DataFrame:
 def op3(spark: SparkSession, sf: str) -> DataFrame:
     # white space is dropped and separates words in this vocabulary's pre-tokenizer; its ids fit two bytes
     return token_digest(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"), end=2, vocabulary=49_408, splits=True)
+
+
+@query(
+    "op8_weighted_mix",
+    r"""
+    WITH d AS (
+        SELECT doc_id, source, md5(coalesce(text, '')) AS tie, length(coalesce(text, '')) AS chars,
+               CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents
+    ), k AS (
+        SELECT doc_id, source, tie, size,
+               -ln((CAST(('0x' || substr(md5(concat_ws('|', 'mix', coalesce(CAST(doc_id AS VARCHAR), ''), tie)), 1, 12)) AS BIGINT) + 0.5) / 281474976710656.0::DOUBLE)
+               / ((CASE WHEN size < 50 THEN 0.5 ELSE 1.0 END::DOUBLE) * (CASE WHEN chars < 4 * size OR chars > 9 * size THEN 0.5 ELSE 1.0 END::DOUBLE)) AS key FROM d
+    ), s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source IS NULL, source) - 1 AS r FROM k GROUP BY source),
+    w AS (SELECT source, source_size, [5.0, 2.0, 1.0][1 + r % 3]::DOUBLE AS w, (2 * source_size)::DOUBLE AS cap FROM s),
+    l AS (
+        SELECT *, (1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(cap) OVER b, 0)) / (sum(w) OVER () - coalesce(sum(w) OVER b, 0)) AS level
+        FROM w WINDOW b AS (ORDER BY cap / w, source IS NULL, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+    ), t AS (
+        SELECT source, source_size, least(cap, coalesce((SELECT arg_min(level, cap / w) FROM l WHERE level * w <= cap) * w, cap)) AS target FROM l
+    ), e AS (SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS epochs FROM t),
+    c AS (SELECT k.*, source_size, target, epochs, sum(size) OVER (PARTITION BY k.source ORDER BY key, doc_id, tie) AS upto FROM k JOIN e ON k.source IS NOT DISTINCT FROM e.source)
+    SELECT doc_id, size, source_size, target,
+           CAST(size * (epochs + CASE WHEN upto - size / 2.0 <= target - epochs * source_size THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM c
+    """,
+)
+def op8(spark: SparkSession, sf: str) -> DataFrame:
+    return mix(table(spark, sf, "documents"))
