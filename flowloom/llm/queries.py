@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .chat import expand, read_back
 from .decontaminate import scan
 from .mixing import mix
 from .neardup import near_duplicates
@@ -127,3 +128,30 @@ def op3(spark: SparkSession, sf: str) -> DataFrame:
 )
 def op8(spark: SparkSession, sf: str) -> DataFrame:
     return mix(table(spark, sf, "documents"))
+
+
+ESCAPED = r"""replace(replace(replace(replace(replace({0}, '\', '\\'), '<s>', '<\s>'), '</s>', '<\/s>'), '[INST]', '[\INST]'), '[/INST]', '[\/INST]')"""
+ODD_TURN = "</s>[INST] ok [/INST]"
+
+
+@query(
+    "op6_prefix_target_chat",
+    f"""
+    WITH t AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL VALUES (-1, 0, 'user', '{ODD_TURN}'), (-1, 1, 'assistant', '{ODD_TURN}')
+    ), p AS (
+        SELECT *, sum(20 + length({ESCAPED.format('role')}) + length({ESCAPED.format('text')})) OVER w AS upto, row_number() OVER w = count(*) OVER (PARTITION BY conv_id) AS is_last
+        FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING)
+    )
+    SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+           CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+           CAST(sum(upto) FILTER (role = 'assistant' OR is_last) AS BIGINT) AS formatted_chars
+    FROM p GROUP BY conv_id
+    """,
+)
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    odd = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(ODD_TURN).alias("text"))
+    return read_back(expand(rows.unionByName(odd)))
