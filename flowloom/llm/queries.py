@@ -12,6 +12,7 @@ from .chat import expand, read_back
 from .decontaminate import scan
 from .mixing import mix
 from .neardup import near_duplicates
+from .secrets import digest, scan_secrets
 from .tokenfiles import token_digest
 from .topk import top_k
 
@@ -155,3 +156,8 @@ def op6(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
     odd = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(ODD_TURN).alias("text"))
     return read_back(expand(rows.unionByName(odd)))
+
+
+@query("op5_owned_secrets")
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    return digest(scan_secrets(table(spark, sf, "documents")))
