@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .chat import expand, read_back
 from .decontaminate import scan
+from .langid import held_out, identify, learn
 from .mixing import mix
 from .neardup import near_duplicates
 from .secrets import digest, scan_secrets
@@ -161,3 +162,11 @@ def op6(spark: SparkSession, sf: str) -> DataFrame:
 @query("op5_owned_secrets")
 def op5(spark: SparkSession, sf: str) -> DataFrame:
     return digest(scan_secrets(table(spark, sf, "documents")))
+
+
+@query("op9_language_mixture")
+def op9(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    out = held_out(F.col("doc_id"), 5, 0)
+    model = learn(docs.where(~out))
+    return identify(docs, model).select("doc_id", out.alias("held_out"), "lang_pred", "score", "languages", "shares")
