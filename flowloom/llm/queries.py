@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import quality
 from .chat import expand, read_back
 from .decontaminate import scan
 from .langid import held_out, identify, learn
@@ -170,3 +171,13 @@ def op9(spark: SparkSession, sf: str) -> DataFrame:
     out = held_out(F.col("doc_id"), 5, 0)
     model = learn(docs.where(~out))
     return identify(docs, model).select("doc_id", out.alias("held_out"), "lang_pred", "score", "languages", "shares")
+
+
+@query("op7_naive_bayes_svm_quality")
+def op7(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    labels = table(spark, sf, "labels").select("doc_id", F.col("quality").alias("label"))
+    out = held_out(F.col("doc_id"), 3, 1)
+    model = quality.learn(docs.where(~out).join(labels.where(~out), "doc_id"))
+    scored = quality.score_quality(docs, model)
+    return scored.select("doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
