@@ -7,9 +7,10 @@ pass are compared on their full sets. The links' connected components are the gr
 
 No list is expanded into all of its pairs at once. First every list links its members to its centre,
 the member that shares the most with others, so that a group of copies, however large, costs one pair a
-copy. Afterwards only pairs between different components are left. A list of more than ``hot`` members
-is then needed only by classes that consist of such values for the most part; all others share a rarer
-value with whatever they resemble.
+copy. Afterwards only pairs between different components are left. Lists of up to ``hot`` members give
+theirs. Longer ones are needed only by classes that consist of such values for the most part, as all
+others share a rarer value with whatever they resemble; these few are compared by prefixes of their
+full sets, rarest element first, which is exact.
 
 What can be missed: two sets of similarity 0.8 share no retained value with a chance of 0.2 to the power
 k, and not at all while the sets have up to 5 (k - 1) shingles (a prefix of a fifth of the set, in the
@@ -18,13 +19,12 @@ order of the hash, holds a common value). The estimate errs beyond its slack wit
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
@@ -34,7 +34,6 @@ SKETCH = 48
 HOT_LIST = 64
 SLACK = 0.35
 MOSTLY_HOT = 0.55
-DENSE_VALUES = 12
 FILTER_BITS = 1 << 24
 CACHED_WORDS = 400_000
 
@@ -144,6 +143,14 @@ def _verifier(percent: int):
     return verify
 
 
+def _lister(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i in range(0, len(batch), 256):
+            part = batch.slice(i, 256)
+            found = [np.frombuffer(x.as_buffer(), np.int64) for x in part.column(1)]
+            yield pa.record_batch([np.repeat(part.column(0).to_numpy(), [len(x) for x in found]), np.concatenate(found)], names=["id", "key"])
+
+
 class Linker:
     """Candidate pairs of one corpus, estimated on sketches and compared on full sets."""
 
@@ -161,17 +168,16 @@ class Linker:
         likely = saved(likely.select("a", "b"), "likely")
         if likely.isEmpty():
             return likely
-        full = saved(self._sets(likely), "sets")
+        full = saved(self.sets(likely.select(F.explode(F.array("a", "b")).alias("id"))), "sets")
         x = full.select(F.col("id").alias("a"), F.col("elements").alias("x"))
         y = full.select(F.col("id").alias("b"), F.col("elements").alias("y"))
         return saved(likely.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_verifier(self.percent), "a long, b long"), "verified")
 
-    def _sets(self, pairs: DataFrame) -> DataFrame:
-        """Sets of the documents in ``pairs``; a filter of bounded size spares most others the work."""
-        spark = pairs.sparkSession
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("id"))
-        bits = FILTER_BITS
-        while bits > 1 << 16 and bits > 32 * max(1, pairs.count()):
+    def sets(self, ids: DataFrame) -> DataFrame:
+        """Full sets of ``ids`` and of some others; a filter of bounded size spares most others the work."""
+        spark = ids.sparkSession
+        bits, expected = FILTER_BITS, 16 * max(1, ids.count())
+        while bits > 1 << 16 and bits > expected:
             bits >>= 1
         cells = ids.mapInArrow(_marker(bits), "cell long, bits long").groupBy("cell").agg(F.bit_or("bits").alias("bits"))
         bitmap = np.zeros(bits // 64, np.int64)
@@ -180,6 +186,43 @@ class Linker:
         return self.docs.mapInArrow(_setter(self.width, bits, spark.sparkContext.broadcast(bitmap.tobytes())), "id long, elements binary")
 
 
+def fits(percent: int, n_a: str, n_b: str, before_a: str, before_b: str) -> Column:
+    """Whether two sets can still reach the limit: by their sizes, and by what is left after their first
+    common element when ``before`` elements of each come earlier and are not shared."""
+    return F.expr(
+        f"100 * least({n_a}, {n_b}) >= {percent} * greatest({n_a}, {n_b})"
+        f" and {100 + percent} * least({n_a} - {before_a}, {n_b} - {before_b}) >= {percent} * ({n_a} + {n_b})"
+    )
+
+
+def _apart(rows: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """Pairs of ids in different components that share a ``key`` and can reach the limit.
+
+    ``rows``: ``key``, ``id``, ``n``, ``rare``. Keys whose members are all in one component go first.
+    """
+    rows = saved(rows.join(roots, "id", "left").select("key", "id", "n", "rare", F.coalesce("root", "id").alias("root")), "rest")
+    split = rows.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least < most").select("key")
+    open_ = saved(rows.join(split, "key"), "open")
+    a, b = (open_.select("key", F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("root").alias(f"r_{x}"), F.col("rare").alias(f"p_{x}")) for x in "ab")
+    pairs = a.join(b, (a["key"] == b["key"]) & (F.col("a") < F.col("b")) & (F.col("r_a") != F.col("r_b")) & fits(percent, "n_a", "n_b", "p_a", "p_b"))
+    return pairs.select("a", "b").distinct()
+
+
+def _prefixes(linker: Linker, ids: DataFrame, percent: int) -> DataFrame:
+    """``key``, ``id``, ``n``, ``rare`` of the elements in the prefix of each set, with the rarest first.
+
+    Two sets that reach the limit share an element of both prefixes, whatever the order; in this one,
+    elements that no other set has come first, and a set with enough of them is compared with nothing.
+    """
+    sets = saved(linker.sets(ids), "dense_sets").join(ids, "id")
+    elements = saved(sets.mapInArrow(_lister, "id long, key long"), "elements")
+    counts = elements.groupBy("key").agg(F.count(F.lit(1)).alias("df"))
+    lists = elements.join(counts, "key").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("df", "key"))).alias("e")).withColumn("n", F.size("e").cast("long"))
+    prefix = F.slice("e", 1, (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int"))
+    rows = lists.select("id", "n", F.posexplode(prefix).alias("rare", "x"))
+    return rows.where("x.df > 1").select(F.col("x.key").alias("key"), "id", "n", "rare")
+
+
 def near_duplicates(
     docs: DataFrame, width: int = 5, percent: int = 80, k: int = SKETCH, hot: int = HOT_LIST, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -196,26 +239,33 @@ def near_duplicates(
     reps = saved(full.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "classes")
     linker = Linker(texts, reps, width, k, percent)
 
+    # Inverted lists of the retained values. ``rare`` counts the values of a sketch before this one that
+    # are in no hot list; if this is the first rare value that two sets share, they share n - rare at most.
     postings = reps.select(F.posexplode("sketch").alias("at", "value"), F.col("rep").alias("id"), "n", F.size("sketch").alias("kept"))
     lists = postings.groupBy("value").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
     shared = saved(postings.join(lists, "value"), "postings")
-    weights = shared.groupBy("id").agg(F.sum("m").alias("weight"), (F.sum(F.when(F.col("m") > hot, 1).otherwise(0)) > MOSTLY_HOT * F.first("kept")).alias("dense"))
-    members = saved(shared.join(weights, "id"), "members")
-    centres = members.groupBy("value").agg(F.max(F.struct("weight", (-F.col("id")).alias("minus"))).alias("top")).select("value", (-F.col("top.minus")).alias("centre"))
+    is_hot = F.col("m") > hot
+    by_id = shared.groupBy("id").agg(F.sum(F.log("m")).alias("weight"), F.array_sort(F.collect_list(F.when(is_hot, F.col("at")))).alias("hots"), F.first("kept").alias("kept"))
+    by_id = by_id.select("id", "weight", "hots", (F.size("hots") > MOSTLY_HOT * F.col("kept")).alias("dense"))
+    rare = F.col("at") - F.size(F.filter("hots", lambda h: h < F.col("at")))
+    members = saved(shared.join(by_id, "id").select("value", "id", "n", "m", "weight", "dense", rare.alias("rare")), "members")
+
+    # Every list links its members to its centre.
+    top = F.max(F.struct("weight", (-F.col("id")).alias("minus"), "n", "rare")).alias("c")
+    centres = members.groupBy("value").agg(top).select("value", (-F.col("c.minus")).alias("centre"), F.col("c.n").alias("c_n"), F.col("c.rare").alias("c_rare"))
     members = saved(members.join(centres, "value"), "centred")
-    stars = members.where("id <> centre").select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct()
-    links = linker.links(stars)
+    stars = members.where("id <> centre").where(fits(percent, "n", "c_n", "rare", "c_rare"))
+    links = linker.links(stars.select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct())
     roots = components(links)
 
-    # What the stars have not settled: pairs of other members in different components.
-    rest = members.where("m > 2 and id <> centre").where(F.expr(f"m <= {hot} or (dense and at < {DENSE_VALUES})"))
-    rest = rest.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id")).select("value", "id", "n", "root")
-    rest = saved(rest, "rest")
-    split = rest.groupBy("value").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least < most").select("value")
-    open_ = saved(rest.join(split, "value"), "open")
-    a, b = (open_.select("value", F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("root").alias(f"r_{x}")) for x in "ab")
-    apart = a.join(b, "value").where("a < b and r_a <> r_b").where(F.expr(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"))
-    more = linker.links(apart.select("a", "b").distinct())
+    # What is left: pairs of other members in different components, first of the lists that are not hot.
+    rest = members.where(F.expr(f"m > 2 and m <= {hot} and id <> centre")).select(F.col("value").alias("key"), "id", "n", "rare")
+    more = linker.links(_apart(rest, roots, percent))
+    # Classes with mostly hot values: prefixes of their full sets, rarest element first.
+    dense = saved(members.where("dense").select("id").distinct(), "dense")
+    if not dense.isEmpty():
+        most = linker.links(_apart(_prefixes(linker, dense, percent), roots, percent))
+        more = more.union(most)
     roots = components(links.union(more))
 
     classes = reps.join(roots.withColumnRenamed("id", "rep"), "rep", "left").select("fp", F.coalesce("root", "rep").alias("component_id"))
