@@ -99,6 +99,18 @@ class Encoder:
         return [b"".join(map(known, w)) for w in words]
 
 
+_ENCODERS: dict[tuple, Encoder] = {}
+
+
+def shared_encoder(path: str, dtype: str, splits: bool) -> Encoder:
+    """One encoder for each worker process, so that its tasks share what they have encoded."""
+    key = (path, dtype, splits)
+    if key not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[key] = Encoder(path, dtype, splits)
+    return _ENCODERS[key]
+
+
 @dataclass
 class Shard(WriterCommitMessage):
     name: str
@@ -117,7 +129,7 @@ class Writer(DataSourceArrowWriter):
         name = f"part-{part:05d}-{uuid.uuid4().hex}"
         files, root = storage(self.path)
         files.create_dir(root, recursive=True)
-        encoder, end = Encoder(self.tokenizer, self.dtype, self.splits), np.array([self.end], self.dtype).tobytes()
+        encoder, end = shared_encoder(self.tokenizer, self.dtype, self.splits), np.array([self.end], self.dtype).tobytes()
         docs = total = 0
         with files.open_output_stream(f"{root}/{name}.ids") as ids, files.open_output_stream(f"{root}/{name}.index") as index:
             for batch in batches:
@@ -220,7 +232,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end: int, voca
     spark = docs.sparkSession
     spark.dataSource.register(TokenFileSource)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    spread = rows.repartitionByRange(partitions, "doc_id", "text") if partitions else rows.repartitionByRange("doc_id", "text")
+    spread = rows.repartitionByRange(partitions, "doc_id") if partitions else rows.repartitionByRange("doc_id")
     dtype = "<u2" if vocabulary <= 1 << 16 else "<u4"
     writer = spread.sortWithinPartitions("doc_id", "text").write.format("tokenfiles").mode("append")
     writer.option("tokenizer", tokenizer).option("end", str(end)).option("dtype", dtype).option("splits", str(splits).lower()).save(path)
