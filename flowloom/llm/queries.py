@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from . import quality
 from .chat import expand, read_back
 from .decontaminate import scan
+from .extract import extract_text
 from .langid import held_out, identify, learn
 from .mixing import mix
 from .neardup import near_duplicates
@@ -181,3 +182,8 @@ def op7(spark: SparkSession, sf: str) -> DataFrame:
     model = quality.learn(docs.where(~out).join(labels.where(~out), "doc_id"))
     scored = quality.score_quality(docs, model)
     return scored.select("doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op4_recurrent_html_text")
+def op4(spark: SparkSession, sf: str) -> DataFrame:
+    return extract_text(table(spark, sf, "pages"))
