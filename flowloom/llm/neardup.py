@@ -273,3 +273,20 @@ def near_duplicates(
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).when(F.col("doc_id").isNotNull(), F.col("component_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
+
+def keep_one(docs: DataFrame, width: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs``, as they are, with one document of each group: the one of the smallest id.
+
+    Of rows that repeat an id one stays. Rows without words and rows without an id all stay. The ids
+    that go are one slim table; where it is small, Spark sends it around and no text moves.
+    """
+    told = saved(near_duplicates(docs, width, percent, doc_id=doc_id, text=text).where("doc_id is not null"), "told")
+    by_id = told.groupBy("doc_id").agg(F.bool_and("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+    marked = saved(by_id.where("not kept or n > 1"), "marked")
+    ids = marked.select(F.col("doc_id").alias("marked_id"), F.col("kept").alias("marked_kept"))
+    once = docs.join(ids, docs[doc_id] == ids["marked_id"], "left_anti")
+    again = marked.where("kept")
+    if again.isEmpty():
+        return once
+    again = again.select(F.col("doc_id").alias("marked_id"))
+    return once.unionByName(docs.join(again, docs[doc_id] == again["marked_id"], "left_semi").dropDuplicates([doc_id]))

@@ -8,6 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
+
 from . import quality
 from .chat import expand, read_back
 from .decontaminate import scan
@@ -187,3 +189,8 @@ def op7(spark: SparkSession, sf: str) -> DataFrame:
 @query("op4_recurrent_html_text")
 def op4(spark: SparkSession, sf: str) -> DataFrame:
     return extract_text(table(spark, sf, "pages"))
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf)
