@@ -254,9 +254,9 @@ SELECT CASE WHEN "Critique" > 0 THEN 'Critique' WHEN "Elevee" > 0 THEN 'Eleve' W
  "Critique" + "Elevee" + "Moyenne" + "Faible" AS incidents_actifs, "Critique", "Elevee", "Moyenne", "Faible" FROM o"""
 
 
-@query("D30_global_risk", f"WITH {REGISTER}, " + RISK.format(w="statut <> 'Traitee' AND gravite <> 'Critique'"))
+@query("D30_global_risk", f"WITH {REGISTER}, " + RISK.format(w="statut <> 'Traitee'"))
 def d30(spark, sf):
-    return alerts.global_risk(register(spark, sf).filter("gravite <> 'Critique'"))
+    return alerts.global_risk(register(spark, sf))
 
 
 @query("D31_history_kpis", f"""WITH {REGISTER} SELECT count(*) AS total_alertes, CAST(sum(u) AS BIGINT) AS attaques_detectees, count(*) FILTER (source = 'CSV') AS alertes_csv,

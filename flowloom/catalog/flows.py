@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import canonical_attack, is_attack, normalize_label, normalize_label_v1, short_name, slug
 from ..operators import cleaning, correlation, features, outliers, profiling, ranking, sampling
-from .inputs import COPIES, FEATURES, FLOWS, KEY, MESSY, TIES, YEARS, copies, flows, messy
+from .inputs import COPIES, FEATURES, FLOWS, KEY, MESSY, TIES, copies, flows, messy
 from .registry import query, table
 
 F3 = ["l_quantity", "l_extendedprice", "l_discount"]
@@ -339,11 +339,10 @@ def d25(spark, sf):
     return features.minmax_check(features.apply_minmax(df, features.fit_minmax(df, FEATURES)), FEATURES)
 
 
-@query("D26_presence_pivot", f"WITH {FLOWS} SELECT label, " + ", ".join(
-    f"count(*) FILTER (source_file = '{y}') AS n_{y}, round(log10(count(*) FILTER (source_file = '{y}') + 1), 6) AS log_{y}" for y in YEARS)
-    + " FROM flows GROUP BY label")
+@query("D26_presence_pivot", rf"""WITH {FLOWS}, p AS (PIVOT flows ON source_file USING count(*) AS n, round(log10(count(*) + 1), 6) AS log GROUP BY label)
+SELECT label, COLUMNS('^(.+)_n$') AS 'n_\1', COLUMNS('^(.+)_log$') AS 'log_\1' FROM p""")
 def d26(spark, sf):
-    return profiling.presence_pivot(flows(spark, sf), "label", "source_file", YEARS)
+    return profiling.presence_pivot(flows(spark, sf), "label", "source_file")
 
 
 @query("D27_attack_split", f"""WITH {FLOWS} SELECT source_file, round(100.0 * count(*) FILTER (label = 'BENIGN') / count(*), 4) AS benign_pct,

@@ -41,7 +41,8 @@ def a3(spark, sf):
     return flow_files.missing_inputs(inventory, ["lineitem.parquet", "events.parquet", "absent.parquet"])
 
 
-@query("A4_schema_check")
+@query("A4_schema_check", """SELECT CAST(count(*) AS BIGINT) AS n, v.compatible, CAST(1 AS BIGINT) AS kinds
+FROM (DESCRIBE lineitem), (VALUES (true), (false)) v(compatible) GROUP BY v.compatible""")
 def a4(spark, sf):
     path = scratch_path(spark, "mixed")
     df = table(spark, sf, "lineitem")

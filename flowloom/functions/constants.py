@@ -119,17 +119,7 @@ SHORT_NAMES = [
     ("portscan", "Fri-PortScan"),
     ("friday-workinghours-morning", "Fri-Morning"),
 ]
-LONG_SHORT_NAMES = [
-    ("monday", "Monday"),
-    ("tuesday", "Tuesday"),
-    ("wednesday", "Wednesday"),
-    ("webattacks", "Thursday-WebAttacks"),
-    ("infilteration", "Thursday-Infiltration"),
-    ("infiltration", "Thursday-Infiltration"),
-    ("ddos", "Friday-DDoS"),
-    ("portscan", "Friday-PortScan"),
-    ("friday-workinghours-morning", "Friday-Morning"),
-]
+
 EXPECTED_FILES = [
     "Friday-WorkingHours-Afternoon-DDos.pcap_ISCX.csv",
     "Friday-WorkingHours-Afternoon-PortScan.pcap_ISCX.csv",
@@ -241,4 +231,3 @@ FLOW_FEATURES = [
     "min_seg_size_forward", "Active Mean", "Active Std", "Active Max", "Active Min", "Idle Mean",
     "Idle Std", "Idle Max", "Idle Min",
 ]
-RATE_FEATURES = ["Flow Bytes/s", "Flow Packets/s"]

@@ -96,11 +96,6 @@ def corr_matrix(df: DataFrame, cols: list[str], digits: int = 6) -> DataFrame:
     return upper.unionByName(lower).unionByName(diagonal).withColumn("corr", F.round("corr", digits))
 
 
-def corr_matrix_wide(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Square table: one row and one column per variable."""
-    return corr_matrix(df, cols).groupBy("v1").pivot("v2", cols).agg(F.first("corr"))
-
-
 def upper_pairs(matrix: DataFrame, cols: list[str]) -> DataFrame:
     """Upper triangle of a long matrix, in column order."""
     rank = F.create_map(*[F.lit(x) for i, c in enumerate(cols) for x in (c, i)])

@@ -15,10 +15,6 @@ def _known(spark, classes: list) -> DataFrame:
     return spark.createDataFrame([(c,) for c in classes], f"y {kind}")
 
 
-def confusion_counts(df: DataFrame, y: str, yhat: str) -> DataFrame:
-    return df.groupBy(col(y).alias("y"), col(yhat).alias("yhat")).agg(F.count("*").alias("n"))
-
-
 def confusion(df: DataFrame, y: str, yhat: str, classes: list) -> DataFrame:
     """Dense matrix: one row per true class, one count column per predicted class."""
     kind = _known(df.sparkSession, classes).schema["y"].dataType

@@ -40,8 +40,8 @@ def with_weight(df: DataFrame, label: str, weights: DataFrame | None = None) ->
     return lookup_join(df, weights.select(label, "weight"), [label], null_safe=True)
 
 
-def usable_columns(df: DataFrame, cols: list[str], share: float = 0.95, most: int = 20) -> list[str]:
-    """First columns whose non-null share exceeds ``share``."""
+def usable_columns(df: DataFrame, cols: list[str], share: float = 0.95, most: int | None = None) -> list[str]:
+    """Columns whose non-null share exceeds ``share``, only the first ``most`` of them if that is given."""
     row = df.agg(*[F.avg(col(c).isNotNull().cast("double")) for c in cols]).first()
     return [c for c, x in zip(cols, row) if x is not None and x > share][:most]
 

@@ -133,12 +133,13 @@ def period_filter(df: DataFrame, ts: str, delta: str | None, now: Column) -> Dat
 def dedup_batch(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """First row per key in ``order``; rows whose last key is empty all stay.
 
-    The smallest row is kept by an aggregate, so a repeated id is reduced before the shuffle.
+    Ties go by the other columns from left to right, so the input's order does not matter. The smallest
+    row is kept by an aggregate, so a repeated id is reduced before the shuffle.
     """
     blank = F.coalesce(col(keys[-1]).cast("string"), F.lit("")) == ""
     rest = [c for c in df.columns if c not in (*order, *keys)]
     row = F.struct(*[col(c) for c in (*order, *rest)])
-    first = df.filter(~blank).groupBy(*keys).agg(F.min_by(row, F.struct(*[col(c) for c in order])).alias("_r"))
+    first = df.filter(~blank).groupBy(*keys).agg(F.min(row).alias("_r"))
     picked = first.select(*[col(c) if c in keys else F.col("_r")[c].alias(c) for c in df.columns])
     return picked.unionByName(df.filter(blank))
 
@@ -163,10 +164,14 @@ def update_status(history: DataFrame, updates: DataFrame, user: str, key: str =
     return joined.withColumn("statut", F.when(changed, F.col("_new")).otherwise(F.col("statut"))).drop("_new")
 
 
-def latest_alerts(history: DataFrame, n: int = 5, ts: str = "date", tie: str = "event_id") -> DataFrame:
-    """The newest n alerts (1 to 20) with the panel columns."""
+def latest_alerts(
+    history: DataFrame, n: int = 5, ts: str = "date", tie: str = "event_id", user: str | None = None
+) -> DataFrame:
+    """The newest n alerts with the panel columns; with ``user``, only of that owner."""
     panel = ["date", "classe", "gravite", "ip_source", "ip_destination", "protocole", "statut"]
-    n = max(1, min(20, n))
+    if n < 1:
+        raise ValueError("at least one alert must be asked for")
+    history = history if user is None else for_user(history, user)
     return history.orderBy(F.col(ts).desc(), F.col(tie).desc()).limit(n).select(*panel)
 
 

@@ -143,8 +143,14 @@ def attack_split(df: DataFrame, by: str, attack: Column) -> DataFrame:
     )
 
 
-def presence_pivot(df: DataFrame, row: str, column: str, values: list) -> DataFrame:
-    """Counts of ``row`` by the given ``column`` values, zeros filled, with log10(n + 1) beside."""
+def presence_pivot(df: DataFrame, row: str, column: str, values: list | None = None) -> DataFrame:
+    """Counts of ``row`` by ``column`` value, zeros filled, with log10(n + 1) beside.
+
+    Without ``values`` every value in the data gets its columns: sources are few, as each is a column.
+    """
+    if values is None:
+        found = df.select(col(column).alias("v")).distinct().filter("v is not null").orderBy("v")
+        values = [r["v"] for r in found.collect()]
     names = [str(v) for v in values]
     table = df.groupBy(row).agg(
         *[F.count_if(col(column) == F.lit(v)).alias(f"n_{s}") for v, s in zip(values, names)]

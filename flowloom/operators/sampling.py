@@ -23,8 +23,7 @@ def sample_n(
     """min(n, size) rows of every group."""
     sizes = _settled(df.groupBy(*by).count())
     quotas = sizes.select(*by, F.least(F.col("count"), F.lit(n)).cast("long").alias("quota"))
-    largest = sizes.agg(F.max("count")).first()[0] or 0
-    flagged = flag_quota(df, by, quotas, seed, key, ties, "_in", window_rows, largest)
+    flagged = flag_quota(df, by, quotas, seed, key, ties, "_in", window_rows)
     return flagged.filter("_in").drop("_in")
 
 
@@ -38,12 +37,12 @@ def stratified_sample(
 ) -> DataFrame:
     """Proportional sample: floor(size * class / total) rows per class, at least one."""
     sizes = _settled(df.groupBy(label).agg(F.count("*").alias("n")))
-    total, largest = sizes.agg(F.sum("n"), F.max("n")).first()
+    total = sizes.agg(F.sum("n")).first()[0]
     if total is None or total <= size:
         return df
     share = F.greatest(F.lit(1), F.floor(F.lit(size) * F.col("n") / F.lit(total)))
     quotas = sizes.select(label, F.least(share, F.col("n")).cast("long").alias("quota"))
-    flagged = flag_quota(df, [label], quotas, seed, key, ties, "_in", window_rows, largest)
+    flagged = flag_quota(df, [label], quotas, seed, key, ties, "_in", window_rows)
     return flagged.filter("_in").drop("_in")
 
 
@@ -69,8 +68,7 @@ def stratified_split(
     """Add ``split`` (train or test) with exact sizes in total and per class."""
     sizes = _settled(df.groupBy(label).agg(F.count("*").alias("n")))
     quotas = train_quotas(sizes, label, test_share).select(label, "quota")
-    largest = sizes.agg(F.max("n")).first()[0] or 0
-    flagged = flag_quota(df, [label], quotas, seed, key, ties, "_in", window_rows, largest)
+    flagged = flag_quota(df, [label], quotas, seed, key, ties, "_in", window_rows)
     return flagged.withColumn("split", F.when(F.col("_in"), "train").otherwise("test")).drop("_in")
 
 
@@ -112,4 +110,4 @@ def cap_rows(
     if total <= n:
         return df
     quota = df.sparkSession.createDataFrame([(n,)], "quota long")
-    return flag_quota(df, [], quota, seed, key, ties, "_in", window_rows, total).filter("_in").drop("_in")
+    return flag_quota(df, [], quota, seed, key, ties, "_in", window_rows).filter("_in").drop("_in")

@@ -39,6 +39,7 @@ class Prepared:
 def prepare(
     flows: DataFrame, features: list[str], label: str, source: str, seed: int = 42, test_share: float = 0.3,
     forest_targets: list[str] = (), trees: int = 80, depth: int = 14, window_rows: int = WINDOW_ROWS,
+    most_predictors: int | None = None,
 ) -> Prepared:
     """Clean, deduplicate, split, impute, drop constants, scale and weigh.
 
@@ -51,16 +52,16 @@ def prepare(
     # rows are distinct by now; should two hashes meet, the split still counts them exactly
     whole = [col(c) for c in (*features, label, source)]
     keyed = coded.withColumn("_key", F.concat_ws("-", F.xxhash64(*whole), F.hash(*whole)))
-    data = durable(stratified_split(keyed, label, test_share, seed, ["_key"], (), window_rows).drop("_key"))
+    data = durable(stratified_split(keyed, label, test_share, seed, ["_key"], (), window_rows).drop("_key"), ("split",))
     dictionary = durable(data.select("code", col(label).alias("classe")).distinct())
     fit_on = data.filter("split = 'train'")
     medians = fit_median(fit_on, features)
-    usable = usable_columns(fit_on, features, most=len(features))
+    usable = usable_columns(fit_on, features)
     for target in forest_targets:
-        predictors = [c for c in usable if c != target][:20]
+        predictors = [c for c in usable if c != target][:most_predictors]
         if predictors and not data.filter(col(target).isNull()).isEmpty():
             fit_on, data = impute_forest(fit_on, data, target, predictors, trees, depth)
-    filled = durable(apply_median(data, medians))
+    filled = durable(apply_median(data, medians), ("split",))
     kept = kept_columns(filled.filter("split = 'train'"), features)
     bounds = fit_minmax(filled.filter("split = 'train'"), kept)
     scaled = apply_minmax(filled, bounds).select(*[col(c) for c in kept], label, "code", source, "split")

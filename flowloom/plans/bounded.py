@@ -4,56 +4,41 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
 LOOKUP_ROWS = 100_000
-SALTS = 32
+LOOKUP_BYTES = 32 << 20
 
 
-def small_table(df: DataFrame, max_rows: int = LOOKUP_ROWS) -> DataFrame | None:
-    """``df`` as a local relation when it holds at most ``max_rows`` rows, else ``None``.
+def small_table(df: DataFrame, max_rows: int = LOOKUP_ROWS, max_bytes: int = LOOKUP_BYTES) -> DataFrame | None:
+    """``df`` as a local relation when it is at most ``max_rows`` and ``max_bytes`` large, else ``None``.
 
     The limit is part of the plan, so never more than ``max_rows + 1`` rows reach the driver.
     """
     table = df.limit(max_rows + 1).toArrow()
-    if table.num_rows > max_rows:
+    if table.num_rows > max_rows or table.nbytes > max_bytes:
         return None
     return df.sparkSession.createDataFrame(table, schema=df.schema)
 
 
-def _row_salt(df: DataFrame, salts: int):
-    hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in hashable]), F.lit(salts)).cast("int")
-
-
 def lookup_join(
     left: DataFrame,
     right: DataFrame,
     on: list[str],
     how: str = "left",
     max_rows: int = LOOKUP_ROWS,
-    salts: int = SALTS,
     null_safe: bool = False,
 ) -> DataFrame:
     """Join ``left`` with a table that is unique on ``on``.
 
-    The right side is broadcast only after its row count was checked. Beyond ``max_rows`` it is
-    copied once per salt and joined on (key, salt), so one hot key is spread over many tasks.
+    The right side is broadcast only after its size was checked. Beyond that it is a plain shuffle join,
+    whose hot keys Spark's adaptive skew handling splits: each part meets the one row of its key.
     """
     small = small_table(right, max_rows)
     if small is not None:
         right = F.broadcast(small)
-        extra: list[str] = []
-    else:
-        left = left.withColumn("_salt", _row_salt(left, salts))
-        right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        extra = ["_salt"]
     if not null_safe:
-        return left.join(right, [*on, *extra], how).drop(*extra)
-    renamed = right.select(
-        *[F.col(f"`{c}`").alias(f"_r_{c}") if c in (*on, *extra) else F.col(f"`{c}`") for c in right.columns]
-    )
-    condition = reduce(
-        lambda a, b: a & b, [F.col(f"`{c}`").eqNullSafe(F.col(f"`_r_{c}`")) for c in (*on, *extra)]
-    )
-    return left.join(renamed, condition, how).drop(*[f"_r_{c}" for c in (*on, *extra)], *extra)
+        return left.join(right, on, how)
+    renamed = right.select(*[F.col(f"`{c}`").alias(f"_r_{c}") if c in on else F.col(f"`{c}`") for c in right.columns])
+    condition = reduce(lambda a, b: a & b, [F.col(f"`{c}`").eqNullSafe(F.col(f"`_r_{c}`")) for c in on])
+    return left.join(renamed, condition, how).drop(*[f"_r_{c}" for c in on])

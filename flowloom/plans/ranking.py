@@ -105,11 +105,10 @@ def flag_quota(
     ties: list[str] = (),
     name: str = "chosen",
     window_rows: int = WINDOW_ROWS,
-    largest: int | None = None,
 ) -> DataFrame:
     """Flag, per stratum, the first ``quota`` rows in hash order (null strata count as one).
 
-    Large strata never travel: counts per hash prefix locate the cut, the bucket around it is
+    Rows never travel: counts per hash prefix locate the cut, the bucket around it is
     refined, and every row is then compared with its stratum's cut hash. Only rows that share the
     exact cut hash are numbered.
     """
@@ -118,13 +117,6 @@ def flag_quota(
         by = [ONE]
         hashed = hashed.withColumn(ONE, F.lit(1))
         quotas = quotas.withColumn(ONE, F.lit(1))
-    largest = largest_group(hashed, by) if largest is None else largest
-    if largest <= window_rows:
-        window = Window.partitionBy(*by).orderBy("_h", *ties)
-        ranked = hashed.withColumn("_rank", F.row_number().over(window))
-        flagged = lookup_join(ranked, quotas, by, "left", null_safe=True)
-        kept = F.col("_rank") <= F.coalesce("quota", F.lit(0))
-        return flagged.withColumn(name, kept).drop("_h", "_rank", "quota", ONE)
     found = _cutoffs(hashed, by, quotas)
     cuts = small_table(found)
     cuts = cuts if cuts is not None else durable(found)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import quote
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..functions.constants import SHORT_NAMES
@@ -25,9 +27,12 @@ def read_flows(
     schema: T.StructType = FLOW_SCHEMA,
     encoding: str | None = "UTF-8",
     rules: list[tuple[str, str]] = SHORT_NAMES,
+    check_headers: bool = True,
 ) -> DataFrame:
     """Read capture CSVs with provenance. Columns are positional, so a repeated header name is fine.
 
+    A file whose header is not that of ``schema`` (the second copy of a name ends in ``.1``, the third in
+    ``.2``) raises; only the first lines are read for that. ``check_headers=False`` skips it.
     ``encoding=None`` looks through the files first and reads those that are not UTF-8 as Latin-1.
     The label clean-up copes with undecodable dashes, so large captures need no such extra scan.
     """
@@ -46,6 +51,8 @@ def read_flows(
         )
         return reader.csv(paths).withColumn("source_file", short_name(decoded(F.col("_metadata.file_name")), rules))
 
+    if check_headers:
+        assert_headers(spark, path, schema.names)
     if encoding is not None:
         return read(path, encoding)
     broken = files_not_utf8(spark, path)
@@ -63,27 +70,62 @@ def files_not_utf8(spark: SparkSession, path: str | list[str]) -> list[tuple[str
     return [tuple(r) for r in bad.select("uri", decoded(F.col("uri"))).collect()]
 
 
+def assert_headers(spark: SparkSession, path: str | list[str], names: list[str]) -> None:
+    """Raise unless every file has the columns ``names`` in their order; names a few of the others."""
+    wrong = header_columns(spark, path).filter("size(columns) > 0").filter(F.col("columns") != F.array(*[F.lit(n) for n in names]))
+    found = wrong.orderBy("file").limit(3).collect()
+    if found:
+        told = "; ".join(f"{r['file']}: {[c for c in r['columns'] if c not in names] or 'missing or in another order'}" for r in found)
+        raise ValueError(f"files with other columns than the schema: {told}")
+
+
+# Schemes that Spark knows by another name than Arrow does.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "wasbs": "abfss"}
+
+
+def _stored_at(path: str) -> str:
+    """URI of a listed file: Spark names it without percent signs for blanks and the like."""
+    scheme, colon, rest = path.partition(":")
+    rest = quote(rest, safe="/:@+=,;!$&'()*~")
+    if scheme == "dbfs":
+        return "file:///dbfs/" + rest.lstrip("/")
+    return SCHEMES.get(scheme, scheme) + colon + rest
+
+
+def _numbered(names: list[str]) -> list[str]:
+    """Later copies of a name get .1, .2 and so on."""
+    seen: dict[str, int] = {}
+    out = []
+    for name in names:
+        n = seen.get(name, 0)
+        seen[name] = n + 1
+        out.append(f"{name}.{n}" if n else name)
+    return out
+
+
 def header_columns(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Trimmed header of each file. Tasks open the listed files and read one line, not the data."""
 
     def first_lines(batches):
+        import csv
+
         from pyarrow import fs
 
         for batch in batches:
-            lines = []
+            heads = []
             for uri in batch["path"]:
-                system, inner = fs.FileSystem.from_uri(uri)
+                system, inner = fs.FileSystem.from_uri(_stored_at(uri))
                 with system.open_input_stream(inner) as stream:
                     head = b""
                     while b"\n" not in head and (chunk := stream.read(1 << 16)):
                         head += chunk
-                lines.append(head.split(b"\n", 1)[0].decode("utf-8-sig", "replace").rstrip("\r"))
-            yield batch.assign(line=lines)
+                line = head.split(b"\n", 1)[0].decode("utf-8-sig", "replace").rstrip("\r")
+                heads.append(_numbered([c.strip() for c in next(csv.reader([line], skipinitialspace=True), [])]))
+            yield batch.assign(columns=heads)
 
     paths = spark.read.format("binaryFile").load(path).select("path")
-    heads = paths.mapInPandas(first_lines, "path string, line string")
-    names = F.transform(F.split("line", ","), lambda c: F.trim(c))
-    return heads.select(file_name(F.col("path")).alias("file"), names.alias("columns"))
+    heads = paths.mapInPandas(first_lines, "path string, columns array<string>")
+    return heads.select(file_name(F.col("path")).alias("file"), "columns")
 
 
 def schema_check(spark: SparkSession, path: str | list[str]) -> DataFrame:

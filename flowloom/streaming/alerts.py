@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import hashlib
-from datetime import timedelta
+from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.utils import AnalysisException
 
 from ..operators.history import dedup_batch, new_only, normalize_alerts, to_history
 from ..plans.bounded import lookup_join
@@ -15,24 +15,21 @@ from ..plans.checkpoints import durable
 from ..sources.eve import parse_eve
 
 KEYS = ["user_id", "event_id"]
-# A batch that spans more days than this is compared with the whole register.
-PRUNED_DAYS = 366
 UNDATED = "1970-01-01"
-# Default and allowed poll interval (seconds) and read size per poll (bytes).
-POLL_SECONDS = (2.0, 0.5, 60.0)
-READ_BYTES = (4 * 1024 * 1024, 64 * 1024, 64 * 1024 * 1024)
-
-
-def clamp(value: float | None, limits: tuple):
-    default, low, high = limits
-    return min(high, max(low, default if value is None else value))
+# Default poll interval (seconds) and read size per poll (bytes).
+POLL_SECONDS = 2.0
+READ_BYTES = 4 * 1024 * 1024
+# Error conditions of a folder in which nothing has been stored yet.
+NOTHING_STORED = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
 def start_marker(spark: SparkSession, path: str) -> str:
     """Time of the first start, written once; files older than this are never imported."""
     try:
         return spark.read.text(path).first()["value"]
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() not in NOTHING_STORED:
+            raise
         now = spark.range(1).select(F.current_timestamp().cast("string").alias("value"))
         now.coalesce(1).write.text(path)
         return spark.read.text(path).first()["value"]
@@ -41,11 +38,11 @@ def start_marker(spark: SparkSession, path: str) -> str:
 def log_lines(
     spark: SparkSession, path: str, max_bytes: int | None = None, start_at: str | None = None
 ) -> DataFrame:
-    """New files of a rotated log folder, a bounded number of bytes per trigger.
+    """New files of a rotated log folder, about ``max_bytes`` per trigger (4 MiB unless given).
 
     With ``start_at`` files last changed before that time are passed over.
     """
-    lines = spark.readStream.option("maxBytesPerTrigger", str(int(clamp(max_bytes, READ_BYTES)))).text(path)
+    lines = spark.readStream.option("maxBytesPerTrigger", str(int(READ_BYTES if max_bytes is None else max_bytes))).text(path)
     if start_at is not None:
         changed = F.col("_metadata.file_modification_time")
         lines = lines.filter(changed >= F.lit(start_at).cast("timestamp"))
@@ -59,43 +56,48 @@ def read_register(spark: SparkSession, path: str, days: list[str] | None = None)
         if days is None:
             return reader.parquet(path)
         return reader.parquet(f"{path}/source=*/event_date={{{','.join(days)}}}")
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() not in NOTHING_STORED:
+            raise
         return None
 
 
 def _event_date() -> Column:
+    """Day of the event's own time; alerts without a readable one share a partition."""
     return F.coalesce(F.substring("date", 1, 10).try_cast("date"), F.lit(UNDATED).cast("date"))
 
 
-def _days(first, last, undated: int) -> list[str] | None:
-    """Register days a batch can meet, None when it spans too many to list."""
-    if first is None:
-        return [UNDATED]
-    span = (last - first).days + 1
-    if span > PRUNED_DAYS:
-        return None
-    return [(first + timedelta(days=d)).isoformat() for d in range(span)] + ([UNDATED] if undated else [])
+def unseen(rows: DataFrame, stored: DataFrame) -> DataFrame:
+    """Rows whose (user, id) the register lacks.
+
+    The id contains the event's time, so equal ids lie in one day's partition. The register is first
+    reduced to the keys of the batch: their days prune its partitions, and no stored row that the
+    batch does not name is shuffled when the keys are few enough to be sent around.
+    """
+    keys = [*KEYS, "event_date"]
+    named = rows.filter(F.coalesce("event_id", F.lit("")) != "").select(*keys).distinct()
+    return new_only(rows, stored.select(*keys).join(named, keys, "left_semi"), keys=["event_date", *KEYS])
 
 
 def import_batch(batch: DataFrame, batch_id: int, history: str, metrics: str, user: str, name: str) -> None:
     """Append the unseen alerts of one micro-batch and record how many alerts it held.
 
-    The id contains the event time, so copies share a date and only the register days of the batch
-    are read. A repeated batch finds its own rows stored and adds nothing.
+    The partition day comes from the event, before a missing time is filled with the present one, so
+    the same alert meets itself on whatever day it is read again. A repeated batch finds its own rows
+    stored and adds nothing.
     """
     spark = batch.sparkSession
-    rows = to_history(normalize_alerts(parse_eve(batch)), "Suricata", "eve.json (automatique)", user)
-    rows = rows.withColumn("event_date", _event_date()).persist()
+    events = normalize_alerts(parse_eve(batch), now=F.lit(None).cast("string"))
+    rows = to_history(events, "Suricata", "eve.json (automatique)", user).withColumn("event_date", _event_date())
+    now = F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss")
+    rows = rows.withColumn("date", F.coalesce("date", now)).persist()
     try:
-        dated = F.when(F.col("event_date") != UNDATED, F.col("event_date"))
-        seen, newest, first, last, known = rows.agg(
-            F.count("*"), F.max("date"), F.min(dated), F.max(dated), F.count(dated)
-        ).first()
+        seen, newest = rows.agg(F.count("*"), F.max("date")).first()
         if seen:
             fresh = dedup_batch(rows, KEYS, ["date"])
-            stored = read_register(spark, history, _days(first, last, seen - known))
+            stored = read_register(spark, history)
             if stored is not None:
-                fresh = new_only(fresh, stored, KEYS)
+                fresh = unseen(fresh, stored)
             fresh = fresh.withColumn("batch", F.lit(f"{name}-{batch_id}")).hint("rebalance", "event_date")
             fresh.write.mode("append").partitionBy("source", "event_date").parquet(history)
         line = spark.range(1, numPartitions=1).select(
@@ -125,7 +127,7 @@ def alert_stream(
     )
     if once:
         return writer.trigger(availableNow=True).start()
-    return writer.trigger(processingTime=f"{clamp(poll_seconds, POLL_SECONDS)} seconds").start()
+    return writer.trigger(processingTime=f"{POLL_SECONDS if poll_seconds is None else poll_seconds} seconds").start()
 
 
 def compact_register(spark: SparkSession, path: str, days: list[str]) -> None:
@@ -137,38 +139,48 @@ def compact_register(spark: SparkSession, path: str, days: list[str]) -> None:
         writer.partitionBy("source", "event_date").parquet(path)
 
 
-def distinct_alerts(alerts: DataFrame, ts: str, delay: str = "1 day") -> DataFrame:
-    """Streaming deduplication with bounded state, for sinks that keep no register."""
-    return alerts.withWatermark(ts, delay).dropDuplicatesWithinWatermark(KEYS)
+def follow_totals(
+    rows: DataFrame, partial: Callable[[DataFrame], DataFrame], path: str, checkpoint: str, once: bool = True
+) -> StreamingQuery:
+    """Keep the partial totals of every micro-batch, one folder each.
 
+    A repeated batch replaces its own folder. No row is dropped for being late and no window waits to
+    be closed: totals are merged when they are read.
+    """
 
-def burst_stream(
-    events: DataFrame, keys: list[str], ts: str, threshold: int = 5, size: str = "5 minutes",
-    step: str = "1 minute", delay: str = "10 minutes",
-) -> DataFrame:
-    """Sliding windows in which a key fails at least ``threshold`` times."""
-    window = F.window(F.col("_at"), size, step)
-    return (
-        events.withColumn("_at", F.col(ts).cast("timestamp")).withWatermark("_at", delay)
-        .groupBy(*keys, window).agg(F.count("*").alias("attempts"))
-        .filter(F.col("attempts") >= threshold)
-        .select(*keys, F.col("window.start").alias("start"), F.col("window.end").alias("end"), "attempts")
-    )
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        partial(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
+    writer = rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(keep)
+    return writer.trigger(availableNow=True).start() if once else writer.start()
 
-def series_stream(
-    events: DataFrame, ts: str, n: Column, benign: Column, size: str = "1 hour", delay: str = "10 minutes"
-) -> DataFrame:
-    """Benign and malicious volume per tumbling window."""
+
+def burst_counts(events: DataFrame, keys: list[str], ts: str, size: str = "5 minutes", step: str = "1 minute") -> DataFrame:
+    """Failures per key and sliding window in one micro-batch."""
+    window = F.window(F.col(ts).cast("timestamp"), size, step)
+    counted = events.groupBy(*keys, window.alias("window")).agg(F.count("*").alias("attempts"))
+    return counted.select(*keys, F.col("window.start").alias("start"), F.col("window.end").alias("end"), "attempts")
+
+
+def bursts(partials: DataFrame, keys: list[str], threshold: int = 5) -> DataFrame:
+    """Windows in which a key failed at least ``threshold`` times, over all micro-batches."""
+    merged = partials.groupBy(*keys, "start", "end").agg(F.sum("attempts").alias("attempts"))
+    return merged.filter(F.col("attempts") >= threshold)
+
+
+def series_totals(events: DataFrame, ts: str, n: Column, benign: Column, size: str = "1 hour") -> DataFrame:
+    """Benign and malicious volume per tumbling window in one micro-batch."""
     rows = events.select(F.col(ts).cast("timestamp").alias("_at"), n.alias("n"), benign.alias("b"))
-    return (
-        rows.withWatermark("_at", delay).groupBy(F.window("_at", size))
-        .agg(
-            F.sum(F.when(F.col("b"), F.col("n")).otherwise(0.0)).alias("benin"),
-            F.sum(F.when(~F.col("b"), F.col("n")).otherwise(0.0)).alias("malveillant"),
-        )
-        .select(F.col("window.start").alias("bucket"), "benin", "malveillant")
+    totals = rows.groupBy(F.window("_at", size).alias("window")).agg(
+        F.sum(F.when(F.col("b"), F.col("n")).otherwise(0.0)).alias("benin"),
+        F.sum(F.when(~F.col("b"), F.col("n")).otherwise(0.0)).alias("malveillant"),
     )
+    return totals.select(F.col("window.start").alias("bucket"), "benin", "malveillant")
+
+
+def series(partials: DataFrame) -> DataFrame:
+    """The live series, over all micro-batches."""
+    return partials.groupBy("bucket").agg(F.sum("benin").alias("benin"), F.sum("malveillant").alias("malveillant"))
 
 
 def write_stream(df: DataFrame, path: str, checkpoint: str, once: bool = True, fmt: str = "parquet") -> StreamingQuery:

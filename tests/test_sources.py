@@ -4,6 +4,7 @@ import json
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flowloom.functions.constants import EXPECTED_FILES, FLOW_FEATURES
 from flowloom.operators import history
@@ -43,6 +44,20 @@ def test_latin_fallback(spark, tmp_path):
     assert "�" in flows.read_flows(spark, str(tmp_path)).filter("`Destination Port` = 1").first()["Label"]
 
 
+def test_other_columns_raise(spark, tmp_path):
+    schema = "x DOUBLE, y DOUBLE, `y.1` DOUBLE, Label STRING"
+    (tmp_path / "a.csv").write_text('x, "y" ,y,Label\n1,2,3,B\n')
+    parsed = T._parse_datatype_string(schema)
+    assert flows.read_flows(spark, str(tmp_path), parsed).drop("source_file").collect() == [(1.0, 2.0, 3.0, "B")]
+    (tmp_path / "b.csv").write_text("y,x,y,Label\n1,2,3,B\n")
+    with pytest.raises(ValueError, match="b.csv"):
+        flows.read_flows(spark, str(tmp_path), parsed)
+    assert flows.read_flows(spark, str(tmp_path), parsed, check_headers=False).count() == 2
+    (tmp_path / "b.csv").write_text("x,y,Label\n1,2,B\n")
+    with pytest.raises(ValueError, match="b.csv"):
+        flows.read_flows(spark, str(tmp_path), parsed)
+
+
 def test_schema_and_inventory(spark, tmp_path):
     (tmp_path / "a.csv").write_text("﻿ x, y ,Label\n1,2,B\n")
     (tmp_path / "b.csv").write_text("x,y,Label\n1,2,B\n")

@@ -4,6 +4,9 @@ import json
 import os
 import time
 
+from pyspark.sql import functions as F
+
+from flowloom.operators.history import dedup_batch, latest_alerts
 from flowloom.streaming import alerts as live
 
 
@@ -67,6 +70,44 @@ def test_first_start_skips_old_files(spark, tmp_path):
     assert live.read_register(spark, f"{root}/register").count() == 2
 
 
-def test_limits():
-    assert live.clamp(None, live.POLL_SECONDS) == 2 and live.clamp(0.1, live.POLL_SECONDS) == 0.5
-    assert live.clamp(900, live.POLL_SECONDS) == 60 and live.clamp(1, live.READ_BYTES) == 64 * 1024
+def test_an_alert_without_time_is_stored_once_on_any_day(spark, tmp_path):
+    root = str(tmp_path)
+    undated = spark.createDataFrame([(line(1, stamp=None),), (line(2),), (line(1, stamp=None),)], "value string")
+    live.import_batch(undated, 0, f"{root}/register", f"{root}/metrics", "u1", "s")
+    stored = live.read_register(spark, f"{root}/register")
+    assert stored.count() == 2 and stored.filter("event_date = '1970-01-01'").filter("date is not null").count() == 1
+    # read again after midnight: the row that is stored carries another day as its date
+    moved = stored.withColumn("date", F.lit("2001-01-01 00:00:00"))
+    moved.write.partitionBy("source", "event_date").parquet(f"{root}/yesterday")
+    live.import_batch(undated, 7, f"{root}/yesterday", f"{root}/metrics", "u1", "s")
+    assert live.read_register(spark, f"{root}/yesterday").count() == 2
+    live.import_batch(undated, 8, f"{root}/yesterday", f"{root}/metrics", "u2", "s")
+    assert live.read_register(spark, f"{root}/yesterday").count() == 4
+
+
+def test_copies_that_differ_give_the_same_row_in_any_order(spark):
+    rows = [("u", "1", "d", "Moyenne"), ("u", "1", "d", "Critique"), ("u", "", "d", "x"), ("u", "", "d", "x")]
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "user_id string, event_id string, date string, gravite string")
+        got = dedup_batch(df, live.KEYS, ["date"]).orderBy("gravite").collect()
+        assert [r.gravite for r in got] == ["Critique", "x", "x"]
+
+
+def test_windows_keep_late_rows_and_the_last_window(spark, tmp_path):
+    root = str(tmp_path)
+    day = lambda h: f"2026-08-0{1 + h // 24} {h % 24:02d}:10:00"
+    for part, hours in enumerate(([40, 41], [1, 1, 1], [40, 1])):
+        spark.createDataFrame([("k", day(h)) for h in hours], "k string, ts string").coalesce(1).write.mode("append").parquet(f"{root}/in")
+    events = spark.readStream.schema("k string, ts string").option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    count = lambda batch: live.burst_counts(batch, ["k"], "ts", "1 hour", "1 hour")
+    for _ in range(2):
+        live.follow_totals(events, count, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    got = live.bursts(spark.read.parquet(f"{root}/out"), ["k"], 1).orderBy("start").collect()
+    assert [(str(r.start), r.attempts) for r in got] == [("2026-08-01 01:00:00", 4), ("2026-08-02 16:00:00", 2), ("2026-08-02 17:00:00", 1)]
+
+
+def test_latest_alerts_of_one_owner(spark):
+    columns = "user_id string, event_id string, date string, classe string, gravite string, ip_source string, ip_destination string, protocole string, statut string"
+    df = spark.createDataFrame([(f"u{i % 2}", str(i), f"2026-01-{i % 28 + 1:02d}", f"u{i % 2}", "", "", "", "", "") for i in range(60)], columns)
+    assert latest_alerts(df, 50).count() == 50
+    assert {r.classe for r in latest_alerts(df, 50, user="u1").collect()} == {"u1"}
