@@ -109,30 +109,19 @@ def i7(spark, sf):
     return _impute(spark, sf, imputation.impute_gbt, rounds=5, depth=3)
 
 
-DIMS = [f"e{i}" for i in range(6)]
-POINTS = """points AS (SELECT vec_id, """ + ", ".join(
-    f"CAST(embedding[{i + 1}] AS DOUBLE) AS e{i}" for i in range(6)) + """,
- CASE WHEN vec_id % 10 = 0 THEN NULL ELSE CAST(embedding[7] AS DOUBLE) END AS target FROM embeddings),
-holes AS (SELECT * REPLACE (CASE WHEN vec_id % 7 = 0 THEN NULL ELSE e0 END AS e0) FROM points)"""
-_SQUARES = " + ".join(f"coalesce((q.{d} - r.{d}) ** 2, 0)" for d in DIMS)
-_SEEN = " + ".join(f"CASE WHEN q.{d} IS NULL OR r.{d} IS NULL THEN 0 ELSE 1 END" for d in DIMS)
-
-
-def points(spark, sf):
-    dims = [F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(6)]
-    target = F.when(F.col("vec_id") % 10 != 0, F.col("embedding")[6].cast("double")).alias("target")
-    df = table(spark, sf, "embeddings").select("vec_id", *dims, target)
-    return df.withColumn("e0", F.when(F.col("vec_id") % 7 != 0, F.col("e0")))
-
-
-@query("I5_impute_knn", f"""WITH {POINTS}, d AS (SELECT q.vec_id, r.target AS t, sqrt(6.0 / ({_SEEN}) * ({_SQUARES})) AS dist
- FROM holes q, holes r WHERE q.target IS NULL AND r.target IS NOT NULL),
-k AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY dist, t) AS r FROM d),
-g AS (SELECT vec_id, avg(t) AS guess FROM k WHERE r <= 5 GROUP BY 1)
-SELECT vec_id, round(coalesce(target, guess), 6) AS target FROM holes LEFT JOIN g USING (vec_id)""")
+NEAR = ["l_quantity", "l_extendedprice", "l_discount"]
+_SQUARES = " + ".join(f"(q.{d} - r.{d}) ** 2" for d in NEAR)
+
+
+@query("I5_impute_knn", f"""WITH {FLOWS}, d AS (SELECT q.l_orderkey, q.l_partkey, q.l_suppkey, q.l_linenumber, r.rate AS t, sqrt({_SQUARES}) AS dist
+ FROM clean q, clean r WHERE q.rate IS NULL AND r.rate IS NOT NULL),
+k AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_partkey, l_suppkey, l_linenumber ORDER BY dist, t) AS r FROM d),
+g AS (SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, avg(t) AS guess FROM k WHERE r <= 5 GROUP BY ALL)
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, round(coalesce(rate, guess), 6) AS rate FROM clean LEFT JOIN g USING (l_orderkey, l_partkey, l_suppkey, l_linenumber)""")
 def i5(spark, sf):
-    df = points(spark, sf)
-    return imputation.impute_knn(df, df, "vec_id", "target", DIMS).select("vec_id", F.round("target", 6).alias("target"))
+    """Every missing rate of the flows, from all three predictors."""
+    df = clean(spark, sf).withColumn("key", F.concat_ws("-", *KEY))
+    return imputation.impute_knn(df, df, "key", "rate", NEAR).select(*KEY, F.round("rate", 6).alias("rate"))
 
 
 @query("I8_nrmse_nmae", f"""WITH {FLOWS}, s AS (SELECT quantile_cont(l_extendedprice, 0.75) - quantile_cont(l_extendedprice, 0.25) AS iqr FROM clean),
@@ -217,9 +206,9 @@ def _report(spark, sf, kind, params):
     return report.select("classe", "support", sound.alias("sound"))
 
 
-SUPPORTS = f"""WITH {SPLIT}, t AS (SELECT label, count(*) FILTER (split = 'test') AS n FROM parts GROUP BY 1)
-SELECT CAST(row_number() OVER (ORDER BY label) - 1 AS VARCHAR) AS classe, n AS support, true AS sound FROM t
-UNION ALL SELECT v.classe, (SELECT CAST(sum(n) AS BIGINT) FROM t), true FROM (VALUES ('accuracy'), ('macro avg'), ('weighted avg')) v(classe)"""
+SUPPORTS = f"""WITH {SPLIT}, held AS (SELECT label, count(*) FILTER (split = 'test') AS n FROM parts GROUP BY 1)
+SELECT CAST(row_number() OVER (ORDER BY label) - 1 AS VARCHAR) AS classe, n AS support, true AS sound FROM held
+UNION ALL SELECT v.classe, (SELECT CAST(sum(n) AS BIGINT) FROM held), true FROM (VALUES ('accuracy'), ('macro avg'), ('weighted avg')) v(classe)"""
 
 
 @query("I11_decision_tree", SUPPORTS)

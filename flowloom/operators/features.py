@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.scalars import col
 from ..plans.bounded import lookup_join
@@ -30,9 +30,8 @@ def decode_label(df: DataFrame, code: str, dictionary: DataFrame) -> DataFrame:
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """Balanced weights n / (k * n_class)."""
     counted = df.groupBy(label).agg(F.count("*").alias("n"))
-    total = counted.agg(F.sum("n")).scalar()
-    classes = counted.agg(F.count("*")).scalar()
-    return counted.withColumn("weight", total / (classes * F.col("n")))
+    classes = Window.partitionBy(F.lit(0))  # one row per class
+    return counted.withColumn("weight", F.sum("n").over(classes) / (F.count("*").over(classes) * F.col("n")))
 
 
 def with_weight(df: DataFrame, label: str, weights: DataFrame | None = None) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scalars import col
+from ..plans.checkpoints import durable
 from ..plans.quantiles import BUFFER_CELLS, exact_quantiles
 from .cleaning import inf_to_null
 
@@ -87,6 +88,7 @@ def peaks(series: DataFrame, c: str, time: str = "bucket") -> DataFrame:
     Needs at least three buckets and a positive maximum, else there is no peak.
     """
     x = col(c).cast("double")
+    series = durable(series)  # one row per bucket; it is read several times
     stats = exact_quantiles(series, {c: x}, [0.25, 0.75])
     size = series.agg(F.count(x), F.max(x)).first()
     if size[0] < 3 or size[1] is None or size[1] <= 0:

@@ -58,18 +58,16 @@ def quality_table(df: DataFrame, cols: list[str]) -> DataFrame:
 def class_distribution(df: DataFrame, label: str, by: str | None = None, digits: int = 6) -> DataFrame:
     """Rows per class with their percentage of the whole, or of each group."""
     counted = df.groupBy(*([by] if by else []), label).agg(F.count("*").alias("n"))
-    if by is None:
-        # the source is counted again from metadata or a pruned scan; no single-task window
-        total = df.agg(F.count("*")).scalar()
-        return counted.withColumn("pct", percent(F.col("n"), total, digits)).orderBy(F.desc("n"), label)
-    whole = F.sum("n").over(Window.partitionBy(by))  # one row per class of the group
-    return counted.withColumn("pct", percent(F.col("n"), whole, digits))
+    # the window runs over the counts, one row per class, so the source is read once
+    whole = F.sum("n").over(Window.partitionBy(by if by else F.lit(0)))
+    shares = counted.withColumn("pct", percent(F.col("n"), whole, digits))
+    return shares if by else shares.orderBy(F.desc("n"), label)
 
 
 def merge_distributions(partials: DataFrame, label: str, n: str = "n", digits: int = 6) -> DataFrame:
     """Global distribution from per-source counts."""
-    total = partials.agg(F.sum(n)).scalar()
     merged = partials.groupBy(label).agg(F.sum(n).alias("n"))
+    total = F.sum("n").over(Window.partitionBy(F.lit(0)))  # one row per class
     return merged.withColumn("pct", percent(F.col("n"), total, digits)).orderBy(F.desc("n"), label)
 
 
