@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import time
-
 from pyspark.sql import functions as F
 
 from ..functions.labels import is_benign
@@ -44,15 +42,18 @@ def j1(spark, sf):
 
 @query("J2_start_at_end", f"WITH {ALERTS} SELECT timestamp, proto FROM logs WHERE proto = 'UDP'")
 def j2(spark, sf):
-    """Files that were there before the first start are passed over, later ones are read."""
+    """What is in the log at the first start is passed over, what is appended later is read."""
     root = scratch_path(spark, "start")
     lines = logs(spark, sf).select("proto", F.to_json(F.struct(*logs(spark, sf).columns)).alias("value"))
-    lines.filter("proto = 'TCP'").select("value").repartition(2).write.text(f"{root}/log")
-    time.sleep(1.5)  # file times of the second write must be later than the marker
-    start = live.start_marker(spark, f"{root}/start")
-    lines.filter("proto = 'UDP'").select("value").repartition(2).write.mode("append").text(f"{root}/log")
-    events = parse_eve(live.log_lines(spark, f"{root}/log", start_at=start)).select("timestamp", "proto")
-    live.write_stream(events, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+
+    def follow(proto):
+        if proto:
+            lines.filter(F.col("proto") == proto).select("value").repartition(2).write.mode("append").text(f"{root}/log")
+        events = parse_eve(live.growing_lines(spark, f"{root}/log")).select("timestamp", "proto")
+        live.write_stream(events, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+
+    follow("TCP")
+    follow("UDP")
     return spark.read.parquet(f"{root}/out")
 
 

@@ -13,6 +13,7 @@ from ..operators.history import dedup_batch, new_only, normalize_alerts, to_hist
 from ..plans.bounded import lookup_join
 from ..plans.checkpoints import durable
 from ..sources.eve import parse_eve
+from .tail import growing_lines
 
 KEYS = ["user_id", "event_id"]
 UNDATED = "1970-01-01"
@@ -112,17 +113,22 @@ def import_batch(batch: DataFrame, batch_id: int, history: str, metrics: str, us
 def alert_stream(
     spark: SparkSession, source: str, history: str, metrics: str, checkpoint: str, user: str,
     max_bytes: int | None = None, poll_seconds: float | None = None, from_start: bool = False,
-    once: bool = False,
+    once: bool = False, growing: bool = False,
 ) -> StreamingQuery:
     """Follow a folder of IDS log files and keep the register deduplicated.
 
-    Unless ``from_start``, files that were there before the first start are skipped.
+    Unless ``from_start``, files that were there before the first start are skipped. With ``growing``
+    the log is one file, or a folder of some, to which lines are appended: what is there at the first
+    start is skipped, and a file that was replaced is read from its start.
     """
-    start = None if from_start else start_marker(spark, f"{checkpoint.rstrip('/')}-start")
     name = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
+    if growing:
+        lines = growing_lines(spark, source, max_bytes, from_start)
+    else:
+        start = None if from_start else start_marker(spark, f"{checkpoint.rstrip('/')}-start")
+        lines = log_lines(spark, source, max_bytes, start)
     writer = (
-        log_lines(spark, source, max_bytes, start)
-        .writeStream.option("checkpointLocation", checkpoint)
+        lines.writeStream.option("checkpointLocation", checkpoint)
         .foreachBatch(lambda df, i: import_batch(df, i, history, metrics, user, name))
     )
     if once:

@@ -111,3 +111,48 @@ def test_latest_alerts_of_one_owner(spark):
     df = spark.createDataFrame([(f"u{i % 2}", str(i), f"2026-01-{i % 28 + 1:02d}", f"u{i % 2}", "", "", "", "", "") for i in range(60)], columns)
     assert latest_alerts(df, 50).count() == 50
     assert {r.classe for r in latest_alerts(df, 50, user="u1").collect()} == {"u1"}
+
+
+def grown(spark, root, **options):
+    lines = live.growing_lines(spark, f"{root}/log", **options)
+    lines.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/c").trigger(availableNow=True).start().awaitTermination()
+    return sorted(r.value for r in spark.read.schema("value string").parquet(f"{root}/out").collect())
+
+
+def test_growing_log(spark, tmp_path):
+    root = str(tmp_path)
+    log = f"{root}/log/eve.json"
+    os.makedirs(f"{root}/log")
+
+    def append(text, mode="a"):
+        with open(log, mode) as f:
+            f.write(text)
+
+    append("old 1\nold 2\nold ")
+    assert grown(spark, root) == []  # what is there at the first start is passed over
+    append("3\nnew é 1\nhalf")
+    assert grown(spark, root) == ["new é 1", "old 3"]  # the half line waits
+    assert grown(spark, root) == ["new é 1", "old 3"]
+    append(" and whole\r\n\n")
+    assert grown(spark, root) == ["", "half and whole", "new é 1", "old 3"]
+    append("shrunk\n", "w")  # replaced by a shorter file: read from the start
+    assert grown(spark, root)[-1] == "shrunk"
+    append("another beginning that is longer than before\n" * 3, "w")
+    assert grown(spark, root).count("another beginning that is longer than before") == 3
+
+
+def test_growing_log_in_small_ranges(spark, tmp_path, monkeypatch):
+    from flowloom.streaming import tail
+
+    path = tmp_path / "log"
+    lines = [f"line {i} " + "x" * (i % 37) for i in range(400)]
+    path.write_text("\n".join(lines) + "\n")
+    monkeypatch.setattr(tail, "RANGE_BYTES", 64)
+    monkeypatch.setattr(tail, "TAIL_BYTES", 16)
+    reader = tail.LogReader({"path": str(path), "from_start": "true", "max_bytes": "500"})
+    offset, got, batches = reader.initialOffset(), [], 0
+    while (end := reader.latestOffset()) != offset:
+        for part in reader.partitions(offset, end):
+            got += [v for b in reader.read(part) for v in b.column(0).to_pylist()]
+        offset, batches = end, batches + 1
+    assert got == lines and batches > 10
