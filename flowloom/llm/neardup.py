@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .store import saved
+from .store import saved, temporaries
 
 SKETCH = 48
 HOT_LIST = 64
@@ -234,6 +234,11 @@ def near_duplicates(
     no group: its component is null, and it is kept.
     """
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
+    with temporaries(docs.sparkSession):
+        return saved(_grouped(texts, width, percent, k, hot), "groups", keep=True)
+
+
+def _grouped(texts: DataFrame, width: int, percent: int, k: int, hot: int) -> DataFrame:
     rows = saved(texts.mapInArrow(_digester(width, k), "doc_id long, n long, fp binary, sketch array<long>"), "digests")
     full = rows.where("doc_id is not null and n > 0")
     reps = saved(full.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "classes")

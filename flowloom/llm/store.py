@@ -2,14 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+
+from pyspark.sql import DataFrame, SparkSession
 
 from flowloom.plans.checkpoints import scratch_path
 
+_MADE: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
+def saved(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
+    """Write ``df`` as Parquet below the shared folder and return the written table.
 
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet below the shared folder and return the written table."""
+    Inside ``temporaries`` the table goes with the others at the end, unless ``keep`` is set.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    made = _MADE.get()
+    if made is not None and not keep:
+        made.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def temporaries(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables that ``saved`` writes inside; what is needed later has to be kept by then."""
+    token = _MADE.set(made := [])
+    try:
+        yield
+    finally:
+        _MADE.reset(token)
+        for path in made:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path).getParent()
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
