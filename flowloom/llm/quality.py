@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .idfilter import members
 from .store import saved
 
 BUCKET_BITS = 18
@@ -131,6 +132,16 @@ def _fitter(sent):
     return fit
 
 
+def labelled_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``doc_id``, ``text``, ``label`` of the documents in ``labels`` (``doc_id``, ``label``).
+
+    Texts without a label are mostly set aside where they lie, so that the join moves few of them.
+    """
+    named = labels.where("label in (0, 1) and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("label").cast("int").alias("label"))
+    texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+    return members(texts, named.select("doc_id"), "doc_id").join(named, "doc_id")
+
+
 def learn(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """Fit on ``labelled`` (``doc_id``, ``text``, ``label`` 0 or 1; nulls are left out).
 

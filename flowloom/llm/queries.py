@@ -181,7 +181,7 @@ def op7(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     labels = table(spark, sf, "labels").select("doc_id", F.col("quality").alias("label"))
     out = held_out(F.col("doc_id"), 3, 1)
-    model = quality.learn(docs.where(~out).join(labels.where(~out), "doc_id"))
+    model = quality.learn(quality.labelled_texts(docs.where(~out), labels.where(~out)))
     scored = quality.score_quality(docs, model)
     return scored.select("doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 

@@ -4,6 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from flowloom.llm import quality
+from flowloom.llm.idfilter import members
 from flowloom.llm.queries import op7
 
 ROWS = "text string, doc_id long, label int, score string, grams int"
@@ -45,6 +46,16 @@ def test_counts_cover_all_rows_and_the_fit_separates(spark):
     assert score[300] == score[301]
 
 
+def test_labels_find_their_texts(spark):
+    docs = spark.createDataFrame([(f"t{i}", i, None, "", 0) for i in range(3000)] + [("none", None, None, "", 0), ("again", 5, None, "", 0)], ROWS)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(0, 3000, 7)] + [(5, 1), (None, 1), (4, None), (99999, 0)], "doc_id long, label int")
+    got = sorted((r.doc_id, bytes(r.text).decode(), r.label) for r in quality.labelled_texts(docs, labels).collect())
+    assert got == sorted([(i, f"t{i}", i % 2) for i in range(0, 3000, 7)] + [(5, "t5", 1), (5, "again", 1)])
+    few = members(docs.select("doc_id"), labels.select("doc_id"), "doc_id").count()
+    assert 430 <= few < 900
+    assert quality.labelled_texts(docs, labels.limit(0)).count() == 0
+
+
 def test_descent_reaches_the_optimum():
     rng = np.random.default_rng(0)
     x = [np.sort(rng.choice(20, 6, replace=False)) for _ in range(60)]
