@@ -31,6 +31,19 @@ def test_blocks_of_odd_markup():
     assert len(blocks("<div>" * 3000 + "x" + "<p>y" * 20000)) == 20001
 
 
+def test_silent_tags_take_no_more_than_their_own():
+    for tag in ("<svg/>", "<svg />", "<math/>", "<SVG class='i' aria-label=\"a > b\" />", "<svg viewBox='0 0 1 1'\n/>"):
+        assert texts(f"<article><p>a</p>{tag}<p>b</p></article><svg><text>x</text></svg><p>c</p>") == ["a", "b", "c"]
+        assert texts(f"<p>a {tag}b</p><p>c") == ["a b", "c"]
+    for tag in ("object-card", "select-menu", "template-part", "svg-icon", "math-field", "canvas-x"):
+        page = f"<article><p>a</p><{tag} class=x><p>b</p></{tag}><p>c</p></article><p>d"
+        assert texts(page) == ["a", "b", "c", "d"]
+        assert blocks(page)[1].path == ("article", f"{tag} x", "p")
+    # as before: contents are dropped, and a slash does not close the others
+    assert texts("a<svg title='/>'><text>x</text></svg> b") == ["a b"] and texts("a<svg><path d='M0'/><g/>x</svg> b") == ["a b"]
+    assert texts("a<script src=x />var y;</script> b") == ["a b"] and texts("a<object data=x>y</object\n> b<select\n>z") == ["a b"]
+
+
 def test_gradients_are_those_of_the_loss():
     rng = np.random.default_rng(1)
     pages = [rng.normal(size=(n, INPUTS)).astype(np.float32) for n in (1, 4, 3)]
