@@ -174,7 +174,8 @@ class Linker:
         return saved(likely.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_verifier(self.percent), "a long, b long"), "verified")
 
     def sets(self, ids: DataFrame) -> DataFrame:
-        """Full sets of ``ids`` and of some others; a filter of bounded size spares most others the work."""
+        """Full sets of ``ids`` and of some others, one row an id however often its row repeats; a filter of
+        bounded size spares most others the work."""
         spark = ids.sparkSession
         bits, expected = FILTER_BITS, 16 * max(1, ids.count())
         while bits > 1 << 16 and bits > expected:
@@ -183,7 +184,8 @@ class Linker:
         bitmap = np.zeros(bits // 64, np.int64)
         for row in cells.toLocalIterator():  # at most bits / 64 rows
             bitmap[row.cell] = row.bits
-        return self.docs.mapInArrow(_setter(self.width, bits, spark.sparkContext.broadcast(bitmap.tobytes())), "id long, elements binary")
+        found = self.docs.mapInArrow(_setter(self.width, bits, spark.sparkContext.broadcast(bitmap.tobytes())), "id long, elements binary")
+        return found.dropDuplicates(["id"])
 
 
 def fits(percent: int, n_a: str, n_b: str, before_a: str, before_b: str) -> Column:

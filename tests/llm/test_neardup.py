@@ -70,6 +70,24 @@ def test_matches_brute_force(spark, width, hot):
     assert all(r.kept == (r.doc_id is None or r.doc_id == r.component_id) for r in got)
 
 
+def dense_group(others, tail):
+    """Two texts whose common values are all hot, in a group whose centres resemble neither of them."""
+    passage, end = [f"p{i}" for i in range(30)], [f"e{i}" for i in range(7)]
+    texts = [[*passage, *(f"x{i}" for i in range(tail))], [*(f"y{i}" for i in range(tail)), *passage]]
+    texts += [[*passage, *end, f"o{i}"] for i in range(others)]
+    return [(i + 1, " ".join(t), "", 0, "") for i, t in enumerate(texts)]
+
+
+@pytest.mark.parametrize("copies", [(2, 1), (1, 2), (3, 2)])
+def test_repeated_rows_in_a_dense_group(spark, copies):
+    rows = dense_group(80, 3)
+    rows += [rows[0]] * (copies[0] - 1) + [rows[1]] * (copies[1] - 1)
+    got = near_duplicates(spark.createDataFrame(rows, DOCS).repartition(5)).collect()
+    want = brute(rows, 5, 80)
+    assert {c for i, _, c in want if i in ("1", "2")} == {1}
+    assert sorted((str(r.doc_id), r.n_shingles, r.component_id) for r in got) == want
+
+
 def test_empty_table_and_nothing_alike(spark):
     assert near_duplicates(spark.createDataFrame([], DOCS)).count() == 0
     got = near_duplicates(spark.createDataFrame([(2, "a b c d e f", "", 0, ""), (1, "g h i j k l", "", 0, "")], DOCS)).collect()
