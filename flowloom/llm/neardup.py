@@ -9,8 +9,8 @@ No list is expanded into all of its pairs at once. First every list links its me
 the member that shares the most with others, so that a group of copies, however large, costs one pair a
 copy. Afterwards only pairs between different components are left. Lists of up to ``hot`` members give
 theirs. Longer ones are needed only by classes that consist of such values for the most part, as all
-others share a rarer value with whatever they resemble; these few are compared by prefixes of their
-full sets, rarest element first, which is exact.
+others share a rarer value with whatever they resemble or fall below the estimate; these few are compared
+by prefixes of their full sets, rarest element first, which is exact.
 
 What can be missed: two sets of similarity 0.8 share no retained value with a chance of 0.2 to the power
 k, and not at all while the sets have up to 5 (k - 1) shingles (a prefix of a fifth of the set, in the
@@ -33,7 +33,6 @@ from .store import saved, temporaries
 SKETCH = 48
 HOT_LIST = 64
 SLACK = 0.35
-MOSTLY_HOT = 0.55
 FILTER_BITS = 1 << 24
 CACHED_WORDS = 400_000
 
@@ -253,7 +252,7 @@ def _grouped(texts: DataFrame, width: int, percent: int, k: int, hot: int) -> Da
     shared = saved(postings.join(lists, "value"), "postings")
     is_hot = F.col("m") > hot
     by_id = shared.groupBy("id").agg(F.sum(F.log("m")).alias("weight"), F.array_sort(F.collect_list(F.when(is_hot, F.col("at")))).alias("hots"), F.first("kept").alias("kept"))
-    by_id = by_id.select("id", "weight", "hots", (F.size("hots") > MOSTLY_HOT * F.col("kept")).alias("dense"))
+    by_id = by_id.select("id", "weight", "hots", (F.size("hots") >= F.lit(percent / 100 - SLACK) * F.col("kept")).alias("dense"))
     rare = F.col("at") - F.size(F.filter("hots", lambda h: h < F.col("at")))
     members = saved(shared.join(by_id, "id").select("value", "id", "n", "m", "weight", "dense", rare.alias("rare")), "members")
 

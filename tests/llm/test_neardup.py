@@ -3,7 +3,7 @@ import random
 import pytest
 
 from flowloom.llm.components import components
-from flowloom.llm.neardup import near_duplicates
+from flowloom.llm.neardup import WordHashes, near_duplicates, shingles
 
 DOCS = "doc_id long, text string, n string, fp int, rep string"
 
@@ -88,6 +88,31 @@ def test_repeated_rows_in_a_dense_group(spark, copies):
     assert sorted((str(r.doc_id), r.n_shingles, r.component_id) for r in got) == want
 
 
+def test_common_values_are_hot_and_few_of_the_sketch(spark):
+    """Similarity is 0.8, but only 26 of the 48 retained values of the first text are common ones."""
+    rng, hashes, low = random.Random(1), WordHashes(), int(0.3 * 2**63)
+
+    def grow(words, wanted):
+        for below in wanted:
+            while True:
+                new = [*words, "w%d" % rng.randint(0, 10**9)]
+                if len(new) < 5 or (shingles(" ".join(new[-5:]).encode(), 5, hashes)[0] < low) == below:
+                    break
+            words = new
+        return words
+
+    passage = grow([], [False] * 4 + [True] * 26 + [False] * 62)
+    end = [f"e{i}" for i in range(28)]
+    texts = [grow(passage, [True] * 22), passage]
+    texts += [[*passage, *end, f"o{i}"] for i in range(80)]
+    texts += [[*end, *(f"z{i}-{j}" for j in range(30))] for i in range(200)]
+    rows = [(i + 1, " ".join(t), "", 0, "") for i, t in enumerate(texts)]
+    got = near_duplicates(spark.createDataFrame(rows, DOCS).repartition(5)).collect()
+    want = brute(rows, 5, 80)
+    assert {c for i, _, c in want if i in ("1", "2")} == {1}
+    assert sorted((str(r.doc_id), r.n_shingles, r.component_id) for r in got) == want
+
+
 def test_empty_table_and_nothing_alike(spark):
     assert near_duplicates(spark.createDataFrame([], DOCS)).count() == 0
     got = near_duplicates(spark.createDataFrame([(2, "a b c d e f", "", 0, ""), (1, "g h i j k l", "", 0, "")], DOCS)).collect()
