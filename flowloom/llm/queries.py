@@ -15,6 +15,7 @@ from .chat import expand, read_back
 from .decontaminate import scan
 from .extract import extract_text
 from .langid import held_out, identify, learn
+from .merkle import lower_ascii, manifest, verify
 from .mixing import mix
 from .neardup import near_duplicates
 from .secrets import digest, scan_secrets
@@ -186,6 +187,54 @@ def op7(spark: SparkSession, sf: str) -> DataFrame:
     return scored.select("doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+CRC32 = """xor(list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: [ascii(c), -1, -1, -1, -1, -1, -1, -1, -1]))),
+               lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END), 4294967295)"""
+
+
+def leaf_sql(text: str) -> str:
+    fields = ["doc_id", "source", "lang", "n_chars", text]
+    return "sha256(" + " || ".join(f"coalesce(CAST(strlen(CAST({f} AS VARCHAR)) AS VARCHAR) || ':' || CAST({f} AS VARCHAR), '-')" for f in fields) + ")"
+
+
+@query(
+    "op12_merkle_manifest",
+    f"""
+    WITH RECURSIVE f AS (
+        SELECT doc_id, source, {leaf_sql("text")} AS leaf,
+               CASE WHEN {CRC32} % 5 = 0 THEN {leaf_sql("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS claimed FROM documents
+    ), l AS (
+        SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS s, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p, count(*) OVER (PARTITION BY source) AS n FROM f
+    ), node AS (
+        SELECT s, 0 AS lvl, p, leaf AS d, n FROM l
+        UNION ALL
+        SELECT s, lvl + 1, p // 16, sha256(string_agg(d, '' ORDER BY p)), (any_value(n) + 15) // 16 FROM node WHERE n > 1 GROUP BY s, lvl, p // 16
+    ), sub AS (SELECT s, d, lvl FROM node WHERE n = 1), top AS (
+        SELECT 0 AS lvl, s AS p, d, count(*) OVER () AS n FROM sub
+        UNION ALL
+        SELECT lvl + 1, p // 16, sha256(string_agg(d, '' ORDER BY p)), (any_value(n) + 15) // 16 FROM top WHERE n > 1 GROUP BY lvl, p // 16
+    ), run AS (
+        SELECT s, lvl, p // 16 AS r, list(d ORDER BY p) AS ds FROM node WHERE n > 1 GROUP BY ALL
+        UNION ALL SELECT sub.s, sub.lvl + t.lvl, NULL, t.ds FROM sub, (SELECT lvl, p // 16 AS r, list(d ORDER BY p) AS ds FROM top WHERE n > 1 GROUP BY ALL) t WHERE t.r = (sub.s // CAST(16 ** (t.lvl + 1) AS BIGINT))
+    ), walk AS (
+        SELECT row_number() OVER () AS k, doc_id, leaf, l.s, p, 0 AS lvl, sub.lvl AS h, sub.d AS subroot, coalesce(claimed, leaf) AS cur, '' AS proof FROM l JOIN sub USING (s)
+        UNION ALL
+        SELECT k, doc_id, leaf, w.s, p, w.lvl + 1, h, subroot, sha256(list_aggregate(list_transform(ds, lambda x, i: CASE WHEN i = o + 1 THEN cur ELSE x END), 'string_agg', '')),
+               proof || coalesce(list_aggregate(list_filter(ds, lambda x, i: i <> o + 1), 'string_agg', ''), '')
+        FROM (SELECT *, (CASE WHEN lvl < h THEN p // CAST(16 ** lvl AS BIGINT) ELSE s // CAST(16 ** (lvl - h) AS BIGINT) END) % 16 AS o FROM walk) w
+        JOIN run ON run.s = w.s AND run.lvl = w.lvl AND (run.r IS NULL OR run.r = w.p // CAST(16 ** (w.lvl + 1) AS BIGINT))
+    ), root AS (SELECT d AS root FROM top WHERE n = 1)
+    SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, cur AS folded_root, cur = root AS verified
+    FROM (SELECT * FROM walk QUALIFY row_number() OVER (PARTITION BY k ORDER BY lvl DESC) = 1), root
+    """,
+)
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    made = manifest(table(spark, sf, "documents"), ("doc_id", "source", "lang", "n_chars", "text"), "source", "doc_id", {"text": lower_ascii(F.col("text"))}, tampered)
+    return verify(made).select(
+        F.col("id").alias("doc_id"), *(F.lower(F.hex(c)).alias(c) for c in ("leaf", "subroot", "root")), F.lower(F.hex("proof")).alias("proof_sha256"), F.lower(F.hex("folded")).alias("folded_root"), (F.col("folded") == F.col("root")).alias("verified")
+    )
+
+
 @query("op4_recurrent_html_text")
 def op4(spark: SparkSession, sf: str) -> DataFrame:
     return extract_text(table(spark, sf, "pages"))
