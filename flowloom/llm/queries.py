@@ -15,6 +15,7 @@ from .chat import expand, read_back
 from .decontaminate import scan
 from .extract import extract_text
 from .langid import held_out, identify, learn
+from .lexical import build_index, search
 from .merkle import lower_ascii, manifest, verify
 from .mixing import mix
 from .neardup import near_duplicates
@@ -187,6 +188,32 @@ def op7(spark: SparkSession, sf: str) -> DataFrame:
     return scored.select("doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+TERMS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+
+@query(
+    "op11_hybrid_lexical_search",
+    f"""
+    WITH d AS (SELECT row_number() OVER () AS k, doc_id, {TERMS} AS t FROM documents WHERE text IS NOT NULL),
+    full_docs AS (SELECT *, len(t) AS n FROM d WHERE len(t) > 0),
+    total AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_tokens FROM full_docs),
+    posted AS (SELECT k, doc_id, n, term, count(*) AS tf FROM (SELECT k, doc_id, n, unnest(t) AS term FROM full_docs) GROUP BY ALL),
+    asked AS (SELECT DISTINCT item_id, unnest({TERMS}) AS term FROM benchmark),
+    weighed AS (
+        SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(n_docs) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+        FROM posted, total WHERE term IN (SELECT term FROM asked) GROUP BY term
+    ), scored AS (
+        SELECT item_id, k, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_tokens)))) AS BIGINT) AS score
+        FROM asked JOIN weighed USING (term) JOIN posted USING (term), total GROUP BY item_id, k, doc_id
+    )
+    SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS FIRST) AS INTEGER) AS rank, doc_id, score
+    FROM scored WHERE score > 0 QUALIFY rank <= 10
+    """,
+)
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    return search(build_index(table(spark, sf, "documents")), table(spark, sf, "benchmark"), k=10)
+
+
 CRC32 = """xor(list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: [ascii(c), -1, -1, -1, -1, -1, -1, -1, -1]))),
                lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END), 4294967295)"""
 
