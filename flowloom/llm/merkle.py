@@ -202,7 +202,7 @@ def manifest(docs: DataFrame, fields: tuple[str, ...], tree: str, order: str, cl
     fresh = {c: F.col(f"`{c}`") for c in fields}
     other = F.unhex(F.when(claims, digest(fresh | claimed))) if claimed else F.lit(None).cast("binary")
     rows = docs.select(F.col(f"`{tree}`").cast("string").alias("group"), F.col(f"`{order}`").cast("long").alias("id"), F.unhex(digest(fresh)).alias("leaf"), other.alias("claimed"))
-    rows = ranked(rows, ["group", "id", "leaf"], "rows")
+    rows = ranked(saved(rows, "digests"), ["group", "id", "leaf"], "rows")  # ranges are drawn from the digests, not from the texts
     # a range holds few groups or one group's part, so these are about as many as groups and ranges
     runs = saved(rows.groupBy("part", "group").agg(F.min("place").alias("first"), F.count("*").alias("size")), "runs")
     whole = runs.groupBy("group").agg(F.min("first").alias("tree"), F.sum("size").alias("n")).withColumnRenamed("group", "g")
