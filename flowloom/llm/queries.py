@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import quality
+from . import pii, quality
 from .chat import expand, read_back
 from .decontaminate import scan
 from .extract import extract_text
@@ -262,6 +262,65 @@ def op12(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+EMAIL_SQL = "[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:[.][A-Za-z0-9-]+)+"
+IP_SQL, CARD_SQL, PHONE_SQL = "[0-9]+[.][0-9]+[.][0-9]+[.][0-9]+", r"[0-9](?:[\x20-]?[0-9])+", r"[+][0-9][\x20().0-9-]+[0-9]"
+TERM_SQL = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]{3,}"
+TOKEN_SQL = rf"{PHONE_SQL}|{IP_SQL}|[0-9](?:[\x20-]?[0-9]){{12,}}|{TERM_SQL}"
+LOW_SQL = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+DIGITS_SQL = "regexp_replace({0}, '[^0-9]', '', 'g')"
+IS_TERM_SQL = f"(regexp_full_match({{0}}, '{TERM_SQL.replace('{', '{{').replace('}', '}}')}') AND NOT regexp_full_match({{0}}, '[0-9]{{{{13,}}}}'))"
+IP_VALID_SQL = "len(list_filter(string_split({0}, '.'), lambda p: length(ltrim(p, '0')) > 3 OR coalesce(TRY_CAST(right('000' || p, 3) AS INTEGER), 999) > 255)) = 0"
+LUHN_SQL = "list_sum(list_transform(generate_series(1, length({0})), lambda j: CASE WHEN j % 2 = 0 THEN (2 * CAST({0}[-j] AS INTEGER)) // 10 + (2 * CAST({0}[-j] AS INTEGER)) % 10 ELSE CAST({0}[-j] AS INTEGER) END)) % 10 = 0"
+CARD_VALID_SQL = f"(length({DIGITS_SQL}) BETWEEN 13 AND 19 AND {LUHN_SQL.replace('{0}', DIGITS_SQL)})"
+PHONE_VALID_SQL = f"(length({DIGITS_SQL}) BETWEEN 9 AND 15)"
+
+
+@query(
+    "op13_information_theoretic_pii",
+    f"""
+    WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+    cut AS (SELECT rid, string_split_regex(text, '{EMAIL_SQL}') AS g, regexp_extract_all(text, '{EMAIL_SQL}') AS m FROM d),
+    tok AS (SELECT rid, flatten(list_transform(generate_series(1, len(g)), lambda i: list_concat(regexp_extract_all(g[i], '{TOKEN_SQL}'), m[i:i]))) AS t FROM cut),
+    near AS (
+        SELECT rid, t[i] AS x, list_transform(list_filter(t[greatest(i - 8, 1):i + 8], lambda y: {IS_TERM_SQL.format("y")}), lambda y: {LOW_SQL.format("y")}) AS terms
+        FROM (SELECT *, unnest(generate_series(1, len(t))) AS i FROM tok) WHERE NOT {IS_TERM_SQL.format("t[i]")}
+    ), found AS (
+        SELECT rid, CASE WHEN x LIKE '%@%' THEN 'email:' || {LOW_SQL.format("x")} WHEN x LIKE '+%' THEN CASE WHEN {PHONE_VALID_SQL.format("x")} THEN 'phone:' || {DIGITS_SQL.format("x")} END
+               WHEN x LIKE '%.%' THEN CASE WHEN {IP_VALID_SQL.format("x")} THEN 'ip:' || x END WHEN {CARD_VALID_SQL.format("x")} THEN 'card:' || {DIGITS_SQL.format("x")} END AS entity,
+               md5(array_to_string(terms, ' ')) AS context, list_distinct(terms) AS terms FROM near
+    ), both_in AS (
+        SELECT entity, term, rid, min(context) AS context FROM (SELECT rid, entity, context, unnest(terms) AS term FROM found WHERE entity IS NOT NULL) GROUP BY ALL
+    ), pair AS (SELECT entity, term, count(*) AS together FROM both_in GROUP BY ALL HAVING count(DISTINCT context) >= 3),
+    held AS (SELECT DISTINCT rid, {LOW_SQL.format("y")} AS term FROM (SELECT rid, unnest(t) AS y FROM tok) WHERE {IS_TERM_SQL.format("y")} AND term IN (SELECT term FROM pair)),
+    of_entity AS (SELECT entity, count(DISTINCT rid) AS ne FROM found WHERE entity IS NOT NULL GROUP BY entity), of_term AS (SELECT term, count(*) AS nt FROM held GROUP BY term),
+    told AS (
+        SELECT term FROM pair JOIN of_entity USING (entity) JOIN of_term USING (term), (SELECT CAST(count(*) AS DOUBLE) AS n FROM d)
+        WHERE ne < n GROUP BY term HAVING max(ln(together * n / (CAST(ne AS DOUBLE) * nt)) / ln(n / ne)) >= 0.9
+    ), way AS (SELECT * FROM (VALUES (0, 'email', '{EMAIL_SQL}'), (1, 'ip', '{IP_SQL}'), (2, 'card', '{CARD_SQL}'), (3, 'phone', '{PHONE_SQL}')) w(o, kind, p)),
+    matched AS (
+        SELECT rid, o, kind, 0 AS base_at, regexp_extract_all(text, p) AS m, string_split_regex(text, p) AS g FROM d, way
+        UNION ALL
+        SELECT rid, 4, 'term', coalesce(list_sum(list_transform(list_concat(g[1:i - 1], m[1:i - 1]), lambda y: length(y))), 0), regexp_extract_all(g[i], '{TOKEN_SQL}'), string_split_regex(g[i], '{TOKEN_SQL}')
+        FROM (SELECT *, unnest(generate_series(1, len(g))) AS i FROM cut WHERE rid IN (SELECT rid FROM held JOIN told USING (term)))
+    ), span AS (
+        SELECT rid, o, kind, m[i] AS v, base_at + CAST(list_sum(list_transform(g[1:i], lambda y: length(y))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda y: length(y))), 0) AS BIGINT) AS s
+        FROM (SELECT *, unnest(generate_series(1, len(m))) AS i FROM matched)
+    ), kept AS (
+        SELECT rid, o, kind, s, kind || ':' || s || ':' || (s + length(v)) AS shown FROM span
+        WHERE CASE kind WHEN 'email' THEN true WHEN 'ip' THEN {IP_VALID_SQL.format("v")} WHEN 'card' THEN {CARD_VALID_SQL.format("v")} WHEN 'phone' THEN {PHONE_VALID_SQL.format("v")}
+              ELSE {IS_TERM_SQL.format("v")} AND {LOW_SQL.format("v")} IN (SELECT term FROM told) END
+    ), per AS (
+        SELECT rid, count(*) FILTER (o = 0) AS n_email, count(*) FILTER (o = 1) AS n_ip, count(*) FILTER (o = 2) AS n_card, count(*) FILTER (o = 3) AS n_phone,
+               string_agg(shown, ',' ORDER BY o, s) FILTER (o < 4) AS base, string_agg(shown, ',' ORDER BY o, s) AS spans FROM kept GROUP BY rid
+    )
+    SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card, coalesce(n_phone, 0) AS n_phone, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+    FROM d LEFT JOIN per USING (rid)
+    """,
+)
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    return pii.digest(pii.sanitise(table(spark, sf, "documents")))
+
+
 @query("op4_recurrent_html_text")
 def op4(spark: SparkSession, sf: str) -> DataFrame:
     return extract_text(table(spark, sf, "pages"))
