@@ -28,21 +28,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
+from .idfilter import GOLDEN, id_filter, mix
 from .store import saved, temporaries
 
 SKETCH = 48
 HOT_LIST = 64
 SLACK = 0.35
-FILTER_BITS = 1 << 24
-CACHED_WORDS = 400_000
-
-GOLDEN = np.uint64(0x9E3779B97F4A7C15)
-MIX_1 = np.uint64(0xBF58476D1CE4E5B9)
-MIX_2 = np.uint64(0x94D049BB133111EB)
+CACHED_WORDS = 40_000
+ROWS_AT_ONCE = 256
 
 
 class WordHashes(dict):
-    """64-bit hashes of words, remembered up to a bound."""
+    """64-bit hashes of words, remembered up to a bound; frequent words come back soon after each clearing."""
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= CACHED_WORDS:
@@ -51,12 +48,6 @@ class WordHashes(dict):
         return value
 
 
-def mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * MIX_1
-    x = (x ^ (x >> np.uint64(27))) * MIX_2
-    return x ^ (x >> np.uint64(31))
-
-
 def shingles(raw: bytes | None, width: int, hashes: WordHashes) -> np.ndarray:
     """Sorted distinct 63-bit hashes of the shingles of ``width`` words; a shorter text is one shingle.
 
@@ -76,53 +67,40 @@ def shingles(raw: bytes | None, width: int, hashes: WordHashes) -> np.ndarray:
 
 
 def _digester(width: int, k: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("fp", pa.binary()), ("sketch", pa.list_(pa.int64()))])
+    schema = pa.schema([("doc_id", pa.int64()), ("print", pa.binary()), ("n", pa.int64()), ("fp", pa.binary()), ("sketch", pa.list_(pa.int64()))])
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for batch in batches:
+        for batch in _sliced(batches):
             n, fp, flat, ends = [], [], [], [0]
-            for raw in batch.column(1).to_pylist():
-                s = shingles(raw, width, hashes)
+            for raw in batch.column(1):
+                s = shingles(raw.as_py(), width, hashes)
                 n.append(len(s))
-                fp.append(xxhash.xxh3_128_digest(s.tobytes()))
-                flat.append(s[:k])
+                fp.append(xxhash.xxh3_128_digest(s))
+                flat.append(s[:k].copy())  # a view would keep the whole set
                 ends.append(ends[-1] + min(k, len(s)))
             values = pa.array(np.concatenate(flat) if flat else np.empty(0, np.int64), pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(fp, pa.binary()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)], schema=schema)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(fp, pa.binary()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)], schema=schema)
 
     return digest
 
 
-def _bits_of(ids: np.ndarray, bits: int) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        return (mix(ids.astype(np.uint64) + GOLDEN) % np.uint64(bits)).astype(np.int64)
-
-
-def _marker(bits: int):
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap = np.zeros(bits // 8, np.uint8)
-        for batch in batches:
-            at = _bits_of(batch.column(0).to_numpy(), bits)
-            np.bitwise_or.at(bitmap, at >> 3, (1 << (at & 7)).astype(np.uint8))
-        cells = bitmap.view(np.int64)
-        full = np.flatnonzero(cells)
-        yield pa.record_batch([pa.array(full, pa.int64()), pa.array(cells[full], pa.int64())], names=["cell", "bits"])
-
-    return mark
+def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, len(batch), ROWS_AT_ONCE):
+            yield batch.slice(at, ROWS_AT_ONCE)
 
 
-def _setter(width: int, bits: int, sent):
-    """Full sets of the documents that pass the filter of ids."""
-    schema = pa.schema([("id", pa.int64()), ("elements", pa.binary())])
+def _setter(width: int, sent):
+    """Fingerprints and full sets of the documents that pass the filter of ids."""
+    schema = pa.schema([("fp", pa.binary()), ("elements", pa.binary())])
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap, hashes = np.frombuffer(sent.value, np.uint8), WordHashes()
-        for batch in batches:
-            batch = batch.filter(pa.compute.is_valid(batch.column(0)))
-            at = _bits_of(batch.column(0).to_numpy(), bits)
-            batch = batch.filter(pa.array(((bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1).astype(bool)))
-            yield pa.record_batch([batch.column(0), pa.array([shingles(raw, width, hashes).tobytes() for raw in batch.column(1).to_pylist()], pa.binary())], schema=schema)
+        hashes = WordHashes()
+        for batch in _sliced(batches):
+            batch = batch.filter(sent.value.maybe(batch.column(0)))
+            found = [shingles(raw.as_py(), width, hashes) for raw in batch.column(1)]
+            yield pa.record_batch([pa.array([xxhash.xxh3_128_digest(s) for s in found], pa.binary()), pa.array([s.tobytes() for s in found], pa.binary())], schema=schema)
 
     return sets
 
@@ -143,11 +121,9 @@ def _verifier(percent: int):
 
 
 def _lister(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for i in range(0, len(batch), 256):
-            part = batch.slice(i, 256)
-            found = [np.frombuffer(x.as_buffer(), np.int64) for x in part.column(1)]
-            yield pa.record_batch([np.repeat(part.column(0).to_numpy(), [len(x) for x in found]), np.concatenate(found)], names=["id", "key"])
+    for part in _sliced(batches):
+        found = [np.frombuffer(x.as_buffer(), np.int64) for x in part.column(1)]
+        yield pa.record_batch([np.repeat(part.column(0).to_numpy(), [len(x) for x in found]), np.concatenate(found)], names=["id", "key"])
 
 
 class Linker:
@@ -158,7 +134,7 @@ class Linker:
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """The pairs (``a``, ``b``) whose similarity reaches the limit."""
-        sketches = self.reps.select(F.col("rep").alias("id"), "n", "sketch")
+        sketches = self.reps.select("id", "n", "sketch")
         a, b = (sketches.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}")) for x in "ab")
         sized = F.expr(f"100 * least(n_a, n_b) >= {self.percent} * greatest(n_a, n_b)")
         union = F.slice(F.array_sort(F.array_union("s_a", "s_b")), 1, self.k)
@@ -173,18 +149,12 @@ class Linker:
         return saved(likely.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_verifier(self.percent), "a long, b long"), "verified")
 
     def sets(self, ids: DataFrame) -> DataFrame:
-        """Full sets of ``ids`` and of some others, one row an id however often its row repeats; a filter of
-        bounded size spares most others the work."""
-        spark = ids.sparkSession
-        bits, expected = FILTER_BITS, 16 * max(1, ids.count())
-        while bits > 1 << 16 and bits > expected:
-            bits >>= 1
-        cells = ids.mapInArrow(_marker(bits), "cell long, bits long").groupBy("cell").agg(F.bit_or("bits").alias("bits"))
-        bitmap = np.zeros(bits // 64, np.int64)
-        for row in cells.toLocalIterator():  # at most bits / 64 rows
-            bitmap[row.cell] = row.bits
-        found = self.docs.mapInArrow(_setter(self.width, bits, spark.sparkContext.broadcast(bitmap.tobytes())), "id long, elements binary")
-        return found.dropDuplicates(["id"])
+        """Full sets of the classes ``ids`` and of some others, one row a class however often its text
+        occurs; a filter of bounded size on the documents spares most others the work."""
+        names = ids.join(self.reps.select("id", "rep"), "id").select("rep")
+        sent = ids.sparkSession.sparkContext.broadcast(id_filter(names))
+        found = self.docs.mapInArrow(_setter(self.width, sent), "fp binary, elements binary")
+        return found.dropDuplicates(["fp"]).join(self.reps.select("fp", "id"), "fp").select("id", "elements")
 
 
 def fits(percent: int, n_a: str, n_b: str, before_a: str, before_b: str) -> Column:
@@ -231,23 +201,31 @@ def near_duplicates(
 
     Documents are linked where 100 * |A and B| >= ``percent`` * |A or B| on their full sets, and
     ``component_id`` is the smallest id reachable. Documents without words are linked with nothing.
-    An id names one text; rows that repeat both get the same answer. A row with a null id takes part in
-    no group: its component is null, and it is kept.
+    Rows that repeat id and text get the same answer; a row of an id that stands for several texts gets
+    that of its own text. A row with a null id takes part in no group: its component is null, and it is
+    kept.
     """
-    texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
     with temporaries(docs.sparkSession):
-        return saved(_grouped(texts, width, percent, k, hot), "groups", keep=True)
+        return saved(_grouped(docs, doc_id, text, width, percent, k, hot).drop("print", "root"), "groups", keep=True)
+
 
+def _print(text: str) -> Column:
+    return F.unhex(F.md5(F.coalesce(F.col(f"`{text}`").cast("binary"), F.lit("").cast("binary"))))
 
-def _grouped(texts: DataFrame, width: int, percent: int, k: int, hot: int) -> DataFrame:
-    rows = saved(texts.mapInArrow(_digester(width, k), "doc_id long, n long, fp binary, sketch array<long>"), "digests")
+
+def _grouped(docs: DataFrame, doc_id: str, text: str, width: int, percent: int, k: int, hot: int) -> DataFrame:
+    texts = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("binary").alias("text"))
+    printed = texts.withColumn("print", _print("text"))
+    rows = saved(printed.mapInArrow(_digester(width, k), "doc_id long, print binary, n long, fp binary, sketch array<long>"), "digests")
     full = rows.where("doc_id is not null and n > 0")
-    reps = saved(full.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "classes")
+    # a class has a number of its own, as one id may stand for several texts
+    reps = full.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    reps = saved(reps.withColumn("id", F.monotonically_increasing_id()), "classes")
     linker = Linker(texts, reps, width, k, percent)
 
     # Inverted lists of the retained values. ``rare`` counts the values of a sketch before this one that
     # are in no hot list; if this is the first rare value that two sets share, they share n - rare at most.
-    postings = reps.select(F.posexplode("sketch").alias("at", "value"), F.col("rep").alias("id"), "n", F.size("sketch").alias("kept"))
+    postings = reps.select(F.posexplode("sketch").alias("at", "value"), "id", "n", F.size("sketch").alias("kept"))
     lists = postings.groupBy("value").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
     shared = saved(postings.join(lists, "value"), "postings")
     is_hot = F.col("m") > hot
@@ -274,25 +252,34 @@ def _grouped(texts: DataFrame, width: int, percent: int, k: int, hot: int) -> Da
         more = more.union(most)
     roots = components(links.union(more))
 
-    classes = reps.join(roots.withColumnRenamed("id", "rep"), "rep", "left").select("fp", F.coalesce("root", "rep").alias("component_id"))
-    out = rows.select("doc_id", F.col("n").alias("n_shingles"), "fp").join(classes, "fp", "left")
+    classes = saved(reps.join(roots, "id", "left").select("fp", "rep", F.coalesce("root", "id").alias("root")), "rooted")
+    names = classes.groupBy("root").agg(F.min("rep").alias("component_id"))
+    classes = classes.join(names, "root").select("fp", "root", "component_id")
+    out = rows.select("doc_id", "print", F.col("n").alias("n_shingles"), "fp").join(classes, "fp", "left")
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).when(F.col("doc_id").isNotNull(), F.col("component_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    return out.select("doc_id", "print", "root", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs``, as they are, with one document of each group: the one of the smallest id.
 
-    Of rows that repeat an id one stays. Rows without words and rows without an id all stay. The ids
-    that go are one slim table; where it is small, Spark sends it around and no text moves.
+    Rows are told apart by id and text: where an id stands for several texts, each is judged by its own,
+    and of those in the group that the id leads one text stays. Of rows that repeat both, the smallest
+    by all columns stays. Rows without words and rows without an id all stay. What goes is a slim table
+    of ids and hashes of texts; where it is small, Spark sends it around and no text moves.
     """
-    told = saved(near_duplicates(docs, width, percent, doc_id=doc_id, text=text).where("doc_id is not null"), "told")
-    by_id = told.groupBy("doc_id").agg(F.bool_and("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
-    marked = saved(by_id.where("not kept or n > 1"), "marked")
-    ids = marked.select(F.col("doc_id").alias("marked_id"), F.col("kept").alias("marked_kept"))
-    once = docs.join(ids, docs[doc_id] == ids["marked_id"], "left_anti")
-    again = marked.where("kept")
+    with temporaries(docs.sparkSession):
+        told = saved(_grouped(docs, doc_id, text, width, percent, SKETCH, HOT_LIST).where("doc_id is not null and n_shingles > 0"), "told")
+        heads = told.where("kept").groupBy("root").agg(F.min("print").alias("head"))
+        by_row = told.groupBy("doc_id", "print", "root").agg(F.bool_or("kept").alias("leads"), F.count(F.lit(1)).alias("n")).join(heads, "root")
+        stays = F.col("leads") & (F.col("print") == F.col("head"))
+        marked = by_row.select(F.col("doc_id").alias("marked_id"), F.col("print").alias("marked_print"), stays.alias("stays"), "n")
+        marked = saved(marked.where("not stays or n > 1"), "marked", keep=True)
+    own, key = docs[doc_id].cast("long"), _print(text)
+    same = (own == F.col("marked_id")) & (key == F.col("marked_print"))
+    once = docs.join(marked.select("marked_id", "marked_print"), same, "left_anti")
+    again = marked.where("stays").select("marked_id", "marked_print")
     if again.isEmpty():
         return once
-    again = again.select(F.col("doc_id").alias("marked_id"))
-    return once.unionByName(docs.join(again, docs[doc_id] == again["marked_id"], "left_semi").dropDuplicates([doc_id]))
+    repeated = docs.join(again, same, "left_semi").select(own.alias("_id"), key.alias("_print"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"))
+    return once.unionByName(repeated.groupBy("_id", "_print").agg(F.min("_row").alias("_row")).select("_row.*"))

@@ -3,7 +3,7 @@ import random
 import pytest
 
 from flowloom.llm.components import components
-from flowloom.llm.neardup import WordHashes, near_duplicates, shingles
+from flowloom.llm.neardup import WordHashes, keep_one, near_duplicates, shingles
 
 DOCS = "doc_id long, text string, n string, fp int, rep string"
 
@@ -113,6 +113,34 @@ def test_common_values_are_hot_and_few_of_the_sketch(spark):
     assert sorted((str(r.doc_id), r.n_shingles, r.component_id) for r in got) == want
 
 
+def test_one_row_of_each_group_stays(spark):
+    rng = random.Random(9)
+    rows = [(i, " ".join(f"w{rng.randrange(10**6)}" for _ in range(30)), "x", i, "r") for i in range(12)]
+    copy = lambda of, new, extra="x": (new, rows[of][1], extra, 0, None)
+    near = " ".join([*rows[5][1].split()[:-1], "changed"])
+    rows += [
+        copy(3, 7), copy(3, 20), copy(3, 2), copy(4, 4, "b"), copy(4, 4, "a"), (5, near, "x", 0, ""), (5, rows[5][1].upper(), "x", 0, ""), (30, near, "x", 0, ""),
+        (None, rows[6][1], "x", 0, ""), (None, None, None, None, None), (40, None, "x", 0, ""), (40, "", "x", 0, ""), (40, " ", "x", 0, ""), (41, None, "x", 0, ""),
+    ]
+    docs = spark.createDataFrame(rows, DOCS).repartition(4)
+    out = keep_one(docs)
+    assert out.columns == docs.columns
+    got = [tuple(r) for r in out.collect()]
+    # brute force: groups of (id, text), then the first of each
+    want, groups = [], {}
+    for r in {(i, t) for i, t, *_ in rows if i is not None and (t or "").split()}:
+        groups[r] = frozenset({tuple(w[j : j + 5]) for w in [r[1].lower().split()] for j in range(len(w) - 4)})
+    for r, s in groups.items():
+        alike = [o for o, u in groups.items() if 100 * len(s & u) >= 80 * len(s | u)]
+        if r[0] == min(i for i, _ in alike):
+            want.append((r[0], r[1], sorted(o[1] for o in alike if o[0] == r[0])))
+    kept = {(i, t) for i, t, *_ in got if i is not None and (t or "").split()}
+    assert {i for i, _ in kept} == {i for i, *_ in want} and len(kept) == len([1 for i, *_ in want if i != 5]) + 1
+    assert all(t in own for i, t in kept for j, u, own in want if (i, t) == (j, u))
+    assert len([r for r in got if r[0] == 4]) == 1 and (7, rows[7][1]) in kept and (7, rows[3][1]) not in kept
+    assert len([r for r in got if r[0] is None]) == 2 and len([r for r in got if r[0] in (40, 41)]) == 4
+
+
 def test_empty_table_and_nothing_alike(spark):
     assert near_duplicates(spark.createDataFrame([], DOCS)).count() == 0
     got = near_duplicates(spark.createDataFrame([(2, "a b c d e f", "", 0, ""), (1, "g h i j k l", "", 0, "")], DOCS)).collect()
