@@ -176,22 +176,33 @@ def contexts(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     return out.select("row", F.col("x.entity").alias("entity"), F.md5(F.array_join("x.terms", " ").cast("binary")).alias("context"), F.array_distinct("x.terms").alias("terms"))
 
 
-def pairs(found: DataFrame, least_contexts: int = LEAST_CONTEXTS) -> DataFrame:
-    """``entity``, ``term``, ``together`` (rows that hold both), for pairs seen in enough different contexts."""
+def candidates(found: DataFrame, n_rows: int, least_contexts: int = LEAST_CONTEXTS, generalise: float = GENERALISE) -> DataFrame:
+    """``entity``, ``term``, ``together`` (rows that hold both), ``of_entity``: pairs that may reach the threshold.
+
+    A pair needs enough different contexts. The rows in which a term stands near any entity are a lower
+    bound of its rows, so a pair that misses the threshold with these can be left out; common words go
+    here, before any text is read again.
+    """
     in_row = found.select("row", "entity", "context", F.explode("terms").alias("term")).groupBy("entity", "term", "row").agg(F.min("context").alias("context"))
+    in_row = saved(in_row, "in_row")
     by_context = in_row.groupBy("entity", "term", "context").agg(F.count("*").alias("rows"))
-    both = by_context.groupBy("entity", "term").agg(F.sum("rows").alias("together"), F.count("*").alias("contexts"))
-    return both.where(F.col("contexts") >= least_contexts).select("entity", "term", "together")
+    both = by_context.groupBy("entity", "term").agg(F.sum("rows").alias("together"), F.count("*").alias("contexts")).where(F.col("contexts") >= least_contexts)
+    of_entity = found.select("row", "entity").distinct().groupBy("entity").agg(F.count("*").alias("of_entity")).where(F.col("of_entity") < n_rows)
+    least = in_row.select("row", "term").distinct().groupBy("term").agg(F.count("*").alias("of_term"))
+    met = both.drop("contexts").join(of_entity, "entity").join(least, "term")
+    return met.where(disclosure(n_rows) >= generalise).select("entity", "term", "together", "of_entity")
+
+
+def disclosure(n_rows: int) -> Column:
+    """Mutual information of term and entity as a share of the entity's information content."""
+    n = F.lit(float(n_rows))
+    return F.log(F.col("together") * n / (F.col("of_entity").cast("double") * F.col("of_term"))) / F.log(n / F.col("of_entity"))
 
 
-def disclosing(both: DataFrame, found: DataFrame, held: DataFrame, n_rows: int) -> DataFrame:
+def disclosing(pairs: DataFrame, held: DataFrame, n_rows: int) -> DataFrame:
     """``term``, ``disclosure``: the largest share of an entity's information that the term gives away."""
-    of_entity = found.select("row", "entity").distinct().groupBy("entity").agg(F.count("*").alias("of_entity"))
     of_term = held.groupBy("term").agg(F.sum("rows").alias("of_term"))
-    met = both.join(of_entity, "entity").join(of_term, "term").where(F.col("of_entity") < n_rows)
-    n = F.lit(float(n_rows))
-    shared = F.log(F.col("together") * n / (F.col("of_entity").cast("double") * F.col("of_term")))
-    return met.withColumn("share", shared / F.log(n / F.col("of_entity"))).groupBy("term").agg(F.max("share").alias("disclosure"))
+    return pairs.join(of_term, "term").groupBy("term").agg(F.max(disclosure(n_rows)).alias("disclosure"))
 
 
 def _text_key(text: Column) -> Column:
@@ -204,7 +215,7 @@ def _with_terms(docs: DataFrame, terms: DataFrame) -> DataFrame:
     A few terms go to every task; many are met in a shuffle of the texts' distinct terms.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    distinct = F.array_distinct(F.transform(F.filter(tokens(text), is_term), lower_ascii))
+    distinct = F.filter(F.array_distinct(tokens(lower_ascii(text))), is_term)  # small letters change no token's ends
     each = docs.select(_text_key(text).alias("key"), F.explode(distinct).alias("term"))
     few = small_table(terms)
     return each.join(terms if few is None else F.broadcast(few), "term", "left_semi").groupBy("key", "term").agg(F.count("*").alias("rows"))
@@ -212,10 +223,11 @@ def _with_terms(docs: DataFrame, terms: DataFrame) -> DataFrame:
 
 def marked_texts(docs: DataFrame, window: int, least_contexts: int, generalise: float, remove: float) -> DataFrame:
     """``key`` of each text that holds disclosing terms, and these ``terms`` (term, action)."""
+    n_rows = docs.count()
     found = saved(contexts(docs, window), "contexts")
-    both = saved(pairs(found, least_contexts), "pairs")
-    held = saved(_with_terms(docs, both.select("term").distinct()), "held")
-    told = disclosing(both, found, held, docs.count()).where(F.col("disclosure") >= generalise)
+    pairs = saved(candidates(found, n_rows, least_contexts, generalise), "pairs")
+    held = saved(_with_terms(docs, pairs.select("term").distinct()), "held")
+    told = disclosing(pairs, held, n_rows).where(F.col("disclosure") >= generalise)
     action = F.when(F.col("disclosure") >= remove, "remove").otherwise("generalise")
     return saved(held.join(told, "term").groupBy("key").agg(F.collect_list(F.struct("term", action.alias("action"))).alias("terms")), "marked", keep=True)
 
