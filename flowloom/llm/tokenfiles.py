@@ -33,6 +33,8 @@ NO_ID = np.iinfo(np.int64).min
 CACHED_WORDS = 400_000
 JOINED_WORDS = 50
 READ_DOCS = 4096
+#: Documents that are encoded together: their absent words go to the tokenizer at once.
+ENCODED_DOCS = 1024
 
 DIGEST = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
@@ -87,16 +89,24 @@ class Encoder:
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
         if not self.splits:
             return [np.array(ids, self.dtype).tobytes() for ids in self._ids([(t or b"").decode() for t in texts])]
-        words = [t.split() if t else [] for t in texts]
-        seen = set(itertools.chain.from_iterable(words))
-        fresh = seen.difference(self.known)
-        if len(self.known) + len(fresh) > CACHED_WORDS:  # what came first comes often
-            self.known = dict(itertools.islice(self.known.items(), CACHED_WORDS // 2))
-            fresh = seen.difference(self.known)
+        known, out, absent = self.known.get, [], []
+        fresh: set[bytes] = set()
+        for i, t in enumerate(texts):
+            words = t.split() if t else []
+            coded = list(map(known, words))
+            if None in coded:
+                absent.append((i, words))
+                fresh.update(w for w, c in zip(words, coded, strict=True) if c is None)
+                out.append(b"")
+            else:
+                out.append(b"".join(coded))
         if fresh:
             self._learn(list(fresh))
-        known = self.known.__getitem__
-        return [b"".join(map(known, w)) for w in words]
+            for i, words in absent:
+                out[i] = b"".join(map(self.known.__getitem__, words))
+            if len(self.known) > CACHED_WORDS:  # what came first comes often
+                self.known = dict(itertools.islice(self.known.items(), CACHED_WORDS // 2))
+        return out
 
 
 _ENCODERS: dict[tuple, Encoder] = {}
@@ -133,8 +143,8 @@ class Writer(DataSourceArrowWriter):
         docs = total = 0
         with files.open_output_stream(f"{root}/{name}.ids") as ids, files.open_output_stream(f"{root}/{name}.index") as index:
             for batch in batches:
-                for at in range(0, len(batch), 512):
-                    some = batch.slice(at, 512)
+                for at in range(0, len(batch), ENCODED_DOCS):
+                    some = batch.slice(at, ENCODED_DOCS)
                     names = some.column(0).fill_null(NO_ID).to_numpy(zero_copy_only=False)
                     coded = encoder.encode(some.column(1).to_pylist())
                     ends = total + np.cumsum([len(c) // encoder.dtype.itemsize + 1 for c in coded])
@@ -199,7 +209,8 @@ class Reader(DataSourceReader):
         starts = np.concatenate(([0], ends[:-1])) if len(ends) else ends
         for at in range(0, len(ends), READ_DOCS):
             s, e, n = starts[at : at + READ_DOCS], ends[at : at + READ_DOCS], names[at : at + READ_DOCS]
-            sums = [zlib.crc32(ids[i:j].astype("<u4")) for i, j in zip(s.tolist(), e.tolist(), strict=True)]
+            wide, first = ids[s[0] : e[-1]].astype("<u4", copy=False), int(s[0])
+            sums = [zlib.crc32(wide[i - first : j - first]) for i, j in zip(s.tolist(), e.tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(n.astype(np.int64), mask=n == NO_ID), pa.array(base + s), pa.array(e - s), pa.array(sums, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"]
             )
@@ -225,16 +236,19 @@ class TokenFileSource(DataSource):
 def write_token_files(docs: DataFrame, path: str, tokenizer: str, end: int, vocabulary: int, splits: bool = False, partitions: int | None = None) -> None:
     """Write the ids of ``docs`` (``doc_id``, ``text``; others are ignored) to ``path`` in ascending id order.
 
-    Null ids come first, rows that repeat an id in the order of their texts. A null or empty text is
+    Null ids come first, rows that repeat an id in the order of a hash of their texts. A null or empty text is
     its end id alone. Ids take 2 bytes while ``vocabulary`` fits, else 4. An empty table gives a
-    manifest without documents. A range partition of bounded size is one shard.
+    manifest without documents. A range partition of bounded size is one shard: ranges are cut by id,
+    by the hash of the text where an id repeats, and by where rows were read where both do.
     """
     spark = docs.sparkSession
     spark.dataSource.register(TokenFileSource)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    spread = rows.repartitionByRange(partitions, "doc_id") if partitions else rows.repartitionByRange("doc_id")
+    text = F.col("text").cast("binary")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("_print"), F.monotonically_increasing_id().alias("_read"))
+    by = ("doc_id", "_print", "_read")
+    spread = rows.repartitionByRange(partitions, *by) if partitions else rows.repartitionByRange(*by)
     dtype = "<u2" if vocabulary <= 1 << 16 else "<u4"
-    writer = spread.sortWithinPartitions("doc_id", "text").write.format("tokenfiles").mode("append")
+    writer = spread.sortWithinPartitions(*by).select("doc_id", "text").write.format("tokenfiles").mode("append")
     writer.option("tokenizer", tokenizer).option("end", str(end)).option("dtype", dtype).option("splits", str(splits).lower()).save(path)
 
 

@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import xxhash
 from tokenizers import Tokenizer
 
 from flowloom.llm.queries import op3
@@ -43,9 +44,14 @@ def test_encoder_forgets_what_came_last(monkeypatch):
     assert len(encoder.known) <= 100 < CACHED_WORDS
 
 
+def text_hash(text):
+    h = 42 if text is None else xxhash.xxh64_intdigest(text.encode(), seed=42)
+    return h - (1 << 64) if h >= 1 << 63 else h
+
+
 def want(rows, end):
     out, start = [], 0
-    for text, name, *_ in sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[0] is not None, r[0] or "")):
+    for text, name, *_ in sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, text_hash(r[0]))):
         ids = [*whole(text), end]
         out.append((name, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         start += len(ids)
@@ -63,7 +69,7 @@ def test_files_round_trip(spark, tmp_path):
         names, ends, ids = files.shard(i)
         assert len(ids) == 0 or isinstance(ids, np.memmap) and ids.dtype == np.dtype("<u2")
         flat += ids.tolist()
-    assert flat == [i for t, *_ in sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[0] is not None, r[0] or "")) for i in [*whole(t), 2]]
+    assert flat == [i for t, *_ in sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, text_hash(r[0]))) for i in [*whole(t), 2]]
 
 
 def test_wide_ids_whole_texts_and_empty_table(spark):
@@ -77,3 +83,13 @@ def test_query_equals_brute_force(spark):
     sf = "/root/testdata/sf0.001"
     rows = [(r.text, r.doc_id) for r in spark.read.parquet(f"{sf}/documents.parquet").select("text", "doc_id").collect()]
     assert [tuple(r) for r in op3(spark, sf).orderBy("doc_id").collect()] == want(rows, 2)
+
+
+def test_rows_of_one_id_spread_over_shards(spark, tmp_path):
+    rows = [(f"text {i % 40}", 7 if i % 3 == 0 else i, "x", i) for i in range(3000)]
+    path = f"file://{tmp_path}/out"
+    write_token_files(spark.createDataFrame(rows, DOCS).repartition(6), path, PATH, 2, 49_408, splits=True, partitions=8)
+    assert [tuple(r) for r in read_token_files(spark, path).orderBy("start").collect()] == want(rows, 2)
+    files = TokenFiles(path)
+    held = [int((files.shard(i)[0] == 7).sum()) for i in range(len(files.shards))]
+    assert sum(held) == 1001 and sum(n > 0 for n in held) > 1 and max(held) < 700
