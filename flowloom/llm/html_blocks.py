@@ -13,16 +13,18 @@ INLINE = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose contents are no text of the page.
 SILENT = "script|style|noscript|template|textarea|select|svg|math|iframe|object|canvas"
-#: Those of them that may close themselves, and what a tag holds after its name: values in quotes may hold ``>``.
+#: Those of them that may close themselves, and what a tag holds after its name: values in quotes may hold ``<`` and ``>``.
 EMPTY = "svg|math"
-ATTRS = r"""(?:=\s*"[^"]*"|=\s*'[^']*'|[^>])*+"""
+ATTRS = r"""(?:=\s*+(?:"[^"]*+"|'[^']*+')|[^<>])*+"""
+#: A tag that is not closed ends at the next one, or with the page. No part is read in two ways, so time is linear.
+END = r"(?:>|(?=<)|\Z)"
 #: A new element of the key ends an open one of the values, up to the nearest list, table or section.
 IMPLIED = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 BARRIERS = frozenset("ul ol dl table tbody thead article section main div body td th".split())
 ENDS_P = frozenset("address article aside blockquote div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 
 TOKEN = re.compile(
-    rf"""<!--.*?(?:-->|\Z)|<(?:{EMPTY})(?=[\s/>]){ATTRS}(?<=/)>|<(?P<silent>{SILENT})(?=[\s/>])[^>]*>.*?(?:</(?P=silent)\s*>|\Z)|<[!?][^>]*>|</(?P<end>[a-zA-Z][^\s/>]*)[^>]*>|<(?P<start>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>"']|"[^"]*"|'[^']*'|["'])*?)>""",
+    rf"""<!--.*?(?:-->|\Z)|<(?:{EMPTY})(?=[\s/>]){ATTRS}(?<=/)>|<(?P<silent>{SILENT})(?=[\s/>]){ATTRS}{END}.*?(?:</(?P=silent)\s*+>|\Z)|<[!?][^<>]*+{END}|</(?P<end>[a-zA-Z][^\s/<>]*+)[^<>]*+{END}|<(?P<start>[a-zA-Z][^\s/<>]*+)(?P<attrs>{ATTRS}){END}""",
     re.DOTALL | re.IGNORECASE,
 )
 NAMES = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)

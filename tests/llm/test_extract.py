@@ -1,4 +1,5 @@
 import re
+import time
 
 import numpy as np
 import pytest
@@ -44,6 +45,25 @@ def test_silent_tags_take_no_more_than_their_own():
     assert texts("a<script src=x />var y;</script> b") == ["a b"] and texts("a<object data=x>y</object\n> b<select\n>z") == ["a b"]
 
 
+def test_cut_off_tags_end_at_the_next_or_with_the_page():
+    assert texts("<p>a</p><div class='x' id=") == ["a"] and texts("<p>a<b title=\"never closed <p>b") == ["a", "b"]
+    assert texts("<p>a</p><a href=x <p>b</p>") == ["a", "b"] and texts("a</p <div>b") == ["a", "b"]
+    assert texts("<p>a<script src=x") == ["a"] and texts("<p title=it's>a</p>b") == ["a", "b"] and texts("a<!doctype <p>b") == ["a", "b"]
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<p>a</p><div " + " ".join(f"k{i}='v' l{i}=\"w\"" for i in range(5000)), "<p>a</p><div " + "'\"" * 10_000, "<p>a</p><div " + '"' * 10_001, "<p>a</p>" + "<a " * 100_000, "<p>a</p>" + "<script " * 50_000,
+        "<p>a</p>" + "<!" * 100_000, "<p>a</p>" + "</x " * 100_000, "<p>a</p>" + "<svg " * 50_000, "<p>a</p><x " + "= " * 100_000, "<p>a</p><x " + "=' " * 50_001, "<p>a</p><b" + "c" * 200_000, "<p>a</p>" + "<!-- " * 50_000,
+    ],
+)
+def test_time_is_linear_in_cut_off_tags(page):
+    began = time.perf_counter()
+    assert texts(page)[0] == "a"
+    assert time.perf_counter() - began < 1
+
+
 def test_gradients_are_those_of_the_loss():
     rng = np.random.default_rng(1)
     pages = [rng.normal(size=(n, INPUTS)).astype(np.float32) for n in (1, 4, 3)]
