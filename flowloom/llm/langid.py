@@ -39,7 +39,10 @@ def has_letter(raw: bytes | None) -> bool:
 
 def trigrams(raw: bytes) -> np.ndarray:
     """Buckets of the trigrams of a text with a blank on either side; those of two blanks on end do not count."""
-    x = np.frombuffer(b" " + raw.translate(LETTER_BYTES) + b" ", np.uint8)
+    return _buckets(np.frombuffer(b" " + raw.translate(LETTER_BYTES) + b" ", np.uint8))
+
+
+def _buckets(x: np.ndarray) -> np.ndarray:
     code = x.astype(np.uint32)
     code = (code[:-2] << np.uint32(16)) | (code[1:-1] << np.uint32(8)) | code[2:]
     blank = x == 0x20
@@ -48,12 +51,13 @@ def trigrams(raw: bytes) -> np.ndarray:
 
 
 def counted(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct buckets of a text and how often each occurs; long texts are counted in chunks."""
+    """Distinct buckets of a text and how often each occurs; long texts are counted in chunks that share two bytes."""
     if len(raw) < 1500:
         return np.unique(trigrams(raw), return_counts=True)
     total = np.zeros(BUCKETS, np.int64)
-    for at in range(0, len(raw), CHUNK):  # the chunk's edge counts as a word's edge
-        total += np.bincount(trigrams(raw[at : at + CHUNK]), minlength=BUCKETS)
+    x = np.frombuffer(b" " + raw.translate(LETTER_BYTES) + b" ", np.uint8)
+    for at in range(0, len(x) - 2, CHUNK):
+        total += np.bincount(_buckets(x[at : at + CHUNK + 2]), minlength=BUCKETS)
     seen = np.flatnonzero(total)
     return seen, total[seen]
 

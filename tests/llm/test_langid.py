@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from flowloom.llm import langid
 from flowloom.llm.langid import Languages, counted, has_letter, identify, keep_identified, learn, mixture
 from flowloom.llm.queries import op9
 
@@ -82,3 +83,12 @@ def test_held_out_accuracy(spark):
     unseen = [r for r in rows if r.held_out and r.lang_pred != "und"]
     assert np.mean([r.lang == r.lang_pred for r in unseen]) > 0.97
     assert got.where(F.col("lang_pred") == "und").where(F.col("text").rlike(r"\p{L}")).count() == 0
+
+
+def test_long_texts_are_counted_as_a_whole(monkeypatch):
+    raw = ("Ein Über-langer Text, ção 中文 " * 400).encode()
+    whole = np.unique(langid.trigrams(raw), return_counts=True)
+    for chunk in (1 << 20, 1000, 7):
+        monkeypatch.setattr(langid, "CHUNK", chunk)
+        seen, n = langid.counted(raw)
+        assert seen.tolist() == whole[0].tolist() and n.tolist() == whole[1].tolist()
