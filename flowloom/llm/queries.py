@@ -46,7 +46,7 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     "op1_maxscore_topk",
     """
     WITH v AS (
-        SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS c FROM embeddings
+        SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS c FROM embeddings
         WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
     ), s AS (
         SELECT q.vec_id AS query_id, e.vec_id, CAST(list_inner_product(q.c, e.c) AS BIGINT) AS score

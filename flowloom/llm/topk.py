@@ -32,15 +32,15 @@ HITS = "query_id long, vec_id long, score long"
 def quantise(vectors: DataFrame, scale: float, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """``vec_id`` and ``floor(scale * x)`` of every component.
 
-    Rows with a null id, a null vector, or a null or non-finite component are left out. Of several
-    rows with one id the smallest vector stays. An empty vector stays; it scores 0 with everything.
+    Rows with a null id, a null vector, or a null or non-finite component are left out. Rows that repeat
+    id and cells are one; other vectors of an id stay beside it. An empty vector stays; it scores 0 with
+    everything.
     """
     x = F.col(embedding)
     bad = F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == F.lit(float("inf"))))
     cells = F.transform(x, lambda v: F.floor(v.cast("double") * F.lit(float(scale))))
     sound = vectors.where(F.col(vec_id).isNotNull() & x.isNotNull()).where(~bad)
-    rows = sound.select(F.col(vec_id).cast("long").alias("vec_id"), cells.alias("cells"))
-    return rows.groupBy("vec_id").agg(F.min("cells").alias("cells"))
+    return sound.select(F.col(vec_id).cast("long").alias("vec_id"), cells.alias("cells")).distinct()
 
 
 def _packer(most: int):
@@ -161,8 +161,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: float = 1024
     """For each row that ``is_query`` (an expression on ``vec_id``) marks, the ``k`` rows of highest score.
 
     The score is the integer inner product of the quantised vectors; vectors of unequal length are
-    filled with zeros. Ties go to the smaller id, the query itself takes no part, and an empty table
-    gives no rows. The shards are a written table; the packs are small beside them and are repeated
+    filled with zeros. Ties go to the smaller id, rows of the query's id take no part, and an empty table
+    gives no rows. The best of all vectors of an id are that id's result. The shards are a written table; the packs are small beside them and are repeated
     once for each group of shards.
     """
     cells = saved(quantise(vectors, scale), "vectors")

@@ -10,17 +10,15 @@ SCHEMA = "vec_id long, embedding array<float>, label int, score string"
 
 
 def brute(rows, k, every):
-    vs = {}
+    vs = set()
     for i, v, *_ in rows:
         if i is None or v is None or any(x is None or not math.isfinite(x) for x in v):
             continue
-        c = [math.floor(1024.0 * float(np.float32(x))) for x in v]
-        vs[i] = min(vs.get(i, c), c)
+        vs.add((i, tuple(math.floor(1024.0 * float(np.float32(x))) for x in v)))
     out = []
-    for q in vs:
-        if q % every == 0:
-            s = sorted(((-sum(a * b for a, b in zip(vs[q], c)), i) for i, c in vs.items() if i != q))[:k]
-            out += [(q, r + 1, i, -n) for r, (n, i) in enumerate(s)]
+    for q in {i for i, _ in vs if i % every == 0}:
+        s = sorted((-sum(a * b for a, b in zip(v, c)), i) for p, v in vs if p == q for i, c in vs if i != q)[:k]
+        out += [(q, r + 1, i, -n) for r, (n, i) in enumerate(s)]
     return sorted(out)
 
 
@@ -30,6 +28,7 @@ def test_matches_brute_force_over_many_shards(spark):
     rows += [(300 + i, rows[7][1], 0, "x") for i in range(120)]  # a hot vector
     rows += [(1000, None, 0, None), (1001, [1.0, None], 0, None), (1002, [float("nan")], 0, None), (1003, [float("inf")], 0, None)]
     rows += [(1100, [], 0, None), (1200, [0.0] * 12, 0, None), (None, [1.0] * 12, 0, None), (1201, [0.5, 0.25], 0, None), rows[5]]
+    rows += [(100, rows[3][1], 0, ""), (100, [9.0] * 12, 0, ""), (41, [8.0] * 12, 0, ""), (41, [-8.0] * 12, 0, "")]  # several vectors of an id
     df = spark.createDataFrame(rows, SCHEMA)
     got = sorted(tuple(r) for r in top_k(df, F.col("vec_id") % 100 == 0, k=10, shard_rows=40).collect())
     assert got == brute(rows, 10, 100)
