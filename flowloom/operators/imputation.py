@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.scalars import col
 from ..plans.bounded import lookup_join
@@ -15,14 +13,9 @@ from ..plans.checkpoints import durable, spread
 from ..plans.quantiles import BUFFER_CELLS, exact_quantiles
 from ..plans.ranking import WINDOW_ROWS
 from .features import fit_median
+from .neighbours import LEAF, nearest
 from .sampling import cap_rows, fold_count, stratified_folds
 
-# Rows of a block of donors and of a pack of queries.
-QUERY_BLOCK = 2_000
-# Queries compared with a block at a time, which bounds a task's memory.
-CHUNK = 500
-# Cells of the cut coordinate, and the tasks over which one cell's rows are dealt.
-MOST_CELLS, SPREAD = 1_000, 16
 SEED = 42
 
 
@@ -89,156 +82,16 @@ def impute_gbt(train, test, target, cols, rounds: int = 20, depth: int = 5) -> t
     return _impute(train, test, target, cols, gbt_model(rounds, depth))
 
 
-def _tagged(width: int, axis: int, cuts: np.ndarray, block: int, names: list[str]):
-    """Packs rows by cell: one row for at most ``block`` of them, with their values as a matrix.
-
-    A cell is the slice of the axis between two cuts; rows without a value on it have cell -1.
-    """
-
-    def pack(batches):
-        waiting: dict[int, list[np.ndarray]] = {}
-        labels: dict[int, list[np.ndarray]] = {}
-
-        def flush(cell: int) -> dict:
-            rows, keys = np.concatenate(waiting.pop(cell)), np.concatenate(labels.pop(cell))
-            return {"cell": cell, "n": len(rows), "keys": "\x00".join(keys), "rows": np.ascontiguousarray(rows).tobytes()}
-
-        for pdf in batches:
-            values = pdf[names].to_numpy(float)
-            cells = pdf["_c"].to_numpy(int) if "_c" in pdf else _cell(values[:, axis], cuts)
-            keys = pdf["_k"].to_numpy(str) if "_k" in pdf else np.full(len(pdf), "")
-            out = []
-            for cell in np.unique(cells):
-                at = np.flatnonzero(cells == cell)
-                for start in range(0, len(at), block):
-                    part = at[start : start + block]
-                    waiting.setdefault(int(cell), []).append(values[part])
-                    labels.setdefault(int(cell), []).append(keys[part])
-                    if sum(map(len, waiting[int(cell)])) >= block:
-                        out.append(flush(int(cell)))
-            if out:
-                yield pd.DataFrame(out)
-        if waiting:
-            yield pd.DataFrame([flush(c) for c in list(waiting)])
-
-    return pack
-
-
-def _cell(x: np.ndarray, cuts: np.ndarray) -> np.ndarray:
-    return np.where(np.isnan(x), -1, np.searchsorted(cuts, np.nan_to_num(x), side="right"))
-
-
-def _distances(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Distances that skip missing coordinates and scale by the share that is present."""
-    width = q.shape[1]
-    q_seen, seen = ~np.isnan(q), ~np.isnan(x)
-    q0, x0 = np.where(q_seen, q, 0.0), np.where(seen, x, 0.0)
-    total = np.zeros((len(q), len(x)))
-    for j in range(width):  # differences are formed directly: exact for equal points
-        gap = q0[:, j : j + 1] - x0[None, :, j]
-        total += np.where(q_seen[:, j : j + 1] & seen[None, :, j], gap * gap, 0.0)
-    common = q_seen.astype(float) @ seen.T.astype(float)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        return np.where(common > 0, np.sqrt(total * width / common), np.inf)
-
-
-def _search(width: int, k: int):
-    """The k best donors of a block for each query of a pack, none farther than the query's bound."""
-
-    def search(batches):
-        for pdf in batches:
-            for row in pdf.itertuples():
-                keys = np.array(row.q_keys.split("\x00"))
-                queries = np.frombuffer(row.q_rows).reshape(row.q_n, -1)
-                donors = np.frombuffer(row.rows).reshape(row.n, -1)
-                points, limit = queries[:, :width], queries[:, width]
-                for start in range(0, len(points), CHUNK):
-                    part = slice(start, start + CHUNK)
-                    d = _distances(points[part], donors[:, 1:])
-                    kth = np.partition(d, k - 1, axis=1)[:, k - 1] if d.shape[1] > k else np.full(len(d), np.inf)
-                    q, at = np.nonzero((d <= np.minimum(limit[part], kth)[:, None]) & np.isfinite(d))
-                    near = pd.DataFrame({"key": keys[part][q], "q": q, "dist": d[q, at], "value": donors[at, 0]})
-                    yield near.sort_values(["q", "dist", "value"]).groupby("q").head(k)[["key", "dist", "value"]]
-
-    return search
-
-
-def nearest(
-    reference: DataFrame, query: DataFrame, key: str, target: str, cols: list[str], k: int = 5,
-    block: int = QUERY_BLOCK,
-) -> DataFrame:
-    """(key, dist, value, rank) of the k nearest reference rows with a known target.
-
-    The distance skips missing coordinates and scales by the share that is present, so it is never
-    below the difference on one coordinate. The coordinate of largest deviation is cut into cells by
-    quantiles. A query is first compared with one block of its own cell, which bounds its k-th
-    distance, and then with the cells that this bound reaches. Donors without a value on the cut
-    coordinate are a cell that all queries visit; queries without one visit all cells. Blocks and packs
-    of queries are bounded and meet in joins; only the cuts reach the driver. Where many coordinates
-    vary alike, bounds are wide and most cells are visited.
-    """
-    spark, width = reference.sparkSession, len(cols)
-    xs = [f"_x{i}" for i in range(width)]
-    points = [col(c).cast("double").alias(x) for c, x in zip(cols, xs)]
-    donors = durable(reference.filter(col(target).isNotNull()).select(col(target).cast("double").alias("_t"), *points))
-    asked = durable(query.select(col(key).cast("string").alias("_k"), *points))
-    facts = donors.agg(F.count("*").alias("n"), *[F.stddev_pop(x).alias(x) for x in xs]).first()
-    if not facts["n"]:
-        return spark.createDataFrame([], "key string, dist double, value double, rank int")
-    axis = max(range(width), key=lambda i: facts[xs[i]] or 0.0)
-    parts = min(MOST_CELLS, -(-facts["n"] // block))
-    found = donors.agg(F.percentile_approx(xs[axis], [i / parts for i in range(1, parts)], 10_000)).first()[0] if parts > 1 else None
-    cuts = np.unique(np.array(found or [], float))
-    packed = "cell int, n int, keys string, rows binary"
-    blocks = durable(
-        donors.mapInPandas(_tagged(width, axis + 1, cuts, block, ["_t", *xs]), packed)
-        .select("cell", "n", "rows", F.monotonically_increasing_id().alias("block"))
-    )
-    first = blocks.filter("cell >= 0").groupBy("cell").agg(F.min_by(F.struct("n", "rows"), "block").alias("b")).select("cell", "b.n", "b.rows")
-    open_ = asked.withColumn("_limit", F.lit(float("inf")))
-    near = _met(open_, first, width, axis, cuts, block, k)
-    bound = near.groupBy("key").agg(F.max("dist").alias("_limit"), F.count("*").alias("_n")).filter(F.col("_n") >= k)
-    limited = asked.join(bound.select(F.col("key").alias("_k"), "_limit"), "_k", "left")
-    limited = limited.withColumn("_limit", F.coalesce("_limit", F.lit(float("inf"))))
-
-    def visits(batches):
-        for pdf in batches:
-            x, r = pdf[xs[axis]].to_numpy(float), pdf["_limit"].to_numpy(float)
-            everywhere = np.isnan(x) | np.isinf(r)
-            low = np.where(everywhere, 0, np.searchsorted(cuts, np.nan_to_num(x) - np.where(everywhere, 0, r), side="left"))
-            high = np.where(everywhere, len(cuts), np.searchsorted(cuts, np.nan_to_num(x) + np.where(everywhere, 0, r), side="right"))
-            n = high - low + 2  # and the cell of donors without a value
-            cell = np.concatenate([np.append(np.arange(a, b + 1), -1) for a, b in zip(low, high)]) if len(pdf) else np.empty(0, int)
-            yield pdf.iloc[np.repeat(np.arange(len(pdf)), n)].assign(_c=cell)
-
-    names = ["_k", *xs, "_limit"]
-    visited = limited.select(*names).mapInPandas(visits, ", ".join(f"{c} {'string' if c == '_k' else 'double'}" for c in names) + ", _c int")
-    found = _met(visited, blocks, width, axis, cuts, block, k)
-    window = Window.partitionBy("key").orderBy("dist", "value")
-    return found.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= k)
-
-
-def _met(asked: DataFrame, blocks: DataFrame, width: int, axis: int, cuts: np.ndarray, block: int, k: int) -> DataFrame:
-    """Pack the queries by cell and compare every pack with the blocks of its cell."""
-    names = [*[f"_x{i}" for i in range(width)], "_limit"]
-    # rows of a cell meet in a few tasks, so that packs are full
-    spread = asked.repartition("_c", F.floor(F.rand(13) * SPREAD)) if "_c" in asked.columns else asked
-    packs = spread.mapInPandas(_tagged(width, axis, cuts, block, names), "cell int, n int, keys string, rows binary")
-    packs = packs.select("cell", F.col("n").alias("q_n"), F.col("keys").alias("q_keys"), F.col("rows").alias("q_rows"))
-    pairs = packs.join(blocks.select("cell", "n", "rows"), "cell")
-    return durable(pairs.mapInPandas(_search(width, k), "key string, dist double, value double"))
-
-
 def impute_knn(
     reference: DataFrame, query: DataFrame, key: str, target: str, cols: list[str], k: int = 5,
-    block: int = QUERY_BLOCK,
+    leaf: int = LEAF,
 ) -> DataFrame:
     """Replace null targets of ``query`` by the mean of the k nearest known values.
 
     A row without any comparable neighbour gets the reference mean.
     """
     asked = query.filter(col(target).isNull())
-    mean = nearest(reference, asked, key, target, cols, k, block).groupBy("key").agg(F.avg("value").alias("_guess"))
+    mean = nearest(reference, asked, key, target, cols, k, leaf).groupBy("key").agg(F.avg("value").alias("_guess"))
     keyed = query.withColumn("key", col(key).cast("string"))
     fallback = reference.agg(F.avg(col(target).cast("double")))
     joined = lookup_join(keyed, mean, ["key"]).drop("key")

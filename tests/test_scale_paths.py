@@ -4,8 +4,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from flowloom.operators import correlation, imputation, ranking, sampling
+from flowloom.operators import correlation, imputation, neighbours, ranking, sampling
 from flowloom.plans.bounded import lookup_join, small_table
+from flowloom.plans import quantiles
 from flowloom.plans.quantiles import exact_quantiles, grouped_quantiles
 from flowloom.plans.ranking import flag_quota, number_rows
 
@@ -90,23 +91,65 @@ def test_quantiles(spark):
     df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in data)).persist()
     probs = [0.0, 0.01, 0.25, 0.5, 0.75, 0.999, 1.0]
     cols = {c: F.col(c) for c in data}
-    for final in (100, 5000):
-        got = exact_quantiles(df, cols, probs, buffer_cells=0, final_values=final)
-        assert got["empty"] == [None] * len(probs)
-        for c in set(data) - {"empty"}:
-            assert got[c] == pytest.approx(list(np.quantile(data[c], probs)), rel=1e-12, abs=1e-12)
+    got = exact_quantiles(df, cols, probs, buffer_cells=0)
+    assert got["empty"] == [None] * len(probs)
+    for c in set(data) - {"empty"}:
+        assert got[c] == pytest.approx(list(np.quantile(data[c], probs)), rel=1e-12, abs=1e-12)
     plain = exact_quantiles(df, cols, probs)
     assert plain["empty"] == [None] * len(probs)
     assert plain["normal"] == pytest.approx(got["normal"])
     grouped = df.withColumn("g", F.when(F.col("ties") < 4, "big").otherwise("small"))
     names = ["normal", "hot"]
     a, b = (
-        {(r["g"], r["variable"]): r["q"] for r in grouped_quantiles(grouped, "g", {c: F.col(c) for c in names}, [0.5, 0.9], "q", cells, 200).collect()}
+        {(r["g"], r["variable"]): r["q"] for r in grouped_quantiles(grouped, "g", {c: F.col(c) for c in names}, [0.5, 0.9], "q", cells).collect()}
         for cells in (12_000, 10**7)
     )
     assert a.keys() == b.keys() and all(a[k] == pytest.approx(b[k]) for k in a)
 
 
+@pytest.mark.parametrize("slack", [0.01, 1e-9])
+def test_quantiles_of_groups(spark, monkeypatch, slack):
+    """Hot, small, null and valueless groups; with hardly any slack most brackets miss and are widened."""
+    monkeypatch.setattr(quantiles, "SLACK", slack)
+    rng = np.random.default_rng(6)
+    groups = [None if g == 9 else f"g{g}" for g in np.where(rng.random(9000) < 0.4, 0, rng.integers(0, 12, 9000))] + ["none"] * 5
+    x, y = rng.normal(size=9005), rng.integers(0, 4, 9005).astype(float)
+    x[-5:], y[::3] = np.nan, np.nan
+    rows = [(g, None if i % 50 == 0 else float(a), float(b)) for i, (g, a, b) in enumerate(zip(groups, x, y))]
+    df = spark.createDataFrame(rows, "g string, x double, y double").repartition(5)
+    probs = [0.0, 0.25, 0.5, 1.0]
+    got = {(r["g"], r["variable"]): r["q"] for r in grouped_quantiles(df, "g", {"x": F.col("x"), "y": F.col("y")}, probs, buffer_cells=0).collect()}
+    assert len(got) == 2 * len(set(groups))
+    for g in set(groups):
+        for at, name in ((1, "x"), (2, "y")):
+            mine = [r[at] for r in rows if r[0] == g and r[at] is not None and not np.isnan(r[at])]
+            assert got[g, name] == (pytest.approx(list(np.quantile(mine, probs)), rel=1e-12) if mine else None)
+
+
+def test_quantiles_scan_a_fixed_number_of_times(spark):
+    n, width = 3000, 78
+    scanned = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            scanned.add(len(batch))
+            yield batch
+
+    names = [f"c{i}" for i in range(width)]
+    wide = spark.range(n).select("id", *[((F.col("id") * (i + 3)) % 1009).cast("double").alias(c) for i, c in enumerate(names)])
+    df = wide.repartition(4).mapInArrow(seen, wide.schema)
+    found = exact_quantiles(df, {c: F.col(c) for c in names}, [0.25, 0.5, 0.75], buffer_cells=0)
+    assert scanned.value <= 8 * n
+    for i in (0, 40, 77):
+        assert found[f"c{i}"] == pytest.approx(list(np.quantile(np.arange(n) * (i + 3) % 1009, [0.25, 0.5, 0.75])))
+    sizes = []
+    for groups in (2, 2000):
+        by = df.withColumn("g", F.col("id") % groups)
+        plan = grouped_quantiles(by, "g", {"c0": F.col("c0"), "c1": F.col("c1")}, [0.5], buffer_cells=0)
+        sizes.append(len(plan._jdf.queryExecution().optimizedPlan().toString().splitlines()))
+    assert sizes[0] == sizes[1]
+
+
 def test_pair_correlations(spark):
     rng = np.random.default_rng(1)
     x = rng.normal(1e6, 1, (3000, 4))
@@ -129,7 +172,7 @@ def test_nearest_in_blocks(spark):
     known = [i for i in range(120) if i % 3]
     for block in (1000, 7):
         got = {}
-        for r in imputation.nearest(df, ask, "key", "t", ["x", "y", "z"], 5, block).collect():
+        for r in neighbours.nearest(df, ask, "key", "t", ["x", "y", "z"], 5, block).collect():
             got.setdefault(int(r["key"]), []).append(r["value"])
         assert len(got) == 40
         for i, found in got.items():
@@ -137,3 +180,42 @@ def test_nearest_in_blocks(spark):
             assert sorted(found) == sorted(map(float, order))
     filled = imputation.impute_knn(df, df, "key", "t", ["x", "y", "z"])
     assert filled.count() == 120 and filled.filter("t is null").isEmpty()
+
+
+def test_nearest_equals_brute_force_on_awkward_points(spark):
+    """Equal points, ties, missing coordinates, a constant coordinate and a hot point, in small leaves."""
+    rng = np.random.default_rng(8)
+    x = np.round(rng.normal(size=(1500, 4)), 1)
+    x[:, 2] = 5.0
+    x[rng.random(x.shape) < 0.1] = np.nan
+    x[:400] = [1.0, 2.0, 5.0, np.nan]
+    t = rng.integers(0, 50, 1500).astype(float)
+    asked = np.vstack([x[::50], [[np.nan] * 4, [9.0, np.nan, np.nan, np.nan], [1.0, 2.0, 5.0, 0.0]]])
+    names = ["a", "b", "c", "d"]
+    plain = lambda r: [None if np.isnan(v) else float(v) for v in r]
+    df = spark.createDataFrame([(*plain(r), float(v)) for r, v in zip(x, t)], "a double, b double, c double, d double, t double")
+    ask = spark.createDataFrame([(f"q{i}", *plain(r)) for i, r in enumerate(asked)], "key string, a double, b double, c double, d double")
+    got = {}
+    for r in neighbours.nearest(df, ask, "key", "t", names, 5, leaf=40).collect():
+        got.setdefault(r["key"], []).append((r["rank"], r["dist"], r["value"]))
+    d = neighbours.distances(asked, x)
+    for i in range(len(asked)):
+        want = sorted((d[i, j], t[j]) for j in range(len(x)) if np.isfinite(d[i, j]))[:5]
+        mine = sorted(got.get(f"q{i}", []))
+        assert [v for *_, v in mine] == [v for _, v in want] and [e for _, e, _ in mine] == pytest.approx([e for e, _ in want])
+
+
+def test_visited_leaves_grow_far_slower_than_donors(spark):
+    visits, leaves = [], []
+    for n in (2_000, 32_000):
+        rng = np.random.default_rng(n)
+        pdf = rng.random((n, 3))
+        df = spark.createDataFrame([(1.0, *map(float, r)) for r in pdf], "t double, x double, y double, z double")
+        tree = neighbours.build_tree(df, ["x", "y", "z"], 5, leaf=50)
+        sizes = [r["n"] for r in tree.blocks.select("n").collect()]
+        assert sum(sizes) == n and max(sizes) <= 50
+        radius = (5 / n) ** (1 / 3)
+        ask = df.limit(50).withColumns({"key": F.monotonically_increasing_id().cast("string"), "limit": F.lit(radius)})
+        visits.append(neighbours.leaf_visits(tree, ask.select("key", "x", "y", "z", "limit"), ["x", "y", "z"], False).count() / 50)
+        leaves.append(sum(level.where("is_leaf").count() for level in tree.levels))
+    assert leaves[1] > 8 * leaves[0] and visits[1] < 2.5 * visits[0] and visits[1] < leaves[1] / 20
