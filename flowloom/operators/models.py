@@ -4,19 +4,19 @@ from __future__ import annotations
 
 import json
 import math
-import random
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier, LogisticRegression, NaiveBayes, RandomForestClassifier,
 )
-from pyspark.ml.feature import Bucketizer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.scalars import col
 from ..plans.checkpoints import durable, spread
+from .extra_trees import ExtraTreesModel, grow
 from .features import apply_minmax
 
 SEED = 42
@@ -31,7 +31,7 @@ class Classifier:
     kind: str
     features: list[str]
     classes: list[str]
-    members: list[PipelineModel] = field(default_factory=list)
+    members: list[PipelineModel | ExtraTreesModel] = field(default_factory=list)
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Add ``prediction`` (int code). Several members vote with their class probabilities."""
@@ -40,7 +40,8 @@ class Classifier:
         for m, member in enumerate(self.members):
             before = set(ready.columns)
             ready = member.transform(ready)
-            ready = ready.withColumn(f"_p{m}", vector_to_array("_probability"))
+            shares = F.col("_probability") if isinstance(member, ExtraTreesModel) else vector_to_array("_probability")
+            ready = ready.withColumn(f"_p{m}", shares)
             ready = ready.drop(*(set(ready.columns) - before - {f"_p{m}"}))
             scores.append(F.col(f"_p{m}"))
         total = scores[0]
@@ -54,7 +55,10 @@ class Classifier:
         spark = SparkSession.getActiveSession()
         meta = {"kind": self.kind, "features": self.features, "classes": self.classes, "members": len(self.members)}
         for i, member in enumerate(self.members):
-            member.write().overwrite().save(f"{path}/member-{i}")
+            if isinstance(member, ExtraTreesModel):
+                member.save(f"{path}/member-{i}")
+            else:
+                member.write().overwrite().save(f"{path}/member-{i}")
         spark.createDataFrame([(json.dumps(meta),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/metadata")
 
     @staticmethod
@@ -63,7 +67,8 @@ class Classifier:
         meta = json.loads(spark.read.text(f"{path}/metadata").first()["value"])
         if features is not None and list(features) != meta["features"]:
             raise ValueError("feature names or their order differ from the trained model")
-        members = [PipelineModel.load(f"{path}/member-{i}") for i in range(meta["members"])]
+        kind = ExtraTreesModel if meta["kind"] == "extra_trees" else PipelineModel
+        members = [kind.load(f"{path}/member-{i}") for i in range(meta["members"])]
         return Classifier(meta["kind"], meta["features"], meta["classes"], members)
 
 
@@ -82,30 +87,12 @@ def _stage(kind: str, weight: str | None, params: dict):
     raise ValueError(f"unknown classifier: {kind}")
 
 
-def _extra_trees(train: DataFrame, names: list[str], weight: str | None, params: dict) -> list[PipelineModel]:
-    """Trees on randomly drawn cut points: an approximation of extremely randomised trees.
-
-    Each tree sees the features cut at its own random thresholds, all rows and a random feature
-    subset per node; candidate splits are therefore random while the best of them is kept.
-    """
-    params = dict(params)
-    trees, cuts = params.pop("numTrees", 20), params.pop("cuts", 32)
-    ends = train.agg(*[f(F.col(n)) for n in names for f in (F.min, F.max)]).first()
-    rng = random.Random(SEED)
-    members = []
-    for t in range(trees):
-        stages = []
-        for i, n in enumerate(names):
-            low, high = ends[2 * i], ends[2 * i + 1]
-            drawn = sorted({rng.uniform(low, high) for _ in range(cuts)}) if high > low else [low]
-            stages.append(
-                Bucketizer(splits=[-math.inf, *drawn, math.inf], inputCol=n, outputCol=f"{n}_b", handleInvalid="keep")
-            )
-        stages.append(VectorAssembler(inputCols=[f"{n}_b" for n in names], outputCol="_vector"))
-        single = {"numTrees": 1, "bootstrap": False, "featureSubsetStrategy": "sqrt", "seed": SEED + t}
-        stages.append(_stage("random_forest", weight, params | single))
-        members.append(Pipeline(stages=stages).fit(train))
-    return members
+def _extra_trees(rows: DataFrame, names: list[str], classes: int, weight: str | None, params: dict) -> ExtraTreesModel:
+    """Extremely randomised trees on all rows; ``featuresPerNode`` is the root of the number of features unless given."""
+    most = params.get("featuresPerNode", max(1, math.isqrt(len(names))))
+    weighted = rows.select(*names, "_label", (F.col(weight) if weight else F.lit(1.0)).cast("double").alias("_weight"))
+    forest = grow(weighted, names, classes, params.get("numTrees", 20), params.get("maxDepth", 30), most, params.get("seed", SEED))
+    return ExtraTreesModel(forest, len(names))
 
 
 def train(
@@ -122,7 +109,7 @@ def train(
     ready = spread(durable(matrix)).persist()
     try:
         if kind == "extra_trees":
-            members = _extra_trees(ready, names, weight, params or {})
+            members = [_extra_trees(ready, names, len(classes), weight, params or {})]
         else:
             stages = [VectorAssembler(inputCols=names, outputCol="_vector"), _stage(kind, weight, params or {})]
             members = [Pipeline(stages=stages).fit(ready)]
@@ -134,6 +121,9 @@ def train(
 def importance(model: Classifier) -> DataFrame:
     """Feature importance (mean over members) or mean absolute coefficient, largest first."""
     spark = SparkSession.getActiveSession()
+    if isinstance(model.members[0], ExtraTreesModel):
+        rows = list(zip(model.features, model.members[0].importances))
+        return spark.createDataFrame(rows, "variable string, importance double").orderBy(F.desc("importance"), "variable")
     last = [m.stages[-1] for m in model.members]
     if hasattr(last[0], "featureImportances"):
         values = [sum(float(m.featureImportances[i]) for m in last) / len(last) for i in range(len(model.features))]
