@@ -14,6 +14,7 @@ from ..plans.quantiles import BUFFER_CELLS, exact_quantiles
 from ..plans.ranking import WINDOW_ROWS
 from .features import fit_median
 from .neighbours import LEAF, nearest
+from .neural import NeuralRegressor
 from .sampling import cap_rows, fold_count, stratified_folds
 
 SEED = 42
@@ -48,9 +49,14 @@ def _regression(train: DataFrame, test: list[DataFrame], target: str, cols: list
         {f"_x{i}": F.coalesce(col(c).cast("double"), F.lit(medians.get(c, 0.0))) for i, c in enumerate(cols)}
     )
     names = [f"_x{i}" for i in range(len(cols))]
+    matrix = fill(known).select(*names, col(target).cast("double").alias("_y"))
+    if isinstance(model, NeuralRegressor):
+        ready = spread(durable(matrix)).persist()
+        network = model.fit(ready, names)
+        ready.unpersist()
+        return [network.transform(fill(df), names).drop(*names) for df in test]
     assembler = VectorAssembler(inputCols=names, outputCol="_features")
     model = model.copy().setLabelCol("_y").setFeaturesCol("_features").setPredictionCol("prediction")
-    matrix = fill(known).select(*names, col(target).cast("double").alias("_y"))
     ready = spread(durable(matrix)).persist()
     fitted = Pipeline(stages=[assembler, model]).fit(ready)
     ready.unpersist()
@@ -65,6 +71,10 @@ def gbt_model(rounds: int = 20, depth: int = 5) -> GBTRegressor:
     return GBTRegressor(maxIter=rounds, maxDepth=depth, seed=SEED)
 
 
+def neural_model(hidden: tuple[int, ...] = (32, 16), rounds: int = 100) -> NeuralRegressor:
+    return NeuralRegressor(tuple(hidden), rounds, seed=SEED)
+
+
 def _impute(train, test, target, cols, model) -> tuple[DataFrame, DataFrame]:
     guessed = _regression(train, [train, test], target, cols, model)
     return tuple(
@@ -82,6 +92,24 @@ def impute_gbt(train, test, target, cols, rounds: int = 20, depth: int = 5) -> t
     return _impute(train, test, target, cols, gbt_model(rounds, depth))
 
 
+def impute_neural(train, test, target, cols, hidden: tuple[int, ...] = (32, 16), rounds: int = 100) -> tuple[DataFrame, DataFrame]:
+    return _impute(train, test, target, cols, neural_model(hidden, rounds))
+
+
+def held_fold_scores(folded: DataFrame, target: str, cols: list[str], model, folds: int) -> DataFrame:
+    """Per fold: held rows, rows with a prediction, and whether the squared error is below that of the training mean."""
+    out = None
+    for f in range(folds):
+        train, held = folded.filter(F.col("fold") != f), folded.filter(F.col("fold") == f)
+        (scored,) = _regression(train, [held], target, cols, model)
+        y, mean = col(target).cast("double"), train.agg(F.avg(col(target).cast("double"))).scalar()
+        line = scored.withColumn("_m", mean).agg(
+            F.lit(f + 1).alias("fold"), F.count("*").alias("n"), F.count("prediction").alias("predicted"),
+            (F.avg((y - F.col("prediction")) ** 2) < F.avg((y - F.col("_m")) ** 2)).alias("better_than_mean"))
+        out = line if out is None else out.unionByName(line)
+    return out
+
+
 def impute_knn(
     reference: DataFrame, query: DataFrame, key: str, target: str, cols: list[str], k: int = 5,
     leaf: int = LEAF,
@@ -129,7 +157,7 @@ def compare_imputers(
 
     ``sample`` and ``validation``, where given, are the sizes of a sampled comparison.
     """
-    models = models if models is not None else {"Random Forest": forest_model(60, 12), "GBT": gbt_model()}
+    models = models if models is not None else {"Random Forest": forest_model(60, 12), "GBT": gbt_model(), "Reseau de neurones": neural_model()}
     spark = df.sparkSession
     lines = []
     for target in targets:
