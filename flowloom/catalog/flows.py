@@ -511,3 +511,13 @@ def f7(spark, sf):
 def c9(spark, sf):
     found = table(spark, sf, "lineitem").filter("l_quantity > 48").select(F.col("l_suppkey").alias("suppkey"))
     return cleaning.set_difference(table(spark, sf, "supplier").select(F.col("s_suppkey").alias("suppkey")), found)
+
+
+@query("D25_minmax_on_test", f"""WITH {SPLIT}, tr AS (SELECT * REPLACE (CASE WHEN isinf(rate) THEN NULL ELSE rate END AS rate) FROM parts)
+""" + union_sql(FEATURES, """SELECT '{c}' AS variable, round((min({c}) FILTER (split = 'test') - min({c}) FILTER (split = 'train')) / (max({c}) FILTER (split = 'train') - min({c}) FILTER (split = 'train')), 6) AS min_after,
+ round((max({c}) FILTER (split = 'test') - min({c}) FILTER (split = 'train')) / (max({c}) FILTER (split = 'train') - min({c}) FILTER (split = 'train')), 6) AS max_after FROM tr"""))
+def d25b(spark, sf):
+    """Bounds of the train part applied to the test part, where they need not be 0 and 1."""
+    df = cleaning.inf_to_null(split(spark, sf), FEATURES)
+    bounds = features.fit_minmax(df.filter("split = 'train'"), FEATURES)
+    return features.minmax_check(features.apply_minmax(df.filter("split = 'test'"), bounds), FEATURES)

@@ -349,6 +349,60 @@ def i19(spark, sf):
     return models.importance(models.train(train, "decision_tree", "code", FEATURES, CLASSES, "weight", {"maxDepth": 5}))
 
 
+@query("I18_ranking_order", """SELECT v.model, CAST(true AS BOOLEAN) AS in_order, true AS timed FROM (VALUES ('decision_tree'), ('extra_trees'), ('naive_bayes')) v(model)""")
+def i18b(spark, sf):
+    """The ranking of the end-to-end job: each model's macro F1 against the next one's, and its seconds."""
+    prepared = batch.prepare(flows(spark, sf), FEATURES, "label", "source_file", forest_targets=[])
+    ranking, _, _ = batch.evaluate_models(prepared, {"naive_bayes": {}, "decision_tree": {"maxDepth": 5}, "extra_trees": {"numTrees": 2, "maxDepth": 4}})
+    lines = ranking.collect()  # one line a model
+    after = [*(r["f1_macro"] for r in lines[1:]), -1.0]
+    told = [(r["model"], r["f1_macro"] >= f, r["fit_seconds"] > 0 and r["score_seconds"] > 0) for r, f in zip(lines, after)]
+    return spark.createDataFrame(told, "model string, in_order boolean, timed boolean")
+
+
+@query("I19_importance_of_what_decides", """SELECT v.kind, v.variable, v.decides FROM (VALUES ('decision_tree', 'l_discount', true), ('decision_tree', 'l_extendedprice', false), ('decision_tree', 'l_quantity', true),
+ ('extra_trees', 'l_discount', true), ('extra_trees', 'l_extendedprice', false), ('extra_trees', 'l_quantity', true)) v(kind, variable, decides), (SELECT count(*) AS n FROM lineitem) WHERE n > 0""")
+def i19b(spark, sf):
+    """Importances where two predictors decide the class: they have nearly all of it, and all sum to one."""
+    train, _ = _banded(spark, sf)
+    out = None
+    for kind, params in {"decision_tree": {"maxDepth": 4}, "extra_trees": {"numTrees": 4, "maxDepth": 6, "featuresPerNode": 3}}.items():
+        found = models.importance(models.train(train, kind, "band", NEAR, ["0", "1", "2"], None, params))
+        whole = found.agg(F.sum("importance")).scalar()
+        line = found.select(F.lit(kind).alias("kind"), "variable", ((F.col("importance") > 0.2) & (F.abs(whole - 1) < 1e-6)).alias("decides"))
+        out = line if out is None else out.unionByName(line)
+    return out
+
+
+BAND = "CAST(CASE WHEN l_quantity > 30 THEN 2 WHEN l_discount > 0.045 THEN 1 ELSE 0 END AS INTEGER)"
+
+
+def _banded(spark, sf):
+    """Train and test part with a class that quantity and discount decide."""
+    df = durable(split(spark, sf).withColumn("band", F.expr(BAND)).select(*NEAR, "band", "split"))
+    return df.filter("split = 'train'"), df.filter("split = 'test'")
+
+
+@query("I11_models_learn", f"""WITH {SPLIT}, held AS (SELECT {BAND} AS band FROM parts WHERE split = 'test')
+SELECT v.kind, CAST(count(*) AS BIGINT) AS support, CAST(count(*) AS BIGINT) AS predicted, true AS better_than_largest
+FROM held, (VALUES ('decision_tree'), ('random_forest'), ('extra_trees'), ('logistic_regression'), ('naive_bayes')) v(kind) GROUP BY 1""")
+def i11b(spark, sf):
+    """Every kind of model on a class that its inputs decide: right more often than the largest class by a fifth of what is left."""
+    train, test = _banded(spark, sf)
+    kinds = {
+        "decision_tree": {"maxDepth": 5}, "random_forest": TREES, "extra_trees": {"numTrees": 5, "maxDepth": 6}, "logistic_regression": {"maxIter": 30}, "naive_bayes": {},
+    }
+    largest = test.groupBy("band").count().agg(F.max("count") / F.sum("count")).scalar()
+    out = None
+    for kind, params in kinds.items():
+        matrix = evaluation.confusion(models.train(train, kind, "band", NEAR, ["0", "1", "2"], None, params).transform(test), "band", "prediction", [0, 1, 2])
+        scored = evaluation.class_scores(matrix, [0, 1, 2]).withColumn("largest", largest)
+        right = F.sum("tp") / F.sum("support")
+        line = scored.agg(F.lit(kind).alias("kind"), F.sum("support").alias("support"), F.sum("pp").alias("predicted"), (right > F.max("largest") + (1 - F.max("largest")) / 5).alias("better_than_largest"))
+        out = line if out is None else out.unionByName(line)
+    return out.select("kind", "support", "predicted", "better_than_largest")
+
+
 @query("I21_save_load", f"WITH {SPLIT} SELECT label, count(*) AS n, CAST(0 AS BIGINT) AS differing FROM parts WHERE split = 'test' GROUP BY 1")
 def i21(spark, sf):
     from ..plans.checkpoints import scratch_path

@@ -28,17 +28,28 @@ def a1(spark, sf):
     return flow_files.read_flows(spark, _csv(df, "flows"), df.schema).drop("source_file")
 
 
-@query("A2_file_inventory")
+def _by_source(df):
+    """One folder of CSV files for each source of the flows; its path."""
+    path = scratch_path(df.sparkSession, "flows")
+    df.write.partitionBy("source_file").option("header", True).csv(path)
+    return path
+
+
+@query("A2_file_inventory", f"""WITH {FLOWS} SELECT row_number() OVER (ORDER BY source_file) AS n, 'source_file=' || source_file AS file, true AS filled
+FROM (SELECT DISTINCT source_file FROM flows)""")
 def a2(spark, sf):
-    path = scratch_path(spark, "flows")
-    flows(spark, sf).write.partitionBy("source_file").option("header", True).csv(path)
-    return flow_files.file_inventory(spark, f"{path}/*/*.csv").select("n", "size_mb")
+    inventory = flow_files.file_inventory(spark, f"{_by_source(flows(spark, sf))}/*/*.csv", folders=True)
+    return inventory.select("n", "file", (F.col("size_mb") >= 0).alias("filled"))
 
 
-@query("A3_missing_inputs", "SELECT 'absent.parquet' AS file")
+@query("A3_missing_inputs", f"""WITH {FLOWS} SELECT DISTINCT 'source_file=' || source_file AS file FROM flows WHERE source_file NOT IN
+ (SELECT source_file FROM flows WHERE l_quantity > 25 AND CAST(source_file AS INTEGER) % 2 = 0)""")
 def a3(spark, sf):
-    inventory = flow_files.file_inventory(spark, f"{sf}/*.parquet")
-    return flow_files.missing_inputs(inventory, ["lineitem.parquet", "events.parquet", "absent.parquet"])
+    """Sources of the flows without files, after the large flows of even years were written."""
+    df = flows(spark, sf)
+    path = _by_source(df.filter("l_quantity > 25 and cast(source_file as int) % 2 = 0"))
+    expected = df.select(F.concat(F.lit("source_file="), "source_file").alias("file"))
+    return flow_files.missing_inputs(flow_files.file_inventory(spark, f"{path}/*/*.csv", folders=True), expected)
 
 
 @query("A4_schema_check", """SELECT CAST(count(*) AS BIGINT) AS n, v.compatible, CAST(1 AS BIGINT) AS kinds

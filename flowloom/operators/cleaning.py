@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.scalars import col
+from ..plans.bounded import lookup_join
+from ..plans.checkpoints import durable
 
 INFINITY = float("inf")
 
@@ -38,11 +40,31 @@ def select_features(df: DataFrame, cols: list[str], keep: list[str] = ()) -> Dat
     return df.select(*[col(c) for c in (*cols, *keep)])
 
 
+def _row_groups(df: DataFrame, by: str | None = None) -> DataFrame:
+    """``_n`` of each set of equal rows, with its group; what is shuffled is two hashes a row.
+
+    Rows whose hashes no other row has are sets of one. Only the others are compared in full, so hashes
+    that meet by chance, or because they skip nulls, part nothing and join nothing.
+    """
+    kinds = dict(df.dtypes)
+    # equal numbers have equal hashes: zero has one sign
+    cells = [col(c).cast("double") + F.lit(0.0) if kinds[c] in ("float", "double") else col(c) for c in df.columns]
+    hashes = {"_h1": F.xxhash64(*cells), "_h2": F.xxhash64(F.lit("again"), *reversed(cells))}
+    group = [col(by).alias("_g")] if by else []
+    hashed = df.select(*group, *[h.alias(c) for c, h in hashes.items()])
+    counted = durable(hashed.groupBy("_h1", "_h2").agg(F.count("*").alias("_n"), *([F.any_value("_g").alias("_g")] if by else [])))
+    single = counted.filter("_n = 1").select(*(["_g"] if by else []), "_n")
+    again = counted.filter("_n > 1").select("_h1", "_h2")
+    full = lookup_join(df.withColumns(hashes), again, ["_h1", "_h2"], "left_semi")
+    rest = full.groupBy(*[col(c) for c in df.columns]).agg(F.count("*").alias("_n"))
+    return single.unionByName(rest.select(*group, "_n"))
+
+
 def duplicate_count(df: DataFrame, by: str | None = None) -> DataFrame:
-    """Rows minus distinct full rows, per group or in total. Copies are combined before the shuffle."""
-    groups = df.groupBy(*[col(c) for c in df.columns]).agg(F.count("*").alias("_n"))
+    """Rows minus distinct full rows, per group or in total."""
     surplus = F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicates")
-    return groups.groupBy(by).agg(surplus) if by else groups.agg(surplus)
+    groups = _row_groups(df, by)
+    return groups.groupBy(F.col("_g").alias(by)).agg(surplus) if by else groups.agg(surplus)
 
 
 def dedup(df: DataFrame) -> DataFrame:
@@ -52,7 +74,7 @@ def dedup(df: DataFrame) -> DataFrame:
 
 def dedup_summary(df: DataFrame) -> DataFrame:
     """Rows before, removed, after and the removed share in percent."""
-    groups = df.groupBy(*[col(c) for c in df.columns]).agg(F.count("*").alias("_n"))
+    groups = _row_groups(df)
     before, after = F.coalesce(F.sum("_n"), F.lit(0)), F.count("*")
     return groups.agg(before.alias("before"), after.alias("after")).select(
         "before",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -73,17 +75,20 @@ def prepare(
 def evaluate_models(prepared: Prepared, kinds: dict[str, dict]) -> tuple[DataFrame, dict[str, Classifier], DataFrame]:
     """Train every kind on the train part, score the test part, rank by macro F1.
 
-    Returns the ranking, the models, and the errors per class of the best one.
+    Returns the ranking with the seconds of fitting and of scoring, the models, and the errors per class of the best one.
     """
     classes = [r["classe"] for r in prepared.dictionary.orderBy("code").collect()]
     codes = list(range(len(classes)))
     fit_on, test = (prepared.data.filter(F.col("split") == s) for s in ("train", "test"))
     models, lines, predictions = {}, None, {}
     for kind, params in kinds.items():
+        began = time.monotonic()
         models[kind] = train(fit_on, kind, "code", prepared.features, classes, "weight", params)
+        fitted = time.monotonic()
         predictions[kind] = models[kind].transform(test).select("code", "prediction").persist()
-        matrix = confusion(predictions[kind], "code", "prediction", codes)
-        line = model_metrics(class_report(matrix, codes), kind)
+        matrix = durable(confusion(predictions[kind], "code", "prediction", codes))
+        seconds = {"fit_seconds": F.lit(fitted - began), "score_seconds": F.lit(time.monotonic() - fitted)}
+        line = model_metrics(class_report(matrix, codes), kind).withColumns(seconds)
         lines = line if lines is None else lines.unionByName(line)
     ranking = rank_models(durable(lines))
     best = ranking.first()["model"]

@@ -144,11 +144,15 @@ def schema_check(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
-def file_inventory(spark: SparkSession, path: str | list[str], rules=SHORT_NAMES) -> DataFrame:
-    """Number, name, short name and size in MB of the input files; contents are not read."""
-    files = spark.read.format("binaryFile").load(path).select(
-        file_name(F.col("path")).alias("file"), F.col("length")
-    )
+def file_inventory(spark: SparkSession, path: str | list[str], rules=SHORT_NAMES, folders: bool = False) -> DataFrame:
+    """Number, name, short name and size in MB of the input files; contents are not read.
+
+    With ``folders`` an input is the folder a file lies in, such as one partition of a table.
+    """
+    listed = F.col("path") if not folders else F.regexp_replace("path", "/[^/]*$", "")
+    files = spark.read.format("binaryFile").load(path).select(file_name(listed).alias("file"), F.col("length"))
+    if folders:
+        files = files.groupBy("file").agg(F.sum("length").alias("length"))
     ordered = Window.orderBy("file")  # one row per file
     return files.select(
         F.row_number().over(ordered).cast("long").alias("n"),
@@ -158,10 +162,12 @@ def file_inventory(spark: SparkSession, path: str | list[str], rules=SHORT_NAMES
     )
 
 
-def missing_inputs(inventory: DataFrame, expected: list[str]) -> DataFrame:
-    """Expected file names that the inventory lacks."""
-    spark = inventory.sparkSession
-    wanted = spark.createDataFrame([(n,) for n in expected], "file string")
+def missing_inputs(inventory: DataFrame, expected: list[str] | DataFrame) -> DataFrame:
+    """Expected file names (a list, or a table with ``file``) that the inventory lacks."""
+    if isinstance(expected, DataFrame):
+        wanted = expected.select("file").distinct()
+    else:
+        wanted = inventory.sparkSession.createDataFrame([(n,) for n in expected], "file string")
     return lookup_join(wanted, inventory.select("file").distinct(), ["file"], "left_anti")
 
 

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from flowloom.operators import correlation, imputation, neighbours, ranking, sampling
+from flowloom.operators import cleaning, correlation, imputation, neighbours, ranking, sampling
 from flowloom.plans.bounded import lookup_join, small_table
 from flowloom.plans import quantiles
 from flowloom.plans.quantiles import exact_quantiles, grouped_quantiles
@@ -219,3 +219,17 @@ def test_visited_leaves_grow_far_slower_than_donors(spark):
         visits.append(neighbours.leaf_visits(tree, ask.select("key", "x", "y", "z", "limit"), ["x", "y", "z"], False).count() / 50)
         leaves.append(sum(level.where("is_leaf").count() for level in tree.levels))
     assert leaves[1] > 8 * leaves[0] and visits[1] < 2.5 * visits[0] and visits[1] < leaves[1] / 20
+
+
+def test_duplicates_by_hashes_are_those_of_full_rows(spark):
+    """Copies, nulls that shift (their hashes are equal), signed zeros, NaN, and a hot row."""
+    rows = [("a", 1.0, None, 5), ("a", None, 1.0, 5), ("a", 0.0, 2.0, None), ("a", -0.0, 2.0, None), ("b", float("nan"), 1.0, 1), ("b", float("nan"), 1.0, 1), (None, None, None, None), (None, None, None, None)]
+    rows += [("b", 3.0, 3.0, 3)] * 500 + [("c", float(i), None, i) for i in range(300)]
+    df = spark.createDataFrame(rows, "g string, x double, y double, z int").repartition(4)
+    full = df.groupBy(*df.columns).count()
+    want = {r["g"]: r["d"] for r in full.groupBy("g").agg(F.sum(F.col("count") - 1).alias("d")).collect()}
+    assert {r["g"]: r["duplicates"] for r in cleaning.duplicate_count(df, "g").collect()} == want
+    assert cleaning.duplicate_count(df).first()[0] == len(rows) - full.count()
+    summary = cleaning.dedup_summary(df).first()
+    assert (summary["before"], summary["after"]) == (len(rows), full.count())
+    assert cleaning.dedup_summary(df.limit(0)).first()["before"] == 0 and cleaning.duplicate_count(df.limit(0)).first()[0] == 0
