@@ -8,7 +8,7 @@ the last key that is taken. Texts are compared with that row where they lie.
 
 The order inside a source is never one task's sort. The keys are cut into ranges, the sums of the
 ranges are accumulated, and only the range in which the budget ends is cut again; the documents left
-after the second cut, one in millions, are ordered.
+after the second cut, one in millions, are ordered. Windows over all sources hold a row for each source.
 """
 
 from __future__ import annotations
@@ -35,17 +35,17 @@ def quality_weight(size: Column, chars: Column) -> Column:
 
 
 def measured(docs: DataFrame, seed: str, weight: Column | None = None) -> DataFrame:
-    """``doc_id``, ``source``, ``size``, ``key`` and ``tie`` of each row, next to the row itself as ``doc``."""
+    """``doc_id``, ``source``, ``size``, ``key``, ``tie`` and a number ``row`` of each row, next to the row itself as ``doc``."""
     text = F.coalesce(F.col("text"), F.lit(""))
     size = F.regexp_count(text, F.lit(WORDS)).cast("long")
     rows = docs.select(
-        F.struct("*").alias("doc"), F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), size.alias("size"), F.length(text).alias("chars"), F.md5(text.cast("binary")).alias("tie"),
+        F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), size.alias("size"), F.length(text).alias("chars"), F.md5(text.cast("binary")).alias("tie"),
         (weight if weight is not None else F.lit(None).cast("double")).alias("given"),
     )
     mark = F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("tie")).cast("binary"))
     u = (F.conv(F.substring(mark, 1, 12), 16, 10).cast("double") + 0.5) / F.lit(float(1 << 48))
     w = F.greatest(F.coalesce("given", quality_weight(F.col("size"), F.col("chars"))), F.lit(1e-3))
-    return rows.withColumn("key", -F.log(u) / w).select("doc", "doc_id", "source", "size", "key", "tie")
+    return rows.withColumn("key", -F.log(u) / w).select("doc", "row", "doc_id", "source", "size", "key", "tie")
 
 
 def budgets(sizes: DataFrame, weights: tuple[int, ...], share_percent: int, most_epochs: int) -> DataFrame:
@@ -105,16 +105,45 @@ def cut_points(rows: DataFrame, weights: tuple[int, ...], share_percent: int, mo
     edge = saved(_of(rows, cuts.select("source", "coarse")).where(_coarse() == F.col("coarse")).drop("coarse"), "edge")
     cuts = _end(edge, cuts, _fine(), "fine")
     last = _of(edge, cuts.select("source", "fine", "left")).where(_fine() == F.col("fine"))
-    upto = F.sum("size").over(Window.partitionBy("source").orderBy("key", "doc_id", "tie"))
-    taken = last.withColumn("upto", upto).where(F.col("upto") - F.col("size") / 2 <= F.col("left"))
-    ends = taken.groupBy(F.col("source").alias("s")).agg(F.max(F.struct("key", "doc_id", "tie")).alias("last"))
-    return saved(cuts.drop("left").join(ends, F.col("source").eqNullSafe(F.col("s")), "left").drop("s"), "cuts")
+    # rows that tie are one line with their number, however many there are
+    ties = last.groupBy("source", "key", "doc_id", "tie", "size", "left").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum(F.col("size") * F.col("n")).over(Window.partitionBy("source").orderBy("key", "doc_id", "tie")) - F.col("size") * F.col("n")
+    fit = F.when(F.col("size") == 0, F.when(F.col("before") <= F.col("left"), F.col("n")).otherwise(0)).otherwise(F.floor((F.col("left") - F.col("before")) / F.col("size") + 0.5))
+    taken = ties.withColumn("before", before).withColumn("most", F.least(fit, F.col("n"))).where("most > 0")
+    ends = taken.groupBy(F.col("source").alias("s")).agg(F.max(F.struct("key", "doc_id", "tie", "most", "n")).alias("last"))
+    cuts = saved(cuts.drop("left").join(ends, F.col("source").eqNullSafe(F.col("s")), "left").drop("s"), "ends")
+    return saved(_last_row(edge, cuts), "cuts")
+
+
+def _tied(rows: DataFrame, cuts: DataFrame) -> DataFrame:
+    """The rows of each source that tie with its last one, where not all of them are taken."""
+    open_ = cuts.where("last.most < last.n").select("source", "last")
+    same = (F.col("key") == F.col("last.key")) & F.col("doc_id").eqNullSafe(F.col("last.doc_id")) & (F.col("tie") == F.col("last.tie"))
+    return _of(rows, open_).where(same).select("source", "row", "last")
+
+
+def _last_row(edge: DataFrame, cuts: DataFrame) -> DataFrame:
+    """``cuts`` with ``last_row``, the number of the last row that is taken among those that tie at the end.
+
+    They are counted by the partition they were read from, and only one partition's are put in order.
+    """
+    tied = _tied(edge, cuts).withColumn("part", F.shiftright("row", 33))
+    sums = tied.groupBy("source", "part").agg(F.count(F.lit(1)).alias("n"), F.first("last.most").alias("most"))
+    upto = F.sum("n").over(Window.partitionBy("source").orderBy("part"))
+    hit = sums.withColumn("upto", upto).where("upto >= most and upto - n < most").select(F.col("source").alias("s"), F.col("part").alias("p"), (F.col("most") - F.col("upto") + F.col("n")).alias("nth"))
+    there = tied.join(hit, F.col("source").eqNullSafe(F.col("s")) & (F.col("part") == F.col("p")))
+    place = F.row_number().over(Window.partitionBy("source").orderBy("row"))
+    found = there.withColumn("place", place).where(F.col("place") == F.col("nth")).select(F.col("source").alias("s"), F.col("row").alias("last_row"))
+    return cuts.join(found, F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
 
 
 def decided(rows: DataFrame, cuts: DataFrame) -> DataFrame:
     """``rows`` with the columns of their source's cut and ``copies``, the times that the mix holds the row."""
     inside = (_coarse() < F.col("coarse")) | ((_coarse() == F.col("coarse")) & (_fine() < F.col("fine")))
-    at_end = (_coarse() == F.col("coarse")) & (_fine() == F.col("fine")) & (F.struct("key", "doc_id", "tie") <= F.col("last"))
+    order, end = F.struct("key", "doc_id", "tie"), F.struct("last.key", "last.doc_id", "last.tie")
+    # among rows that tie with the last one, those read first are taken, as many as fit
+    before = F.when(order == end, F.coalesce(F.col("row") <= F.col("last_row"), F.lit(True))).otherwise(order < end)
+    at_end = (_coarse() == F.col("coarse")) & (_fine() == F.col("fine")) & F.col("last").isNotNull() & before
     return _of(rows, cuts).withColumn("copies", F.col("epochs") + F.when(inside | F.coalesce(at_end, F.lit(False)), 1).otherwise(0))
 
 
@@ -124,8 +153,8 @@ def mix(
     """``doc_id``, ``size``, ``source_size``, ``target``, ``taken`` for each row of ``docs``.
 
     ``taken`` is the row's words times the times that the mix holds it. The taken words of a source
-    miss its target by half of one document at most. Keys that tie go by id, then by text; rows that
-    repeat both are taken or left together. A null or blank text has size 0; a null source is a source.
+    miss its target by half of one document at most. Keys that tie go by id, then by text; of rows that
+    repeat both as many are taken as fit. A null or blank text has size 0; a null source is a source.
     ``weight``, an expression over ``docs``, replaces the default quality weight; null takes that, and
     none is below 0.001. An empty table gives no rows, and the same input gives the same mix.
     """
@@ -137,7 +166,10 @@ def mix(
 def mixed_documents(
     docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share_percent: int = SHARE_PERCENT, most_epochs: int = MOST_EPOCHS, seed: str = "mix", weight: Column | None = None
 ) -> DataFrame:
-    """The columns of ``docs``, each row as often as the mix holds it. Texts are not shuffled while there are few sources."""
+    """The columns of ``docs``, each row as often as the mix holds it. Texts are not shuffled while there are few sources.
+
+    ``docs`` are read twice. Where they are a written table, rows that repeat are numbered alike each time.
+    """
     rows = measured(docs, seed, weight)
     cuts = cut_points(saved(rows.drop("doc"), "measured"), weights, share_percent, most_epochs)
     copies = decided(rows, cuts).where("copies > 0").select("doc", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))))

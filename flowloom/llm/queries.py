@@ -129,7 +129,7 @@ def op3(spark: SparkSession, sf: str) -> DataFrame:
     ), t AS (
         SELECT source, source_size, least(cap, coalesce((SELECT arg_min(level, cap / w) FROM l WHERE level * w <= cap) * w, cap)) AS target FROM l
     ), e AS (SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS epochs FROM t),
-    c AS (SELECT k.*, source_size, target, epochs, sum(size) OVER (PARTITION BY k.source ORDER BY key, doc_id, tie) AS upto FROM k JOIN e ON k.source IS NOT DISTINCT FROM e.source)
+    c AS (SELECT k.*, source_size, target, epochs, sum(size) OVER (PARTITION BY k.source ORDER BY key, doc_id, tie ROWS UNBOUNDED PRECEDING) AS upto FROM k JOIN e ON k.source IS NOT DISTINCT FROM e.source)
     SELECT doc_id, size, source_size, target,
            CAST(size * (epochs + CASE WHEN upto - size / 2.0 <= target - epochs * source_size THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM c
     """,

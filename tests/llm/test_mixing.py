@@ -81,3 +81,16 @@ def test_empty_table(spark):
     assert mix(df).count() == 0 and mixed_documents(df).count() == 0
     only = spark.createDataFrame([(1, None, None, "", 0, "")], DOCS)
     assert [tuple(r) for r in mix(only).collect()] == [(1, 0, 0, 0.0, 0)]
+
+
+@pytest.mark.parametrize("extra", [0, 700])
+def test_equal_rows_are_taken_one_by_one(spark, extra):
+    """A source of copies of one row, with or without others around them, meets its target."""
+    data = [(7, "a b c d", "x", "", 0, "")] * 1000 + [(100 + i, "e f g", "x", "", 0, "") for i in range(extra)] + [(None, "h i", None, "", 0, "")] * 90
+    df = spark.createDataFrame(data, DOCS).repartition(5)
+    got = mix(df).collect()
+    sizes = {4000 + 3 * extra: 4, 180: 2}
+    for size, most in sizes.items():
+        rows_of = [r for r in got if r.source_size == size]
+        assert abs(sum(r.taken for r in rows_of) - rows_of[0].target) <= most / 2 and len(rows_of) in (1000 + extra, 90)
+    assert mixed_documents(df).count() == sum(r.taken // r.size for r in got)
