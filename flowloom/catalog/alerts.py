@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from ..functions import rules, scalars
 from ..functions.labels import is_benign
 from ..operators import alerts, history, lookups, ranking
+from ..plans.checkpoints import scratch_path
+from ..streaming import alerts as live
 from .flows import CANONICAL
 from .inputs import ALERTS, MESSY, REGISTER, log_lines, logs, messy, register
 from .registry import query, table
@@ -198,9 +200,12 @@ def f4(spark, sf):
     return history.dedup_batch(b, ["user_id", "mark"], ["event_id"])
 
 
-@query("C8_update_status", f"""WITH {REGISTER}, upd AS (SELECT CAST(event_id AS VARCHAR) AS event_id, CASE WHEN k % 3 = 0 THEN 'Traitee' WHEN k % 3 = 1 THEN 'Non traitee' ELSE 'Inconnu' END AS s
+C8 = f"""WITH {REGISTER}, upd AS (SELECT CAST(event_id AS VARCHAR) AS event_id, CASE WHEN k % 3 = 0 THEN 'Traitee' WHEN k % 3 = 1 THEN 'Non traitee' ELSE 'Inconnu' END AS s
  FROM ev WHERE event_type = 'error') SELECT r.event_id, CASE WHEN r.user_id = '7' AND s IN ('Traitee', 'Non traitee') THEN s ELSE statut END AS statut
-FROM register r LEFT JOIN upd USING (event_id)""")
+FROM register r LEFT JOIN upd USING (event_id)"""
+
+
+@query("C8_update_status", C8)
 def c8(spark, sf):
     k = F.get_json_object("props", "$.k").cast("int") % 3
     status = F.when(k == 0, "Traitee").when(k == 1, "Non traitee").otherwise("Inconnu")
@@ -209,6 +214,20 @@ def c8(spark, sf):
     return history.update_status(register(spark, sf), updates, "7", "event_id").select("event_id", "statut")
 
 
+@query("C8_stored_status", C8)
+def c8b(spark, sf):
+    """The same changes stored beside a written register, some of them twice, and folded in."""
+    path = scratch_path(spark, "register")
+    register(spark, sf).withColumn("event_date", F.lit(live.UNDATED).cast("date")).write.partitionBy("source", "event_date").parquet(path)
+    k = F.get_json_object("props", "$.k").cast("int") % 3
+    status = F.when(k == 0, "Traitee").when(k == 1, "Non traitee").otherwise("Inconnu")
+    updates = table(spark, sf, "events").filter("event_type = 'error'").select("event_id", status.alias("statut"), F.col("ts").alias("seq"))
+    live.store_status(updates, path, "7")
+    live.compact_register(spark, path, [live.UNDATED])
+    live.store_status(updates.filter("event_id % 2 = 0"), path, "7")
+    return live.current_register(spark, path).select("event_id", "statut")
+
+
 @query("C10_valid_sessions", """WITH dim AS (SELECT c_custkey AS o_custkey, c_name, TIMESTAMP '1995-01-01' + INTERVAL 1 DAY * (c_custkey * 37 % 2500) AS expires FROM customer)
 SELECT o_orderkey, c_name FROM orders JOIN dim USING (o_custkey) WHERE expires > o_orderdate""")
 def c10(spark, sf):

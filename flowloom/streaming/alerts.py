@@ -9,6 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions import constants as K
 from ..operators.history import dedup_batch, new_only, normalize_alerts, to_history
 from ..plans.bounded import lookup_join
 from ..plans.checkpoints import durable
@@ -136,13 +137,60 @@ def alert_stream(
     return writer.trigger(processingTime=f"{POLL_SECONDS if poll_seconds is None else poll_seconds} seconds").start()
 
 
+def _status_path(path: str) -> str:
+    return f"{path.rstrip('/')}-status"
+
+
+def store_status(updates: DataFrame, path: str, user: str, key: str = "event_id") -> None:
+    """Append status changes (``key``, ``statut``, ``seq``) of the alerts of ``user`` beside the register.
+
+    Nothing of the register is rewritten: the change with the highest ``seq`` of an alert counts when it
+    is read. Other statuses and blank keys are passed over; alerts of other owners cannot be named.
+    """
+    named = updates.filter(F.col("statut").isin(K.OPEN, K.DONE) & (F.coalesce(F.col(key).cast("string"), F.lit("")) != ""))
+    rows = named.select(F.lit(user).alias("user_id"), F.col(key).cast("string").alias("event_id"), "statut", "seq")
+    _latest(rows).write.mode("append").parquet(_status_path(path))
+
+
+def _latest(changes: DataFrame) -> DataFrame:
+    """The last change of each alert; of two with one ``seq`` the larger status."""
+    last = changes.groupBy(*KEYS).agg(F.max(F.struct("seq", "statut")).alias("_c"))
+    return last.select(*KEYS, F.col("_c.statut").alias("statut"), F.col("_c.seq").alias("seq"))
+
+
+def _changes(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(_status_path(path))
+    except AnalysisException as error:
+        if error.getCondition() not in NOTHING_STORED:
+            raise
+        return None
+
+
+def current_register(spark: SparkSession, path: str, days: list[str] | None = None) -> DataFrame | None:
+    """The stored register, or some days of it, with the last stored status of each alert."""
+    stored, changes = read_register(spark, path, days), _changes(spark, path)
+    if stored is None or changes is None:
+        return stored
+    last = _latest(changes).select(*KEYS, F.col("statut").alias("_new"))
+    merged = lookup_join(stored, last, KEYS).withColumn("statut", F.coalesce("_new", "statut"))
+    return merged.select(*stored.columns)
+
+
 def compact_register(spark: SparkSession, path: str, days: list[str]) -> None:
-    """Rewrite the small files of closed days; rows are frozen first, then each day is replaced."""
-    stored = read_register(spark, path, days)
+    """Rewrite the small files of closed days with their status folded in; each day is replaced at once.
+
+    The changes stay as one line an alert, so that an older change that is stored again still changes
+    nothing. Call it while no status is being stored.
+    """
+    stored = current_register(spark, path, days)
     if stored is not None:
         whole = durable(stored).hint("rebalance", "event_date")
         writer = whole.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy("source", "event_date").parquet(path)
+    changes = _changes(spark, path)
+    if changes is not None:
+        durable(_latest(changes)).coalesce(max(1, changes.rdd.getNumPartitions() // 8)).write.mode("overwrite").parquet(_status_path(path))
 
 
 def follow_totals(

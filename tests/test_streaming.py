@@ -156,3 +156,35 @@ def test_growing_log_in_small_ranges(spark, tmp_path, monkeypatch):
             got += [v for b in reader.read(part) for v in b.column(0).to_pylist()]
         offset, batches = end, batches + 1
     assert got == lines and batches > 10
+
+
+def test_stored_status_is_merged_on_reading(spark, tmp_path):
+    root = str(tmp_path)
+    path = f"{root}/register"
+    assert live.current_register(spark, path) is None
+    batch = spark.createDataFrame([(line(i, stamp=f"2026-08-{9 + i % 2:02d}T02:25:01+0000"),) for i in range(8)], "value string")
+    for user in ("u1", "u2"):
+        live.import_batch(batch, 1, path, f"{root}/metrics", user, user)
+    ids = sorted({r["event_id"] for r in live.read_register(spark, path).select("event_id").collect()})
+    files = set(os.listdir(path))
+
+    def store(rows, user="u1"):
+        live.store_status(spark.createDataFrame(rows, "event_id string, statut string, seq long"), path, user)
+
+    def treated(**kw):
+        return sorted((r["user_id"], ids.index(r["event_id"])) for r in live.current_register(spark, path, **kw).filter("statut = 'Traitee'").collect())
+
+    first = [(ids[0], "Traitee", 1), (ids[1], "Traitee", 1), (ids[1], "Non traitee", 2), (ids[2], "Perdue", 9), ("unknown", "Traitee", 1), (None, "Traitee", 1), ("", "Traitee", 1)]
+    store(first)
+    assert treated() == [("u1", 0)] and set(os.listdir(path)) == files and live.read_register(spark, path).filter("statut = 'Traitee'").isEmpty()
+    store([(ids[0], "Traitee", 1), (ids[3], "Traitee", 5)], "u2")
+    want = [("u1", 0), ("u2", 0), ("u2", 3)]
+    assert treated() == want
+    live.compact_register(spark, path, ["2026-08-09", "2026-08-10"])
+    assert sorted((r["user_id"], ids.index(r["event_id"])) for r in live.read_register(spark, path).filter("statut = 'Traitee'").collect()) == want
+    store(first)  # a replay, also of the change that a later one undid
+    store([(ids[1], "Traitee", 1)])
+    assert treated() == want and live.current_register(spark, path).count() == 16
+    store([(ids[0], "Non traitee", 7)])
+    assert treated() == [("u2", 0), ("u2", 3)]
+    assert {d for _, d in treated(days=["2026-08-09"])} <= {0, 3}
