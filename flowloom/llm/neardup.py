@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .idfilter import GOLDEN, id_filter, mix
-from .store import saved, temporaries
+from .store import saved, small_batches, temporaries
 
 SKETCH = 48
 HOT_LIST = 64
@@ -205,7 +205,7 @@ def near_duplicates(
     that of its own text. A row with a null id takes part in no group: its component is null, and it is
     kept.
     """
-    with temporaries(docs.sparkSession):
+    with temporaries(docs.sparkSession), small_batches(docs.sparkSession):
         return saved(_grouped(docs, doc_id, text, width, percent, k, hot).drop("print", "root"), "groups", keep=True)
 
 
@@ -268,7 +268,7 @@ def keep_one(docs: DataFrame, width: int = 5, percent: int = 80, doc_id: str = "
     by all columns stays. Rows without words and rows without an id all stay. What goes is a slim table
     of ids and hashes of texts; where it is small, Spark sends it around and no text moves.
     """
-    with temporaries(docs.sparkSession):
+    with temporaries(docs.sparkSession), small_batches(docs.sparkSession):
         told = saved(_grouped(docs, doc_id, text, width, percent, SKETCH, HOT_LIST).where("doc_id is not null and n_shingles > 0"), "told")
         heads = told.where("kept").groupBy("root").agg(F.min("print").alias("head"))
         by_row = told.groupBy("doc_id", "print", "root").agg(F.bool_or("kept").alias("leads"), F.count(F.lit(1)).alias("n")).join(heads, "root")

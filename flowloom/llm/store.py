@@ -27,6 +27,22 @@ def saved(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 512) -> Iterator[None]:
+    """Jobs that run inside hand rows to Python in batches of at most ``rows``.
+
+    A batch of texts lies in the executor's JVM, in its Python worker, and there again as objects; the
+    default of 10,000 rows is tens of MB each time.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 @contextmanager
 def temporaries(spark: SparkSession) -> Iterator[None]:
     """Delete the tables that ``saved`` writes inside; what is needed later has to be kept by then."""
