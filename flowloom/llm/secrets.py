@@ -2,8 +2,8 @@
 
 Three patterns give base spans, which always stay. Long mixed strings beside them are candidates. The
 value of every span is hashed, and the hashes are counted over the corpus by distinct repositories
-(documents) and owners (sources). A value that many owners hold is a copied example; one that a few
-hold looks live. Candidates that look live become spans of kind ``entropy``; those that do not are
+(texts) and owners (sources). A value that many owners hold, or many texts of one owner, is a copied
+example; one that few hold looks live. Candidates that look live become spans of kind ``entropy``; those that do not are
 dropped. Values leave the scan as hashes only.
 """
 
@@ -31,12 +31,14 @@ KINDS = ("assign", "access", "hex", "entropy")
 LEAST_ASSIGN, LEAST_ACCESS = 6, 20
 
 LEAST_CANDIDATE = 20
+#: So few texts may hold a live value whatever their owners: a copy in a second source makes no example.
+COPIED_REPOSITORIES = 1
 LEAST_BITS = 3.5
 CANDIDATE = re.compile(rb"[A-Za-z0-9+/_=-]{%d,}" % LEAST_CANDIDATE)
 CANDIDATE_BYTES = bytes(c if re.match(rb"[A-Za-z0-9+/_=-]", bytes([c])) else 0x20 for c in range(256))
 
 SPANS = "array<struct<kind: string, start: long, end: long, hash: binary>>"
-FOUND = f"part int, seq long, doc_id long, owner string, spans {SPANS}"
+FOUND = f"part int, seq long, doc_id long, owner string, print binary, spans {SPANS}"
 
 
 def bits_per_character(value: bytes) -> float:
@@ -55,11 +57,14 @@ def find(raw: bytes) -> list[tuple[str, int, int, bytes]]:
     if long >= LEAST_CANDIDATE:
         if long >= 24:
             out += [("hex", *m.span(), m[0]) for m in HEX.finditer(raw)]
-        base = sorted((s, e) for _, s, e, _ in out)
+        base = iter(sorted((s, e) for _, s, e, _ in out))
+        upto, (first, last) = 0, next(base, (len(raw), len(raw)))  # the end of the base spans passed, and the next one
         for m in CANDIDATE.finditer(raw):
             value, (s, e) = m[0], m.span()
+            while first < e:
+                upto, (first, last) = max(upto, last), next(base, (len(raw), len(raw)))
             mixed = re.search(rb"[0-9]", value) and re.search(rb"[a-z]", value) and re.search(rb"[A-Z]", value)
-            if mixed and bits_per_character(value) >= LEAST_BITS and not any(s < y and x < e for x, y in base):
+            if mixed and s >= upto and bits_per_character(value) >= LEAST_BITS:
                 out.append(("entropy", s, e, value))
     return sorted(out, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 
@@ -81,7 +86,8 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = len(batch)
         spans = [spans_of(raw) for raw in batch.column(2).to_pylist()]
         yield pa.RecordBatch.from_arrays(
-            [pa.array([part] * n, pa.int32()), pa.array(range(seq, seq + n), pa.int64()), batch.column(0), batch.column(1), pa.array(spans, kind)], ["part", "seq", "doc_id", "owner", "spans"]
+            [pa.array([part] * n, pa.int32()), pa.array(range(seq, seq + n), pa.int64()), batch.column(0), batch.column(1), batch.column(3), pa.array(spans, kind)],
+            ["part", "seq", "doc_id", "owner", "print", "spans"],
         )
         seq += n
 
@@ -96,18 +102,22 @@ def ownership(values: DataFrame) -> DataFrame:
     return by_owner.groupBy("hash").agg(F.sum("repositories").alias("repositories"), F.count(F.lit(1)).alias("owners"))
 
 
-def scan_secrets(docs: DataFrame, most_owners: int = 1, doc_id: str = "doc_id", text: str = "text", owner: str = "source") -> DataFrame:
+def scan_secrets(docs: DataFrame, most_owners: int = 1, most_repositories: int = 10, doc_id: str = "doc_id", text: str = "text", owner: str = "source") -> DataFrame:
     """``doc_id`` and ``spans`` (kind, start, end, hash, repositories, owners, live) of each row of ``docs``.
 
-    ``live``: at most ``most_owners`` owners hold the value. Base spans stay with either verdict,
-    candidates only if live. Null and empty texts have no spans. A null owner is one owner. Rows that
-    repeat an id are one repository. An empty table gives no rows.
+    ``live``: at most ``most_owners`` owners hold the value, in at most ``most_repositories`` repositories,
+    or hardly any repository does, whoever owns them. A repository is a text: documents that repeat one are
+    one. Base spans stay with either verdict, candidates only if live. Null and empty texts have no spans. A
+    null owner is an owner of its own. An empty table gives no rows.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(owner).cast("string").alias("owner"), F.col(text).cast("binary").alias("text"))
+    rows = rows.withColumn("print", F.unhex(F.md5(F.coalesce("text", F.lit("").cast("binary")))))
     found = saved(rows.mapInArrow(_scan, FOUND), "found")
-    each = found.where(F.size("spans") > 0).select("part", "seq", "doc_id", "owner", F.explode("spans").alias("span"))
-    seen = saved(ownership(each.select("span.hash", F.coalesce("owner", F.lit("")).alias("owner"), F.col("doc_id").alias("repository"))), "ownership")
-    told = each.withColumn("hash", F.col("span.hash")).join(seen, "hash").withColumn("live", F.col("owners") <= most_owners)
+    each = found.where(F.size("spans") > 0).select("part", "seq", "doc_id", "owner", "print", F.explode("spans").alias("span"))
+    seen = saved(ownership(each.select("span.hash", "owner", F.col("print").alias("repository"))), "ownership")
+    told = each.withColumn("hash", F.col("span.hash")).join(seen, "hash")
+    few = (F.col("owners") <= most_owners) & (F.col("repositories") <= most_repositories)
+    told = told.withColumn("live", few | (F.col("repositories") <= COPIED_REPOSITORIES))
     order = F.array_position(F.array(*map(F.lit, KINDS)), F.col("span.kind"))
     full = F.struct(F.col("span.start").alias("start"), order.alias("order"), F.col("span.end").alias("end"), F.col("span.kind").alias("kind"), "hash", "repositories", "owners", "live")
     kept = told.where("live or span.kind <> 'entropy'").groupBy("part", "seq").agg(F.sort_array(F.collect_list(full)).alias("spans"))
