@@ -5,7 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from flowloom.operators import cleaning, correlation, imputation, neighbours, ranking, sampling
+from flowloom.plans import batch
 from flowloom.plans.bounded import lookup_join, small_table
+from flowloom.plans.checkpoints import durable, spread
 from flowloom.plans import quantiles
 from flowloom.plans.quantiles import exact_quantiles, grouped_quantiles
 from flowloom.plans.ranking import flag_quota, number_rows
@@ -264,3 +266,25 @@ def test_knn_selects_like_a_full_sort():
             for i in range(40):
                 want = sorted((a, b) for a, b in zip(d[i], donors[:, 0]) if a <= limit[i] and np.isfinite(a))[:5]
                 assert list(zip(dist[at == i], value[at == i])) == want
+
+
+def test_spread_bounds_the_rows_of_a_partition(spark):
+    """Tightly packed files give few splits; a partition of a fit is bounded by its values."""
+    df = durable(spark.range(60_000).select("id", F.lit(1.0).alias("x")).coalesce(1))
+    parts = spread(df, cells=8_000).withColumn("p", F.spark_partition_id()).groupBy("p").count().collect()
+    assert sum(r["count"] for r in parts) == 60_000 and max(r["count"] for r in parts) <= 4_500
+
+
+def test_prepare_deduplicates_once(spark):
+    """All steps after the deduplication read its frozen result, so the flows are read by one job."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for pdf in batches:
+            seen.add(len(pdf))
+            yield pdf
+
+    rows = spark.range(300).select(F.col("id").cast("double").alias("a"), (F.col("id") % 7).cast("double").alias("b"), F.when(F.col("id") % 3 == 0, "Bot").otherwise("DDoS").alias("label"), F.lit("f").alias("source_file"))
+    flows = rows.mapInPandas(count, rows.schema)
+    prepared = batch.prepare(flows, ["a", "b"], "label", "source_file")
+    assert prepared.data.count() == 300 and seen.value == 300
