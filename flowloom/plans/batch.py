@@ -49,7 +49,8 @@ def prepare(
     later fits read it.
     """
     named = flows.withColumn(label, normalize_label(col(label))).select(*[col(c) for c in (*features, label, source)])
-    clean = dedup(inf_to_null(named, features))
+    # frozen, because the dictionary, the class sizes, the cuts of the split and the split itself all read it
+    clean = durable(dedup(inf_to_null(named, features)))
     coded = label_index(clean, label)
     # rows are distinct by now; should two hashes meet, the split still counts them exactly
     whole = [col(c) for c in (*features, label, source)]
