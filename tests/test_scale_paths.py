@@ -288,3 +288,20 @@ def test_prepare_deduplicates_once(spark):
     flows = rows.mapInPandas(count, rows.schema)
     prepared = batch.prepare(flows, ["a", "b"], "label", "source_file")
     assert prepared.data.count() == 300 and seen.value == 300
+
+
+def test_home_leaf_meets_no_boxes(spark, monkeypatch):
+    """A query's first leaf comes from the cuts, one row a level: also with missing coordinates and beyond all rows."""
+    rng = np.random.default_rng(5)
+    points = [(float(i), float(a), None if i % 9 == 0 else float(b)) for i, (a, b) in enumerate(rng.normal(size=(3000, 2)))]
+    tree = neighbours.build_tree(spark.createDataFrame(points, "t double, x double, y double"), ["x", "y"], 5, leaf=50)
+    asked = [(f"q{i}", None if i % 7 == 0 else float(a), None if i % 5 == 0 else float(b), float("inf")) for i, (a, b) in enumerate(3 * rng.normal(size=(200, 2)))]
+    ask = spark.createDataFrame(asked, "key string, x double, y double, limit double")
+
+    def unasked(*_):
+        raise AssertionError("a query met all boxes below a node")
+
+    monkeypatch.setattr(neighbours, "_below", unasked)
+    found = neighbours.leaf_visits(tree, ask, ["x", "y"], True).collect()
+    leaves = {r["node"] for r in tree.blocks.collect()}
+    assert sorted(r["key"] for r in found) == sorted(k for k, *_ in asked) and {r["node"] for r in found} <= leaves
