@@ -21,8 +21,8 @@ PANEL = ["event_id", "classe", "gravite", "ip_source", "protocole", "statut"]
 def _follow(spark, sf):
     """Write the log twice in several files, follow it, and follow it again from the checkpoint."""
     root = scratch_path(spark, "live")
-    lines = log_lines(spark, sf)
-    lines.repartition(4).write.text(f"{root}/log")
+    log_lines(spark, sf).repartition(4).write.text(f"{root}/log")
+    lines = spark.read.text(f"{root}/log")  # the files that are there now
     args = (f"{root}/log", f"{root}/register", f"{root}/metrics", f"{root}/checkpoint", "u1")
     live.alert_stream(spark, *args, max_bytes=64 << 20, from_start=True, once=True).awaitTermination()
     lines.repartition(2).write.mode("append").text(f"{root}/log")

@@ -10,13 +10,17 @@ _CORRUPT = "_corrupt"
 
 
 def parse_eve(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Parse lines; blank and malformed ones disappear. Works on batch and stream alike."""
+    """Parse lines; blank and malformed ones disappear. Works on batch and stream alike.
+
+    A line's event is exploded from an array of one: a filter or a column that follows then takes the
+    parsed event, where a plain column would be parsed again for each of them.
+    """
     schema = T.StructType([*EVE_SCHEMA.fields, T.StructField(_CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
     event = F.from_json(F.col(column), schema, options)
     return (
         lines.filter(F.trim(column) != "")
-        .select(event.alias("e"))
+        .select(F.explode(F.array(event)).alias("e"))
         .filter(F.col("e").isNotNull() & F.col(f"e.{_CORRUPT}").isNull())
         .select("e.*")
         .drop(_CORRUPT)

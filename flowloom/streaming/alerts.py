@@ -93,21 +93,22 @@ def import_batch(batch: DataFrame, batch_id: int, history: str, metrics: str, us
     rows = to_history(events, "Suricata", "eve.json (automatique)", user).withColumn("event_date", _event_date())
     now = F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss")
     rows = rows.withColumn("date", F.coalesce("date", now)).persist()
+    fresh = dedup_batch(rows, KEYS, ["date"])
     try:
         seen, newest = rows.agg(F.count("*"), F.max("date")).first()
         if seen:
-            fresh = dedup_batch(rows, KEYS, ["date"])
             stored = read_register(spark, history)
-            if stored is not None:
-                fresh = unseen(fresh, stored)
-            fresh = fresh.withColumn("batch", F.lit(f"{name}-{batch_id}")).hint("rebalance", "event_date")
-            fresh.write.mode("append").partitionBy("source", "event_date").parquet(history)
+            # its rows and its keys are both met with the register, so it is kept rather than shuffled twice
+            new = fresh if stored is None else unseen(fresh.persist(), stored)
+            new = new.withColumn("batch", F.lit(f"{name}-{batch_id}")).hint("rebalance", "event_date")
+            new.write.mode("append").partitionBy("source", "event_date").parquet(history)
         line = spark.range(1, numPartitions=1).select(
             F.lit(seen).cast("long").alias("seen"), F.lit(newest).cast("string").alias("last_event_at"),
             F.current_timestamp().alias("last_scan_at"),
         )
         line.write.mode("overwrite").parquet(f"{metrics}/stream={name}/batch_id={batch_id}")
     finally:
+        fresh.unpersist()
         rows.unpersist()
 
 

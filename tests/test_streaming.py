@@ -7,6 +7,7 @@ import time
 from pyspark.sql import functions as F
 
 from flowloom.operators.history import dedup_batch, latest_alerts
+from flowloom.sources.eve import parse_eve
 from flowloom.streaming import alerts as live
 
 
@@ -188,3 +189,28 @@ def test_stored_status_is_merged_on_reading(spark, tmp_path):
     store([(ids[0], "Non traitee", 7)])
     assert treated() == [("u2", 0), ("u2", 3)]
     assert {d for _, d in treated(days=["2026-08-09"])} <= {0, 3}
+
+
+def test_a_line_is_parsed_once(spark):
+    """Filters and columns that follow take the parsed event instead of parsing the line again."""
+    lines = spark.createDataFrame([(line(1),), (line(2, "flow"),), ("{broken",), ("",), (" ",), (None,), ("null",)], "value string")
+    alerts = parse_eve(lines).filter("event_type = 'alert' and flow_id is not null").select("flow_id", "alert.signature", "timestamp")
+    plan = alerts._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1
+    assert [tuple(r) for r in alerts.collect()] == [("1", "LAB DDoS simulation", "2026-08-09T02:25:01.000000+0100")]
+
+
+def test_a_batch_is_deduplicated_once(spark, tmp_path, monkeypatch):
+    """Rows and keys that meet the register come from one deduplication, and nothing stays cached."""
+    root, kept, real = str(tmp_path), [], live.unseen
+
+    def watched(rows, stored):
+        kept.append(rows.storageLevel.useMemory)
+        return real(rows, stored)
+
+    monkeypatch.setattr(live, "unseen", watched)
+    for at in (1, 2):
+        batch = spark.createDataFrame([(line(i % (5 * at)),) for i in range(30)], "value string")
+        live.import_batch(batch, at, f"{root}/register", f"{root}/metrics", "u1", "s")
+    assert kept == [True] and spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
+    assert live.read_register(spark, f"{root}/register").groupBy("event_id").count().filter("count = 1").count() == 10
