@@ -118,8 +118,10 @@ HELD = f"""WITH {_NET_FOLDS} SELECT CAST(fold + 1 AS INTEGER) AS fold, count(*)
 
 def _held(spark, sf, model):
     df = clean(spark, sf).withColumn("net", F.expr(NET))
-    folded = durable(sampling.stratified_folds(df, "label", 2, 42, KEY, TIES))
-    return imputation.held_fold_scores(folded, "net", ["l_quantity", "l_extendedprice", "l_discount"], model, 2)
+    # only what the folds and the model read travels and is kept
+    needed = df.select(*dict.fromkeys([*KEY, *TIES, *NEAR, "label", "net"]))
+    folded = durable(sampling.stratified_folds(needed, "label", 2, 42, KEY, TIES).select(*NEAR, "net", "fold"))
+    return imputation.held_fold_scores(folded, "net", NEAR, model, 2)
 
 
 @query("I6_forest_held_folds", HELD)
@@ -213,10 +215,20 @@ def i10(spark, sf):
 
 # ---- models: every kind trains and predicts on the whole split
 
+def _coded(spark, sf):
+    """The split with label codes, frozen. The classes are those of the flows, so that no row is ranked again for them."""
+    classes = features.label_dictionary(flows(spark, sf), "label")
+    coded = features.label_index(cleaning.inf_to_null(split(spark, sf), FEATURES), "label", classes)
+    return durable(coded.select(*FEATURES, "label", "code", "split"))
+
+
 def _prepared(spark, sf):
-    df = durable(features.label_index(cleaning.inf_to_null(split(spark, sf), FEATURES), "label"))
-    fit_on = df.filter("split = 'train'")
-    filled = features.apply_median(df, features.fit_median(fit_on, FEATURES))
+    df = _coded(spark, sf)
+    return _weighted(df, features.fit_median(df.filter("split = 'train'"), FEATURES))
+
+
+def _weighted(df, medians):
+    filled = features.apply_median(df, medians)
     bounds = features.fit_minmax(filled.filter("split = 'train'"), FEATURES)
     scaled = features.apply_minmax(filled, bounds)
     weights = features.class_weights(scaled.filter("split = 'train'"), "code")
@@ -419,10 +431,11 @@ def i21(spark, sf):
 
 @query("I22_score", f"WITH {FLOWS} SELECT count(*) AS n, count(*) AS scored FROM clean")
 def i22(spark, sf):
-    train, _, bounds = _prepared(spark, sf)
+    df = _coded(spark, sf)
+    medians = features.fit_median(df.filter("split = 'train'"), FEATURES)
+    train, _, bounds = _weighted(df, medians)
     model = models.train(train, "decision_tree", "code", FEATURES, CLASSES, "weight", {"maxDepth": 5})
-    fit_on, _ = _parts(spark, sf)
-    raw = features.apply_median(clean(spark, sf), features.fit_median(fit_on, FEATURES))
+    raw = features.apply_median(clean(spark, sf), medians)
     return models.score(raw, model, bounds).agg(F.count("*").alias("n"), F.count_if(F.col("predicted_class").isin(CLASSES)).alias("scored"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.scalars import col
-from ..plans.bounded import lookup_join
+from ..plans.bounded import lookup_join, small_table
 from ..plans.quantiles import BUFFER_CELLS, exact_quantiles
 from ..plans.ranking import number_rows
 
@@ -13,6 +13,8 @@ from ..plans.ranking import number_rows
 def label_dictionary(df: DataFrame, label: str) -> DataFrame:
     """(code, class): sorted distinct labels numbered from zero."""
     classes = df.select(col(label).alias("classe")).filter("classe is not null").distinct()
+    few = small_table(classes)  # numbering reads them twice
+    classes = few if few is not None else classes
     return number_rows(classes, [], [F.col("classe")], "_n").select(
         (F.col("_n") - 1).cast("int").alias("code"), "classe"
     )

@@ -164,7 +164,7 @@ def _inside(rows: DataFrame, n_names: int, n_probs: int) -> DataFrame:
         for j in range(n_probs):
             low, high = _bounds(i, j)
             cells.append(F.when(v.between(low, high), F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), v.alias("x"))))
-    each = rows.select("g", F.explode(F.array_compact(F.array(*cells))).alias("c"))
+    each = rows.select("g", F.explode(F.array(*cells)).alias("c")).where("c is not null")
     return each.groupBy("g", "c.i", "c.j", "c.x").agg(F.count("*").alias("n"))
 
 

@@ -1,9 +1,12 @@
 """Classifiers, persistence, scoring and the end-to-end jobs."""
 
+import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
-from flowloom.operators import imputation, models
+from flowloom.catalog import learning
+from flowloom.operators import features, imputation, models
 from flowloom.plans import batch
 
 
@@ -66,3 +69,24 @@ def test_prepare_fits_on_train_only(blobs):
     upload = df.drop("Label").withColumn("f/b", F.when(F.col("f/b") < float("inf"), F.col("f/b")).otherwise(0.0))
     details, rows = batch.score_upload(upload, "x.csv", "u1", fitted["decision_tree"], ready.bounds)
     assert {r["classe"] for r in details.collect()} <= {"Bot", "DDoS"} and rows.columns[0] == "user_id"
+
+
+def test_coded_split_ranks_its_rows_for_the_split_only(spark, tmp_path, monkeypatch):
+    """The classes come from the flows themselves, and only what the models read is frozen."""
+    day = datetime.datetime(1997, 1, 1)
+    kinds = [("N", "O"), ("A", "F"), ("R", "F"), (None, "F"), ("A", "O")]
+    rows = [(i // 2 if i % 11 else None, i % 7, i % 3, i % 4, float(i % 50), float(i * 10), 0.01 * (i % 10), 0.01 * (i % 8), *kinds[i % 5], day) for i in range(400)]
+    names = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    spark.createDataFrame(rows + rows[:20], names).write.parquet(f"{tmp_path}/lineitem.parquet")
+    asked, real = [], features.label_dictionary
+
+    def watched(df, label):
+        asked.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return real(df, label)
+
+    monkeypatch.setattr(features, "label_dictionary", watched)
+    coded = learning._coded(spark, str(tmp_path))
+    assert len(asked) == 1 and "md5" not in asked[0] and coded.columns == [*learning.FEATURES, "label", "code", "split"]
+    want = {label: i for i, label in enumerate(sorted({r["label"] for r in coded.select("label").distinct().collect()}))}
+    assert {(r["label"], r["code"]) for r in coded.collect()} == set(want.items()) and len(want) == 5
+    assert {r["split"]: r["count"] for r in coded.groupBy("split").count().collect()} == {"train": 294, "test": 126}
