@@ -405,13 +405,14 @@ def i11b(spark, sf):
         "decision_tree": {"maxDepth": 5}, "random_forest": TREES, "extra_trees": {"numTrees": 5, "maxDepth": 6}, "logistic_regression": {"maxIter": 30}, "naive_bayes": {},
     }
     largest = test.groupBy("band").count().agg(F.max("count") / F.sum("count")).scalar()
-    out = None
+    out, shared = None, models.training_matrix(train, "band", NEAR).persist()
     for kind, params in kinds.items():
-        matrix = evaluation.confusion(models.train(train, kind, "band", NEAR, ["0", "1", "2"], None, params).transform(test), "band", "prediction", [0, 1, 2])
+        matrix = evaluation.confusion(models.train(train, kind, "band", NEAR, ["0", "1", "2"], None, params, shared).transform(test), "band", "prediction", [0, 1, 2])
         scored = evaluation.class_scores(matrix, [0, 1, 2]).withColumn("largest", largest)
         right = F.sum("tp") / F.sum("support")
         line = scored.agg(F.lit(kind).alias("kind"), F.sum("support").alias("support"), F.sum("pp").alias("predicted"), (right > F.max("largest") + (1 - F.max("largest")) / 5).alias("better_than_largest"))
         out = line if out is None else out.unionByName(line)
+    shared.unpersist()
     return out.select("kind", "support", "predicted", "better_than_largest")
 
 

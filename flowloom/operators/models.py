@@ -95,18 +95,22 @@ def _extra_trees(rows: DataFrame, names: list[str], classes: int, weight: str |
     return ExtraTreesModel(forest, len(names))
 
 
+def training_matrix(df: DataFrame, label: str, cols: list[str], weight: str | None = None) -> DataFrame:
+    """What a fit reads, frozen once, so a lost executor does not bring back the whole preparation in the middle of it."""
+    features = [col(c).cast("double").alias(f"_f{i}") for i, c in enumerate(cols)]
+    return spread(durable(df.select(*features, col(label).cast("double").alias("_label"), *([col(weight)] if weight else []))))
+
+
 def train(
     df: DataFrame, kind: str, label: str, cols: list[str], classes: list[str], weight: str | None = None,
-    params: dict | None = None,
+    params: dict | None = None, matrix: DataFrame | None = None,
 ) -> Classifier:
-    """Fit one classifier on integer codes in ``label`` and the given features."""
+    """Fit one classifier on integer codes in ``label`` and the given features.
+
+    ``matrix``: the ``training_matrix`` of the same rows and columns, where several kinds are fitted on it.
+    """
     names = [f"_f{i}" for i in range(len(cols))]
-    matrix = df.select(
-        *[col(c).cast("double").alias(n) for c, n in zip(cols, names)],
-        col(label).cast("double").alias("_label"), *([col(weight)] if weight else []),
-    )
-    # frozen once, so a lost executor does not bring back the whole preparation in the middle of a fit
-    ready = spread(durable(matrix)).persist()
+    ready = matrix if matrix is not None else training_matrix(df, label, cols, weight).persist()
     try:
         if kind == "extra_trees":
             members = [_extra_trees(ready, names, len(classes), weight, params or {})]
@@ -114,7 +118,8 @@ def train(
             stages = [VectorAssembler(inputCols=names, outputCol="_vector"), _stage(kind, weight, params or {})]
             members = [Pipeline(stages=stages).fit(ready)]
     finally:
-        ready.unpersist()
+        if matrix is None:
+            ready.unpersist()
     return Classifier(kind, list(cols), [str(c) for c in classes], members)
 
 

@@ -90,3 +90,16 @@ def test_coded_split_ranks_its_rows_for_the_split_only(spark, tmp_path, monkeypa
     want = {label: i for i, label in enumerate(sorted({r["label"] for r in coded.select("label").distinct().collect()}))}
     assert {(r["label"], r["code"]) for r in coded.collect()} == set(want.items()) and len(want) == 5
     assert {r["split"]: r["count"] for r in coded.groupBy("split").count().collect()} == {"train": 294, "test": 126}
+
+
+def test_kinds_share_a_training_matrix(spark, blobs, monkeypatch):
+    """Nothing is frozen again for a kind that is given the matrix, which stays cached, and the model is the same."""
+    shared = models.training_matrix(blobs, "code", ["a", "b"], "w").persist()
+    own = models.train(blobs, "decision_tree", "code", ["a", "b"], ["x", "y", "z"], "w", {"maxDepth": 5})
+    monkeypatch.setattr(models, "durable", None)
+    for kind, params in {"decision_tree": {"maxDepth": 5}, "extra_trees": {"maxDepth": 4, "numTrees": 2}}.items():
+        model = models.train(blobs, kind, "code", ["a", "b"], ["x", "y", "z"], "w", params, shared)
+        assert shared.storageLevel.useMemory and model.transform(blobs).filter("prediction <> code").count() <= 15
+        if kind == "decision_tree":
+            assert model.members[0].stages[-1].toDebugString.split("\n")[1:] == own.members[0].stages[-1].toDebugString.split("\n")[1:]
+    shared.unpersist()
