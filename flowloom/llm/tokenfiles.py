@@ -11,12 +11,14 @@ side by side. Shards of lost or repeated attempts have names of their own and ar
 
 from __future__ import annotations
 
+import gc
 import itertools
 import json
 import os
 import uuid
 import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,7 +32,7 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSource
 from flowloom.plans.checkpoints import scratch_path
 
 NO_ID = np.iinfo(np.int64).min
-CACHED_WORDS = 400_000
+CACHED_WORDS = 600_000
 JOINED_WORDS = 50
 READ_DOCS = 4096
 #: Documents that are encoded together: their absent words go to the tokenizer at once.
@@ -121,6 +123,18 @@ def shared_encoder(path: str, dtype: str, splits: bool) -> Encoder:
     return _ENCODERS[key]
 
 
+@contextmanager
+def uncollected() -> Iterator[None]:
+    """No searches for cycles inside: encoding makes millions of lists and bytes and no cycle."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 @dataclass
 class Shard(WriterCommitMessage):
     name: str
@@ -141,7 +155,7 @@ class Writer(DataSourceArrowWriter):
         files.create_dir(root, recursive=True)
         encoder, end = shared_encoder(self.tokenizer, self.dtype, self.splits), np.array([self.end], self.dtype).tobytes()
         docs = total = 0
-        with files.open_output_stream(f"{root}/{name}.ids") as ids, files.open_output_stream(f"{root}/{name}.index") as index:
+        with uncollected(), files.open_output_stream(f"{root}/{name}.ids") as ids, files.open_output_stream(f"{root}/{name}.index") as index:
             for batch in batches:
                 for at in range(0, len(batch), ENCODED_DOCS):
                     some = batch.slice(at, ENCODED_DOCS)

@@ -1,3 +1,4 @@
+import gc
 import random
 import zlib
 
@@ -6,6 +7,7 @@ import public_tokenizers
 import xxhash
 from tokenizers import Tokenizer
 
+from flowloom.llm import tokenfiles
 from flowloom.llm.queries import op3
 from flowloom.llm.tokenfiles import CACHED_WORDS, Encoder, TokenFiles, read_token_files, token_digest, write_token_files
 
@@ -93,3 +95,22 @@ def test_rows_of_one_id_spread_over_shards(spark, tmp_path):
     files = TokenFiles(path)
     held = [int((files.shard(i)[0] == 7).sum()) for i in range(len(files.shards))]
     assert sum(held) == 1001 and sum(n > 0 for n in held) > 1 and max(held) < 700
+
+
+def test_no_search_for_cycles_while_encoding():
+    """The collector is off inside, also when the work fails, and as it was afterwards."""
+    seen = []
+    try:
+        with tokenfiles.uncollected():
+            seen.append(gc.isenabled())
+            raise ValueError
+    except ValueError:
+        seen.append(gc.isenabled())
+    gc.disable()
+    try:
+        with tokenfiles.uncollected():
+            pass
+        seen.append(gc.isenabled())
+    finally:
+        gc.enable()
+    assert seen == [False, True, False]
