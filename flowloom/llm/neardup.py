@@ -10,7 +10,9 @@ the member that shares the most with others, so that a group of copies, however
 copy. Afterwards only pairs between different components are left. Lists of up to ``hot`` members give
 theirs. Longer ones are needed only by classes that consist of such values for the most part, as all
 others share a rarer value with whatever they resemble or fall below the estimate; these few are compared
-by prefixes of their full sets, rarest element first, which is exact.
+by prefixes of their full sets, rarest element first, which is exact. Where a prefix list is long as well, its
+members are told apart by what each has differently from a common centre: two sets differ by as much as their
+differences from the centre do, and copies that were edited in different places share few of those.
 
 What can be missed: two sets of similarity 0.8 share no retained value with a chance of 0.2 to the power
 k, and not at all while the sets have up to 5 (k - 1) shingles (a prefix of a fifth of the set, in the
@@ -132,8 +134,8 @@ class Linker:
     def __init__(self, docs: DataFrame, reps: DataFrame, width: int, k: int, percent: int):
         self.docs, self.reps, self.width, self.k, self.percent = docs, reps, width, k, percent
 
-    def links(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (``a``, ``b``) whose similarity reaches the limit."""
+    def links(self, pairs: DataFrame, full: DataFrame | None = None) -> DataFrame:
+        """The pairs (``a``, ``b``) whose similarity reaches the limit; ``full``: their sets, where they are at hand."""
         sketches = self.reps.select("id", "n", "sketch")
         a, b = (sketches.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}")) for x in "ab")
         sized = F.expr(f"100 * least(n_a, n_b) >= {self.percent} * greatest(n_a, n_b)")
@@ -143,7 +145,8 @@ class Linker:
         likely = saved(likely.select("a", "b"), "likely")
         if likely.isEmpty():
             return likely
-        full = saved(self.sets(likely.select(F.explode(F.array("a", "b")).alias("id"))), "sets")
+        if full is None:
+            full = saved(self.sets(likely.select(F.col("a").alias("id")).union(likely.select("b")).distinct()), "sets")
         x = full.select(F.col("id").alias("a"), F.col("elements").alias("x"))
         y = full.select(F.col("id").alias("b"), F.col("elements").alias("y"))
         return saved(likely.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_verifier(self.percent), "a long, b long"), "verified")
@@ -179,21 +182,111 @@ def _apart(rows: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     return pairs.select("a", "b").distinct()
 
 
-def _prefixes(linker: Linker, ids: DataFrame, percent: int) -> DataFrame:
+def _rarest_first(elements: DataFrame, scope: list[str], carried: list[str]) -> DataFrame:
+    """``carried`` and an array ``e`` of (df, key) of each id in a scope, sorted; df counts the ids in the
+    scope that have the key."""
+    counts = elements.groupBy(*scope, "key").agg(F.count(F.lit(1)).alias("df"))
+    both = elements.join(counts, [*scope, "key"])
+    return both.groupBy(*carried).agg(F.sort_array(F.collect_list(F.struct("df", "key"))).alias("e"))
+
+
+def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
     """``key``, ``id``, ``n``, ``rare`` of the elements in the prefix of each set, with the rarest first.
 
     Two sets that reach the limit share an element of both prefixes, whatever the order; in this one,
     elements that no other set has come first, and a set with enough of them is compared with nothing.
     """
-    sets = saved(linker.sets(ids), "dense_sets").join(ids, "id")
     elements = saved(sets.mapInArrow(_lister, "id long, key long"), "elements")
-    counts = elements.groupBy("key").agg(F.count(F.lit(1)).alias("df"))
-    lists = elements.join(counts, "key").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("df", "key"))).alias("e")).withColumn("n", F.size("e").cast("long"))
+    lists = _rarest_first(elements, [], ["id"]).withColumn("n", F.size("e").cast("long"))
     prefix = F.slice("e", 1, (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int"))
     rows = lists.select("id", "n", F.posexplode(prefix).alias("rare", "x"))
     return rows.where("x.df > 1").select(F.col("x.key").alias("key"), "id", "n", "rare")
 
 
+def _differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What is in one of the sets only, of each id and its centre."""
+    for part in _sliced(batches):
+        d, n, n_c, found = [], [], [], []
+        for x, y in zip(part.column(2), part.column(3), strict=True):
+            u, v = np.frombuffer(x.as_buffer(), np.int64), np.frombuffer(y.as_buffer(), np.int64)
+            only = np.setxor1d(u, v, assume_unique=True)
+            d.append(len(only))
+            n.append(len(u))
+            n_c.append(len(v))
+            found.append(only.tobytes())
+        arrays = [part.column(0), part.column(1), *(pa.array(z, pa.int64()) for z in (n, n_c, d)), pa.array(found, pa.binary())]
+        yield pa.RecordBatch.from_arrays(arrays, names=["c", "id", "n", "n_c", "d", "elements"])
+
+
+def _difference_lister(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part in _sliced(batches):
+        found = [np.frombuffer(x.as_buffer(), np.int64) for x in part.column(5)]
+        times = [len(x) for x in found]
+        yield pa.RecordBatch.from_arrays([*(pa.array(np.repeat(part.column(i).to_numpy(), times)) for i in range(5)), pa.array(np.concatenate(found))], names=["c", "id", "n", "n_c", "d", "key"])
+
+
+def _differences(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """``c``, ``id``, ``n``, ``n_c``, ``d``, ``elements``: for each list (``key``, ``id``, ``m``), what its members
+    have differently from its centre, the member in the longest lists; ``d`` counts that."""
+    weights = rows.groupBy("id").agg(F.sum(F.log("m")).alias("weight"))
+    weighted = rows.join(weights, "id").select("key", "id", F.struct(F.round("weight", 6).alias("weight"), (-F.col("id")).alias("minus")).alias("by"))
+    centres = weighted.groupBy("key").agg((-F.max("by")["minus"]).alias("c"))
+    led = saved(rows.join(centres, "key").where("id <> c").select("c", "id").distinct(), "led")
+    whole = sets.join(led.select(F.col("c").alias("id")).distinct(), "id").select(F.col("id").alias("c"), F.col("elements").alias("y"))
+    both = led.join(sets.select("id", F.col("elements").alias("x")), "id").join(whole, "c").select("c", "id", "x", "y")
+    return saved(both.mapInArrow(_differ, "c long, id long, n long, n_c long, d long, elements binary"), "differences")
+
+
+def _near_centre(percent: int) -> Column:
+    """Whether a set reaches the limit with its centre: a size of the difference against the sum of both sizes."""
+    return F.expr(f"{100 + percent} * d <= {100 - percent} * (n + n_c)")
+
+
+def _apart_by_differences(differences: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """Pairs in different components that share a centre and can reach the limit.
+
+    Two sets differ by their differences' difference. If those share nothing, either both sets reach the
+    limit with the centre, and are in its component, or they miss it with each other. So a pair that is left
+    shares an element of the differences, and one of the two is far from the centre; against such a one the
+    other needs an overlap of about half its difference, and that much of it, rarest first, need not be listed.
+    """
+    far = ~_near_centre(percent)
+    rows = differences.join(roots, "id", "left").withColumns({"root": F.coalesce("root", "id"), "far": far})
+    split = rows.groupBy("c").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.max("far").alias("any")).where("least < most and any").select("c")
+    left = saved(rows.join(split, "c"), "far")
+    elements = saved(left.select("c", "id", "n", "n_c", "d", "elements").mapInArrow(_difference_lister, "c long, id long, n long, n_c long, d long, key long"), "differing")
+    lists = _rarest_first(elements, ["c"], ["c", "id", "n", "n_c", "d"])
+    placed = lists.select("c", "id", "n", "n_c", "d", F.posexplode("e").alias("at", "x")).where("x.df > 1")
+    half = F.expr(f"{100 + percent} * (d - 2 * at) > {100 - percent} * (n_c - n)")
+    reach = F.expr(f"{percent} * at <= {100 - percent} * n")
+    placed = placed.where(reach).select("c", F.col("x.key").alias("key"), "id", "n", "d", "at", half.alias("half"), far.alias("far"))
+    placed = saved(placed.where("half or far").join(left.select("c", "id", "root"), ["c", "id"]), "placed")
+    a, b = (placed.where(w).select("c", "key", *(F.col(x).alias(f"{x}_{s}") for x in ("id", "n", "d", "at", "root"))) for w, s in (("far", "a"), ("half", "b")))
+    can = F.expr(
+        f"root_a <> root_b and 100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"
+        f" and {100 + percent} * (d_a + d_b - 2 * least(d_a - at_a, d_b - at_b)) <= {100 - percent} * (n_a + n_b)"
+    )
+    pairs = a.join(b, (a["c"] == b["c"]) & (a["key"] == b["key"]) & can)
+    return pairs.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct()
+
+
+def _dense_links(linker: Linker, ids: DataFrame, roots: DataFrame, found: DataFrame, percent: int, hot: int) -> DataFrame:
+    """Links among the classes ``ids`` that are in different components by ``roots``, by prefixes of their full
+    sets. ``found``: all links so far."""
+    sets = saved(linker.sets(ids).join(ids, "id"), "dense_sets")
+    rows = _prefixes(sets, percent)
+    sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    rows = saved(rows.join(sizes, "key"), "prefixes")
+    links = linker.links(_apart(rows.where(f"m <= {hot}").drop("m"), roots, percent), sets)
+    long = rows.where(f"m > {hot}")
+    if long.isEmpty():
+        return links
+    differences = _differences(long, sets)
+    ends = differences.where(_near_centre(percent))
+    links = links.union(ends.select(F.least("c", "id").alias("a"), F.greatest("c", "id").alias("b")))
+    return links.union(linker.links(_apart_by_differences(differences, components(found.union(links)), percent), sets))
+
+
 def near_duplicates(
     docs: DataFrame, width: int = 5, percent: int = 80, k: int = SKETCH, hot: int = HOT_LIST, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -248,8 +341,7 @@ def _grouped(docs: DataFrame, doc_id: str, text: str, width: int, percent: int,
     # Classes with mostly hot values: prefixes of their full sets, rarest element first.
     dense = saved(members.where("dense").select("id").distinct(), "dense")
     if not dense.isEmpty():
-        most = linker.links(_apart(_prefixes(linker, dense, percent), roots, percent))
-        more = more.union(most)
+        more = more.union(_dense_links(linker, dense, roots, links.union(more), percent, hot))
     roots = components(links.union(more))
 
     classes = saved(reps.join(roots, "id", "left").select("fp", "rep", F.coalesce("root", "id").alias("root")), "rooted")

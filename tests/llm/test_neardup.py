@@ -3,7 +3,7 @@ import random
 import pytest
 
 from flowloom.llm.components import components
-from flowloom.llm.neardup import WordHashes, keep_one, near_duplicates, shingles
+from flowloom.llm.neardup import Linker, WordHashes, keep_one, near_duplicates, shingles
 
 DOCS = "doc_id long, text string, n string, fp int, rep string"
 
@@ -88,6 +88,34 @@ def test_repeated_rows_in_a_dense_group(spark, copies):
     assert sorted((str(r.doc_id), r.n_shingles, r.component_id) for r in got) == want
 
 
+def scattered(copies):
+    """Copies of one text with edits in different places, about half of them too many for a link with it."""
+    rng = random.Random(copies)
+    base = [f"b{i}" for i in range(150)]
+    texts = [base]
+    for c in range(copies):
+        t = list(base)
+        for e in range(rng.randint(1, 8)):
+            t[rng.randrange(150)] = f"n{c}-{e}"
+        texts.append(t)
+    for c in range(0, copies, 9):  # linked with a far copy, and only so with anything
+        t = list(texts[c + 1])
+        t[rng.randrange(150)] = f"m{c}"
+        texts.append(t)
+    return [(i + 1, " ".join(t), "", 0, "") for i, t in enumerate(texts)]
+
+
+def test_pairs_of_a_group_grow_with_its_size(spark, monkeypatch):
+    """Far copies are told apart by their differences from the centre, without a pair each."""
+    made, links = [], Linker.links
+    monkeypatch.setattr(Linker, "links", lambda self, pairs, *more: made.append(pairs.count()) or links(self, pairs, *more))
+    rows = scattered(300)
+    got = near_duplicates(spark.createDataFrame(rows, DOCS).repartition(5), hot=16).collect()
+    want = brute(rows, 5, 80)
+    assert sorted((str(r.doc_id), r.n_shingles, r.component_id) for r in got) == want
+    assert 1 < len({c for *_, c in want}) < len(rows) and sum(made) < 12 * len(rows)
+
+
 def test_common_values_are_hot_and_few_of_the_sketch(spark):
     """Similarity is 0.8, but only 26 of the 48 retained values of the first text are common ones."""
     rng, hashes, low = random.Random(1), WordHashes(), int(0.3 * 2**63)
