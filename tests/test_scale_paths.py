@@ -275,6 +275,12 @@ def test_spread_bounds_the_rows_of_a_partition(spark):
     assert sum(r["count"] for r in parts) == 60_000 and max(r["count"] for r in parts) <= 4_500
 
 
+def test_spread_counts_rows_of_few_columns(spark):
+    """A fit caches rows as objects: what a row costs beside its values bounds a narrow table's partitions."""
+    df = durable(spark.range(120_000).select(F.lit(1.0).alias("x")).coalesce(1))
+    assert spread(df, cells=20_000).rdd.getNumPartitions() >= 60
+
+
 def test_prepare_deduplicates_once(spark):
     """All steps after the deduplication read its frozen result, so the flows are read by one job."""
     seen = spark.sparkContext.accumulator(0)
