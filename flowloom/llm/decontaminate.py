@@ -22,10 +22,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .store import saved
+from .store import saved, small_batches
 
 BLOCK_WORDS = 300_000
 PIECE_WORDS = 50_000
+ROWS_AT_ONCE = 512
 
 #: ASCII letters become small, other ASCII than letters and digits becomes a blank, the rest stays.
 WORD_BYTES = bytes(c if c >= 0x80 or chr(c).isalnum() else 0x20 for c in range(256)).lower()
@@ -182,7 +183,7 @@ def _scanner(block, key: tuple, window: int, fields: T.StructType, text: str):
             _BUILT.clear()
             _BUILT[key] = Automaton([(name, raw.split()) for name, raw in block.value], window)
         automaton = _BUILT[key]
-        for batch in batches:
+        for batch in (b.slice(at, ROWS_AT_ONCE) for b in batches for at in range(0, len(b), ROWS_AT_ONCE)):
             texts = pa.compute.struct_field(batch.column("doc"), text).cast(pa.binary()).to_pylist()
             cover, names, longest, hit, total = [], [], [], [], []
             for raw, old, had in zip(texts, batch.column("spans").to_pylist(), batch.column("items").to_pylist(), strict=True):
@@ -224,7 +225,8 @@ def scan(docs: DataFrame, items: DataFrame, window: int = 10, text: str = "text"
         key = (pieces.inputFiles()[0] if some else "", i, window)
         rows = rows.mapInArrow(_scanner(sent, key, window, docs.schema, text), schema)
         if i + 1 < blocks:
-            rows = saved(rows, "scanned")
+            with small_batches(spark):
+                rows = saved(rows, "scanned")
     return rows
 
 
@@ -266,10 +268,12 @@ def decontaminate(
     Documents of which more than the share ``most_coverage`` of the words is covered go (0: any hit).
     With ``cut_from``, covered spans of that many words and more are cut out of the texts that stay,
     and ``n_chars``, if named, is counted anew. A document without words stays as it is.
+    What stays is written here, as whole rows pass through Python and only a job run here has small batches.
     """
     found = scan(docs, items, window, text)
     stays = found.where(F.col("n_hit") <= F.lit(most_coverage) * F.col("n_words"))
-    if cut_from is None:
-        return stays.select("doc.*")
-    out = stays.select("doc", "spans").mapInArrow(_cutter(docs.columns, text, cut_from), docs.schema)
+    with small_batches(docs.sparkSession):
+        if cut_from is None:
+            return saved(stays.select("doc.*"), "clean", keep=True)
+        out = saved(stays.select("doc", "spans").mapInArrow(_cutter(docs.columns, text, cut_from), docs.schema), "clean", keep=True)
     return out.withColumn(n_chars, F.length(text).cast(docs.schema[n_chars].dataType)) if n_chars else out

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .store import saved
+from .store import saved, small_batches
 
 BUCKET_BITS = 16
 BUCKETS = 1 << BUCKET_BITS
@@ -119,7 +119,8 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Langua
     """Count the trigrams of every labelled row; the model is 256 KB for each distinct label."""
     rows = labelled.where(F.col(lang).isNotNull()).select(F.col(text).cast("binary"), F.col(lang).cast("string"))
     counts = rows.mapInArrow(_counter, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    packed = saved(counts.groupBy("lang").agg(F.collect_list(F.struct("bucket", "n")).alias("cells")), "languages")
+    with small_batches(labelled.sparkSession):
+        packed = saved(counts.groupBy("lang").agg(F.collect_list(F.struct("bucket", "n")).alias("cells")), "languages")
     found = sorted(packed.select("lang", "cells.bucket", "cells.n").collect(), key=lambda r: r.lang)
     table = np.zeros((len(found), BUCKETS))
     for i, row in enumerate(found):
@@ -161,8 +162,12 @@ def _keeper(sent, text: str, least: float):
 
 
 def keep_identified(docs: DataFrame, model: Languages, least_share: float = 0.5, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that have a main language with a share of ``least_share`` or more, as they are."""
-    return docs.mapInArrow(_keeper(docs.sparkSession.sparkContext.broadcast(model), text, least_share), docs.schema)
+    """The rows of ``docs`` that have a main language with a share of ``least_share`` or more, as they are.
+
+    They are written here, as whole rows pass through Python and only a job run here has small batches.
+    """
+    with small_batches(docs.sparkSession):
+        return saved(docs.mapInArrow(_keeper(docs.sparkSession.sparkContext.broadcast(model), text, least_share), docs.schema), "identified", keep=True)
 
 
 def held_out(doc_id: Column, folds: int, fold: int) -> Column:

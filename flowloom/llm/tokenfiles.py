@@ -31,6 +31,8 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSource
 
 from flowloom.plans.checkpoints import scratch_path
 
+from .store import small_batches
+
 NO_ID = np.iinfo(np.int64).min
 CACHED_WORDS = 600_000
 JOINED_WORDS = 50
@@ -263,7 +265,8 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end: int, voca
     spread = rows.repartitionByRange(partitions, *by) if partitions else rows.repartitionByRange(*by)
     dtype = "<u2" if vocabulary <= 1 << 16 else "<u4"
     writer = spread.sortWithinPartitions(*by).select("doc_id", "text").write.format("tokenfiles").mode("append")
-    writer.option("tokenizer", tokenizer).option("end", str(end)).option("dtype", dtype).option("splits", str(splits).lower()).save(path)
+    with small_batches(spark, ENCODED_DOCS):
+        writer.option("tokenizer", tokenizer).option("end", str(end)).option("dtype", dtype).option("splits", str(splits).lower()).save(path)
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:

@@ -1,8 +1,11 @@
 import random
 import re
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
+from flowloom.llm import decontaminate as module
 from flowloom.llm.decontaminate import Automaton, decontaminate, scan, without, words_of
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
@@ -84,3 +87,42 @@ def test_decontaminate_drops_or_cuts(spark):
     cut = {r.doc_id: r.text for r in decontaminate(docs, items, most_coverage=1.0, cut_from=10).collect()}
     assert cut == {1: "Clean one,  ! End é.", 2: "nothing here", 3: None}
     assert without("a b c", [(0, 3)]) == " "
+
+
+@pytest.mark.parametrize("blocks", [1, 2])
+def test_rows_come_in_small_batches(spark, monkeypatch, blocks):
+    """Whole rows pass through Python: what a worker and its JVM hold at once must not be a partition's texts."""
+
+    def scanner(*_):
+        def scan(batches):
+            for b in batches:
+                most = [max(len(b), n) for n in b.column("doc").field(0).to_pylist()]
+                no, none = pa.array([0] * len(b), pa.int64()), pa.array([[]] * len(b), pa.list_(pa.int64()))
+                doc = pa.StructArray.from_arrays([pa.array(most, pa.int64()), b.column("doc").field(1)], ["doc_id", "text"])
+                yield pa.RecordBatch.from_arrays([doc, no, no, no, none, none], ["doc", "n_words", "n_hit", "longest", "spans", "items"])
+
+        return scan
+
+    monkeypatch.setattr(module, "_scanner", scanner)
+    docs = spark.range(0, 3000, 1, 1).select(F.lit(0).cast("long").alias("doc_id"), F.lit("some text").alias("text"))
+    monkeypatch.setattr(module, "scan", lambda *a, f=scan: f(*a, block_words=12 if blocks == 1 else 11))
+    items = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(12)))], "item_id long, text string")
+    got = [r.doc_id for r in decontaminate(docs, items).collect()]
+    assert len(got) == 3000 and max(got) <= 512
+
+
+def test_scan_cuts_large_batches():
+    """A batch of any size is answered in small ones, in order."""
+
+    class Sent:
+        value = [(7, b"a b c")]
+
+    fields = pa.struct([("doc_id", pa.int64()), ("text", pa.string())])
+    rows = [{"doc_id": i, "text": f"x{i} A, b c" if i % 3 else None} for i in range(1300)]
+    empty = pa.array([[]] * 1300, pa.list_(pa.int64()))
+    batch = pa.RecordBatch.from_arrays([pa.array(rows, fields), empty, empty], ["doc", "spans", "items"])
+    got = list(module._scanner(Sent, ("cut",), 3, None, "text")([batch]))
+    assert [len(b) for b in got] == [512, 512, 276]
+    flat = [r for b in got for r in b.to_pylist()]
+    assert [r["doc"] for r in flat] == rows
+    assert all((r["n_words"], r["n_hit"], r["spans"], r["items"]) == ((4, 3, [1, 4], [7]) if i % 3 else (0, 0, [], [])) for i, r in enumerate(flat))

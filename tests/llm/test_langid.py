@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -68,6 +69,28 @@ def test_stage_keeps_rows_as_they_are(spark, docs, model):
     assert sorted(r.doc_id for r in got.collect()) == sorted(r.doc_id for r in docs.collect() if r.doc_id not in (901, 902))
 
 
+def test_rows_come_in_small_batches(spark, model, monkeypatch):
+    """Whole rows pass through Python: what a worker and its JVM hold at once must not be a partition's texts."""
+
+    def keeper(*_):
+        def keep(batches):
+            for b in batches:
+                yield b.set_column(b.schema.get_field_index("doc_id"), "doc_id", pa.array([len(b)] * len(b), pa.int64()))
+
+        return keep
+
+    def counter(batches):
+        for b in batches:
+            yield pa.record_batch([pa.array([str(len(b))]), pa.array([0], pa.int64()), pa.array([1], pa.int64())], names=["lang", "bucket", "n"])
+
+    rows = spark.range(0, 3000, 1, 1).select(F.lit("en").alias("lang"), F.lit(EN).alias("text"), F.col("id").alias("doc_id"))
+    monkeypatch.setattr(langid, "_keeper", keeper)
+    monkeypatch.setattr(langid, "_counter", counter)
+    got = [r.doc_id for r in keep_identified(rows, model).collect()]
+    assert len(got) == 3000 and max(got) <= 512
+    assert max(map(int, learn(rows).names)) <= 512
+
+
 def test_empty_tables(spark, docs, model):
     none = docs.limit(0)
     assert identify(none, model).count() == 0

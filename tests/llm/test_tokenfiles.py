@@ -5,6 +5,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from flowloom.llm import tokenfiles
@@ -114,3 +115,20 @@ def test_no_search_for_cycles_while_encoding():
     finally:
         gc.enable()
     assert seen == [False, True, False]
+
+
+def test_rows_come_in_small_batches(spark, tmp_path, monkeypatch):
+    """A worker holds no more texts at once than it encodes together."""
+
+    class Sizes(tokenfiles.Writer):
+        def write(self, batches):
+            return tokenfiles.Shard(str(max(len(b) for b in batches)), 0, 0, 0)
+
+    class Source(tokenfiles.TokenFileSource):
+        def writer(self, schema, overwrite):
+            return Sizes(self.options)
+
+    monkeypatch.setattr(tokenfiles, "TokenFileSource", Source)
+    rows = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("some text").alias("text"))
+    write_token_files(rows, str(tmp_path / "t"), PATH, 2, 49_408, splits=True, partitions=1)
+    assert [int(s["name"]) <= tokenfiles.ENCODED_DOCS for s in TokenFiles(str(tmp_path / "t")).shards] == [True]
