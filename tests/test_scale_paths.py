@@ -313,3 +313,81 @@ def test_home_leaf_meets_no_boxes(spark, monkeypatch):
     found = neighbours.leaf_visits(tree, ask, ["x", "y"], True).collect()
     leaves = {r["node"] for r in tree.blocks.collect()}
     assert sorted(r["key"] for r in found) == sorted(k for k, *_ in asked) and {r["node"] for r in found} <= leaves
+
+
+def _points(spark, rng, n, prefix):
+    """Points with ties and missing coordinates; some lie beyond the others, one has no coordinate."""
+    x = np.round(rng.normal(size=(n, 3)), 1) * 10
+    x[rng.random(x.shape) < 0.1] = np.nan
+    x[0], x[1] = np.nan, [500.0, -500.0, np.nan]
+    rows = [(f"{prefix}{i}", float(i % 40), *[None if np.isnan(v) else float(v) for v in r]) for i, r in enumerate(x)]
+    return x, spark.createDataFrame(rows, "key string, t double, a double, b double, c double")
+
+
+def test_knn_bounds_come_with_the_first_leaf(spark, monkeypatch):
+    """Keys that do not repeat never become rows of a join of queries with nodes; only those with more leaves travel on."""
+    rng, real, searched = np.random.default_rng(11), neighbours._search, []
+    x, df = _points(spark, rng, 1500, "d")
+    q, ask = _points(spark, rng, 200, "q")
+
+    def refused(*_):
+        raise AssertionError("all queries met nodes in a join")
+
+    def watched(tree, visits, *rest):
+        searched.append(visits.select("key").distinct().count())
+        return real(tree, visits, *rest)
+
+    monkeypatch.setattr(neighbours, "leaf_visits", refused)
+    monkeypatch.setattr(neighbours, "_search", watched)
+    got = {}
+    for r in neighbours.nearest(df, ask, "key", "t", ["a", "b", "c"], 5, leaf=60).collect():
+        got.setdefault(r["key"], []).append((r["rank"], r["dist"], r["value"]))
+    d, t = neighbours.distances(q, x), np.arange(1500) % 40
+    for i in range(200):
+        want = sorted((d[i, j], float(t[j])) for j in range(1500) if np.isfinite(d[i, j]))[:5]
+        mine = sorted(got.get(f"q{i}", []))
+        assert [v for *_, v in mine] == [v for _, v in want] and [e for _, e, _ in mine] == pytest.approx([e for e, _ in want])
+    assert "q0" not in got and searched and max(searched) < 200
+
+
+def test_knn_tree_in_memory_equals_the_tables(spark):
+    rng = np.random.default_rng(12)
+    names, xs = ["a", "b", "c"], ["_x0", "_x1", "_x2"]
+    _, df = _points(spark, rng, 2000, "d")
+    q, ask = _points(spark, rng, 150, "q")
+    tree = neighbours.build_tree(df.select("t", *[F.col(c).alias(x) for c, x in zip(names, xs)]), xs, 5, leaf=40)
+    router = neighbours._router(tree)
+    asked = ask.select("key", *[F.col(c).alias(x) for c, x in zip(names, xs)], F.lit(6.0).alias("limit"))
+    home = {r["key"]: r["node"] for r in neighbours.leaf_visits(tree, asked, xs, True).collect()}
+    assert [home[f"q{i}"] for i in range(150)] == router.home(q).tolist()
+    want = {}
+    for r in neighbours.leaf_visits(tree, asked, xs, False).collect():
+        want.setdefault(r["key"], {})[r["node"]] = r["box"]
+    for own in {int(n) for n in router.home(q)}:
+        at, leaf, box = router.reached(q, np.full(150, 6.0), own)
+        for i in range(150):
+            mine = dict(zip(leaf[at == i].tolist(), box[at == i].tolist()))
+            others = {n: b for n, b in want.get(f"q{i}", {}).items() if n != own and not np.isnan(q[i]).all()}
+            assert mine.keys() == others.keys() and all(mine[n] == pytest.approx(others[n]) for n in mine)
+
+
+def test_knn_keys_that_repeat_are_searched_as_rows(spark):
+    """Rows that share a key, and null keys, find what they found before."""
+    rng = np.random.default_rng(13)
+    _, df = _points(spark, rng, 800, "d")
+    _, ask = _points(spark, rng, 60, "q")
+    xs = ["_x0", "_x1", "_x2"]
+    ask = ask.union(ask.limit(20)).union(ask.limit(5).withColumn("key", F.lit(None).cast("string"))).localCheckpoint()
+    plain = lambda d: d.select("t", "key", *[F.col(c).alias(x) for c, x in zip("abc", xs)], F.lit(float("inf")).alias("limit"))
+    tree = neighbours.build_tree(plain(df).select("t", *xs), xs, 5, leaf=40)
+    want = neighbours._by_rows(tree, plain(ask).drop("t"), xs, 5, 40).select("key", "rank", "dist", "value")
+    got = neighbours.nearest(df, ask, "key", "t", ["a", "b", "c"], 5, leaf=40).select("key", "rank", "dist", "value")
+    rows = lambda d: sorted((str(r["key"]), r["rank"], round(r["dist"], 9), r["value"]) for r in d.collect())
+    assert rows(got) == rows(want)
+
+
+def test_bound_on_the_kth_distance_is_never_too_small():
+    rng = np.random.default_rng(14)
+    for n in (6, 59, 60, 61, 119, 120, 121, 700):
+        total = np.round(rng.random((30, n)), 2)
+        assert (neighbours._kth_at_most(total, 5) >= np.sort(total, axis=1)[:, 4]).all()
